@@ -303,7 +303,7 @@ def source_fallback(spark, folder):
     """A missing table, an empty one, then one with rows."""
     return reporting.first_available(
         [
-            lambda: table(spark, folder, "absent"),
+            lambda: spark.read.parquet(f"{folder}/absent.parquet"),
             lambda: table(spark, folder, "customer").where("c_custkey < 0"),
             lambda: table(spark, folder, "customer"),
         ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from prevascope.config import DEFAULT_CONFIG, INCOMPLETE, SMALL, VALID, PrevalenceConfig
 from prevascope.functions.numeric import round2
 from prevascope.operators.groups import GroupShape
-from prevascope.operators.profile import group_profile
+from prevascope.operators.profile import group_context
 from prevascope.operators.ranking import AUTO, entity_ranking
 
 ALLOW, ERROR, MATCH_ALL = "allow", "error", "match_all"
@@ -118,14 +118,16 @@ def entity_mart(
     cfg: PrevalenceConfig = DEFAULT_CONFIG,
     method: str = AUTO,
     shape: GroupShape | None = None,
-    entity_unique: bool = False,
     on_fanout: str = ALLOW,
 ) -> DataFrame:
-    """Ranking and profile of ``staged`` joined into the scorecard, without intermediate tables."""
+    """The scorecard straight from staging, without intermediate tables.
+
+    Of the profile only the means and ranges are computed, which is all the scorecard shows.
+    """
     shape = shape or GroupShape.of(staged, cfg.group_cols)
     return scorecard(
         entity_ranking(staged, cfg, method, shape),
-        group_profile(staged, cfg, shape, entity_unique),
+        group_context(staged, cfg),
         cfg,
         shape.profiles,
         on_fanout,

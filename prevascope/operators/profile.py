@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from prevascope.config import DEFAULT_CONFIG, PrevalenceConfig
 from prevascope.functions.numeric import mean_of, round2
 from prevascope.operators.groups import GroupShape, attach_group_values
 from prevascope.operators.numbering import numbered_by_sort
+from prevascope.session import materialise
 
 EXACT, APPROX = "exact", "approx"
 
@@ -84,7 +87,8 @@ def _middle_by_count(stacked: DataFrame, key: str) -> DataFrame:
 def _middle_by_sort(stacked: DataFrame, key: str) -> DataFrame:
     """As :func:`_middle_by_count`, from distributed row numbers."""
     numbered = numbered_by_sort(stacked, ["_measure", key], [F.col("_value").asc()], "_number")
-    sizes = numbered.groupBy(key, "_measure").agg(F.max("_number").alias("_all"))
+    # Written so that its true size decides how Spark joins it: one row per group and measure.
+    sizes = materialise(numbered.groupBy(key, "_measure").agg(F.max("_number").alias("_all")), "sizes")
     at = numbered.alias("n").join(
         sizes.alias("s"),
         F.col(f"n.{key}").eqNullSafe(F.col(f"s.{key}")) & (F.col("n._measure") == F.col("s._measure")),
@@ -139,14 +143,29 @@ def count_at_or_above_median(
     )
 
 
-def entity_counts(df: DataFrame, cfg: PrevalenceConfig = DEFAULT_CONFIG, entity_unique: bool = False) -> DataFrame:
-    """Distinct entities per group.
+def entity_counts(df: DataFrame, cfg: PrevalenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Distinct entities per group; repeated keys are dropped in each task before they move."""
+    return df.groupBy(*cfg.group_cols).agg(
+        F.count_distinct(F.col(cfg.entity_key)).alias(f"num_{cfg.entity_plural}")
+    )
 
-    ``entity_unique`` states that no entity key repeats (as after dedupe), which turns the
-    distinct count into a plain count without moving the keys.
-    """
-    count = F.count if entity_unique else F.count_distinct
-    return df.groupBy(*cfg.group_cols).agg(count(F.col(cfg.entity_key)).alias(f"num_{cfg.entity_plural}"))
+
+def _means_and_ranges(staged: DataFrame, cfg: PrevalenceConfig) -> list[Column]:
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    aggregates = [round2(mean_of(F.col(c), types[c])).alias(f"avg_{c}") for c in cfg.averaged]
+    for m in cfg.ranked:
+        low, high = F.min(m.column), F.max(m.column)
+        aggregates += [
+            low.alias(f"min_pct_{m.bound}"),
+            high.alias(f"max_pct_{m.bound}"),
+            (high - low).alias(f"{m.short}_disparity_range"),
+        ]
+    return aggregates
+
+
+def group_context(staged: DataFrame, cfg: PrevalenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The means and ranges of the group profile alone, from one scan and a small shuffle."""
+    return staged.groupBy(*cfg.group_cols).agg(*_means_and_ranges(staged, cfg))
 
 
 def group_profile(
@@ -158,31 +177,21 @@ def group_profile(
     """One row per group: entities, population, means, ranges, counts at or above the median.
 
     The distinct count runs apart from the other aggregates. Together they would shuffle one
-    wide partial row per entity; apart, only (group, entity) pairs move.
+    wide partial row per entity; apart, only (group, entity) pairs move. ``entity_unique`` states
+    that no entity key repeats (as after dedupe), which makes it a plain count that moves nothing.
     """
-    types = {f.name: f.dataType for f in staged.schema.fields}
-    aggregates = [F.sum(cfg.population).alias(f"{cfg.group_noun}_total_population")]
-    aggregates += [round2(mean_of(F.col(c), types[c])).alias(f"avg_{c}") for c in cfg.averaged]
-    for m in cfg.ranked:
-        low, high = F.min(m.column), F.max(m.column)
-        aggregates += [
-            low.alias(f"min_pct_{m.bound}"),
-            high.alias(f"max_pct_{m.bound}"),
-            (high - low).alias(f"{m.short}_disparity_range"),
-        ]
-    aggregates += _counts_at_or_above_median(cfg)
-
+    number = f"num_{cfg.entity_plural}"
+    aggregates = [
+        F.sum(cfg.population).alias(f"{cfg.group_noun}_total_population"),
+        *_means_and_ranges(staged, cfg),
+        *_counts_at_or_above_median(cfg),
+    ]
     if entity_unique:
-        aggregates.insert(0, F.count(F.col(cfg.entity_key)).alias(f"num_{cfg.entity_plural}"))
+        aggregates.insert(0, F.count(cfg.entity_key).alias(number))
     stats = with_group_medians(staged, cfg, shape).groupBy(*cfg.group_cols).agg(*aggregates)
     if entity_unique:
         return stats
-    counted = entity_counts(staged, cfg).select(
-        *[F.col(c).alias(f"_{c}") for c in cfg.group_cols], f"num_{cfg.entity_plural}"
-    )
-    same_group = F.lit(True)
-    for c in cfg.group_cols:
-        same_group = same_group & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return stats.join(counted, same_group).select(
-        *cfg.group_cols, f"num_{cfg.entity_plural}", *[c for c in stats.columns if c not in cfg.group_cols]
-    )
+    counted = entity_counts(staged, cfg).select(*[F.col(c).alias(f"_{c}") for c in cfg.group_cols], number)
+    same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cfg.group_cols])
+    others = [c for c in stats.columns if c not in cfg.group_cols]
+    return stats.join(counted, same_group).select(*cfg.group_cols, number, *others)

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from prevascope.config import DEFAULT_CONFIG, LONG_LABELS, PrevalenceConfig
 from prevascope.functions.casts import BLANK_NULL
 from prevascope.operators.contracts import contract_report
 from prevascope.operators.groups import GroupShape
-from prevascope.operators.mart import ERROR, assert_one_profile_per_group, mart_order, scorecard
+from prevascope.operators.mart import ALLOW, ERROR, assert_one_profile_per_group, mart_order, scorecard
 from prevascope.operators.profile import group_profile
 from prevascope.operators.quality import quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.staging import stage
-from prevascope.sources.landing import DOCUMENT, read_landing_directory, with_load_provenance
+from prevascope.sources.landing import DOCUMENT, LANDING_SCHEMA, read_landing_directory, with_load_provenance
 from prevascope.sources.raw_table import append_by_name, ensure_namespace
 
 CREATED, UPDATED = "dbt_created_at", "dbt_updated_at"
@@ -30,14 +30,15 @@ class Layers:
 
     raw: str = "raw.places_county"
     staging: str = "analytics_staging.entity_measures"
-    long: str = "analytics_staging.entity_measures_long"
+    #: a temporary view, hence without namespace
+    long: str = "entity_measures_long"
     ranking: str = "analytics_intermediate.entity_ranking"
     profile: str = "analytics_intermediate.group_profile"
     mart: str = "analytics_marts.entity_scorecard"
 
     def namespaces(self) -> list[str]:
-        names = [self.raw, self.staging, self.long, self.ranking, self.profile, self.mart]
-        return sorted({name.rsplit(".", 1)[0] for name in names})
+        tables = [self.raw, self.staging, self.ranking, self.profile, self.mart]
+        return sorted({name.rsplit(".", 1)[0] for name in tables})
 
 
 def with_audit(df: DataFrame, *columns: str) -> DataFrame:
@@ -45,18 +46,25 @@ def with_audit(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.current_timestamp() for c in columns})
 
 
-def _save(df: DataFrame, table: str, order: Sequence[Column] = ()) -> DataFrame:
-    """Write a model as a table; sorted files let readers skip by group."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").saveAsTable(table)
+def _save(df: DataFrame, table: str) -> DataFrame:
+    """Replace ``table`` by ``df`` and return the written table, whose size Spark then knows."""
+    df.write.mode("overwrite").saveAsTable(table)
     return df.sparkSession.table(table)
 
 
 def load_directory(
-    spark: SparkSession, directory: str, layers: Layers = Layers(), layout: str = DOCUMENT
+    spark: SparkSession,
+    directory: str,
+    layers: Layers = Layers(),
+    layout: str = DOCUMENT,
+    schema: StructType = LANDING_SCHEMA,
 ) -> DataFrame:
-    """Append the directory's readable records to the raw table; returns the quarantine."""
+    """Append the directory's readable records to the raw table; returns the quarantine.
+
+    ``schema`` may name more of the landed columns than staging reads.
+    """
     ensure_namespace(spark, layers.raw.rsplit(".", 1)[0])
-    landed = read_landing_directory(spark, directory, layout=layout)
+    landed = read_landing_directory(spark, directory, schema, layout)
     append_by_name(with_load_provenance(landed.records), layers.raw)
     return landed.quarantine
 
@@ -72,39 +80,28 @@ def build_models(
 ) -> dict[str, DataFrame]:
     """Build all models from the raw table and return them by name.
 
-    Staging is read by every later model, so it is written once, sorted by group and entity; the
-    long table stays a view over it. With ``dedupe=False`` and ``on_fanout="allow"`` repeated loads and
+    Staging is read by every later model, so it is written once; the long table stays a view over
+    it. The ranking is sorted inside its files, which needs no further shuffle; the scorecard and
+    the profile are sorted as a whole. With ``dedupe=False`` and ``on_fanout="allow"`` repeated loads and
     ambiguous group labels multiply rows, as an append-only run without checks would.
     """
     for name in layers.namespaces():
         ensure_namespace(spark, name)
     by_entity = [F.col(cfg.group_key).asc_nulls_last(), F.col(cfg.entity_name).asc_nulls_last()]
-    staged = _save(
-        with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging, by_entity
-    )
+    staged = _save(with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging)
     long = unpivot_measures(staged, cfg.keys, LONG_LABELS)
+    long.createOrReplaceTempView(layers.long)
 
     shape = GroupShape.of(staged, cfg.group_cols)
-    ranking = _save(with_audit(entity_ranking(staged, cfg, method, shape), CREATED), layers.ranking, by_entity)
-    profile = _save(
-        with_audit(group_profile(staged, cfg, shape, entity_unique=dedupe), CREATED),
-        layers.profile,
-        by_entity[:1],
-    )
+    ranked = entity_ranking(staged, cfg, method, shape).sortWithinPartitions(*by_entity)
+    ranking = _save(with_audit(ranked, CREATED), layers.ranking)
+    profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
+    profile = _save(with_audit(profiled, CREATED), layers.profile)
     if on_fanout == ERROR:
         assert_one_profile_per_group(profile, cfg)
-    mart = _save(
-        with_audit(
-            scorecard(
-                ranking.drop(CREATED), profile.drop(CREATED), cfg, shape.profiles,
-                "allow" if on_fanout == ERROR else on_fanout,
-            ),
-            CREATED,
-            UPDATED,
-        ),
-        layers.mart,
-        mart_order(cfg),
-    )
+        on_fanout = ALLOW
+    scored = scorecard(ranking, profile, cfg, shape.profiles, on_fanout).orderBy(*mart_order(cfg))
+    mart = _save(with_audit(scored, CREATED, UPDATED), layers.mart)
     return {"staging": staged, "long": long, "ranking": ranking, "profile": profile, "mart": mart}
 
 

@@ -41,10 +41,17 @@ class Landed(NamedTuple):
     quarantine: DataFrame
 
 
-def landing_reader_schema(schema: T.StructType) -> T.StructType:
-    """``schema`` plus the envelope array and the slot for unreadable input."""
-    return T.StructType(
-        [*schema.fields, T.StructField("data", T.ArrayType(schema)), T.StructField(_CORRUPT, T.StringType())]
+def landing_reader(reader, schema: T.StructType, layout: str):
+    """Set up a batch or stream reader: schema, layout, and a slot for unreadable input."""
+    fields = list(schema.fields)
+    if layout == DOCUMENT:
+        fields.append(T.StructField("data", T.ArrayType(schema)))
+    fields.append(T.StructField(_CORRUPT, T.StringType()))
+    return (
+        reader.schema(T.StructType(fields))
+        .option("multiLine", layout == DOCUMENT)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _CORRUPT)
     )
 
 
@@ -53,15 +60,13 @@ def unwrap_records(read: DataFrame, schema: T.StructType) -> DataFrame:
 
     Adds ``source_file`` and drops unreadable input. A key that a record lacks becomes null.
     """
+    readable = read.where(F.col(_CORRUPT).isNull())
+    source_file = F.col("_metadata.file_path").alias("source_file")
+    if "data" not in set(read.columns) - set(schema.names):
+        return readable.select(*schema.names, source_file)
     own = F.array(F.struct(*[F.col(f.name) for f in schema.fields]))
-    return (
-        read.where(F.col(_CORRUPT).isNull())
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.inline(F.coalesce(F.col("data"), own)),
-        )
-        .select(*schema.names, "source_file")
-    )
+    rows = readable.select(source_file, F.inline(F.coalesce(F.col("data"), own)))
+    return rows.select(*schema.names, "source_file")
 
 
 def read_landing(
@@ -77,13 +82,7 @@ def read_landing(
     unreadable file (or line) ends up in the quarantine and the rest still loads. A path that does
     not exist raises.
     """
-    read = (
-        spark.read.schema(landing_reader_schema(schema))
-        .option("multiLine", layout == DOCUMENT)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(path if isinstance(path, str) else list(path))
-    )
+    read = landing_reader(spark.read, schema, layout).json(path if isinstance(path, str) else list(path))
     # Selecting a parsed column next to the corrupt one keeps the reader from refusing the query.
     quarantine = read.where(F.col(_CORRUPT).isNotNull()).select(
         F.col("_metadata.file_path").alias("source_file"), F.col(_CORRUPT).alias("content"), *schema.names[:1]

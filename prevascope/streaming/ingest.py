@@ -10,7 +10,7 @@ from prevascope.config import LANDING_MARK
 from prevascope.sources.landing import (
     DOCUMENT,
     LANDING_SCHEMA,
-    landing_reader_schema,
+    landing_reader,
     unwrap_records,
     with_load_provenance,
 )
@@ -31,10 +31,7 @@ def ingest_new_files(
     again, also after a failure, adds nothing twice. Unreadable files contribute no records.
     """
     read = (
-        spark.readStream.schema(landing_reader_schema(schema))
-        .option("multiLine", layout == DOCUMENT)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        landing_reader(spark.readStream, schema, layout)
         .option("pathGlobFilter", f"*{LANDING_MARK}*.json")
         .option("maxFilesPerTrigger", max_files_per_batch)
         .json(directory)

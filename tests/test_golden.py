@@ -1,0 +1,218 @@
+"""Hand-made rows for the cases the sample tables do not contain."""
+
+from dataclasses import replace
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import NumberFormatException, ArithmeticException, SparkRuntimeException
+from pyspark.sql import functions as F
+
+from prevascope.config import DEFAULT_CONFIG as CFG
+from prevascope.config import KEY_COLUMNS, MEASURE_COLUMNS, POPULATION_COLUMNS
+from prevascope.functions.casts import LENIENT, STRICT, text_to_int, text_to_measure, to_instant
+from prevascope.functions.numeric import mean_of, round2
+from prevascope.operators import mart, profile, ranking, reshape
+from prevascope.operators.dedupe import latest_per_entity
+from prevascope.operators.filters import state_filter, year_filter
+from prevascope.plans.staging import stage
+
+BAD_NUMBER = (NumberFormatException, ArithmeticException, SparkRuntimeException)
+
+
+def values(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
+
+
+def texts(spark, *items):
+    return spark.createDataFrame([(i,) for i in items], "t string")
+
+
+def test_whole_numbers_round_half_up_and_blanks_are_null(spark):
+    df = texts(spark, "12.5", "12.345", "1e2", " 7 ", "", None)
+    got = [r[0] for r in df.select(text_to_int(F.col("t"))).collect()]
+    assert got == [13, 12, 100, 7, None, None]
+
+
+def test_cast_modes(spark):
+    df = texts(spark, "abc")
+    assert df.select(text_to_int(F.col("t"), LENIENT)).first()[0] is None
+    assert df.select(text_to_measure(F.col("t"), LENIENT)).first()[0] is None
+    with pytest.raises(BAD_NUMBER):
+        df.select(text_to_measure(F.col("t"))).collect()
+    with pytest.raises(BAD_NUMBER):
+        texts(spark, "").select(text_to_measure(F.col("t"), STRICT)).collect()
+
+
+def test_measure_rounds_to_two_digits(spark):
+    got = [r[0] for r in texts(spark, "12.345", "99.999").select(text_to_measure(F.col("t"))).collect()]
+    assert got == [Decimal("12.35"), Decimal("100.00")]
+
+
+def test_extraction_time_in_seconds_milliseconds_and_iso(spark):
+    df = texts(spark, "1771407117", "1771407117000", "2026-02-18T09:31:57", "n/a", None)
+    got = [r[0] for r in df.select(F.date_format(to_instant(F.col("t")), "yyyy-MM-dd HH:mm:ss")).collect()]
+    assert got == ["2026-02-18 09:31:57"] * 3 + [None, None]
+
+
+def test_round_half_up_on_the_decimal_form(spark):
+    assert spark.range(1).select(round2(F.lit(1.005))).first()[0] == 1.01
+
+
+def test_mean_of_decimals_is_exact(spark):
+    df = spark.createDataFrame([(Decimal("0.10"),)] * 3 + [(Decimal("0.20"),), (None,)], "x decimal(5,2)")
+    assert df.agg(mean_of(F.col("x"), df.schema["x"].dataType)).first()[0] == 50 / 400
+
+
+def test_ties_rank_by_entity_key_and_nulls_last(counties):
+    df = counties(
+        ("A", "c", "3", 1, 10, 1, 1), ("A", "b", "2", 1, 10, 2, 1), ("A", "a", "1", 1, None, 3, 1), ("A", "d", "4", 1, 11, 4, 1)
+    )
+    for method in (ranking.WINDOW, ranking.SORTED):
+        got = dict(values(ranking.rank_in_group(df, method=method), "county_fips", "diabetes_rank"))
+        assert got == {"4": 1, "2": 2, "3": 3, "1": 4}
+
+
+def test_median_of_an_even_group_is_cut_to_the_scale(counties):
+    df = counties(("A", "a", "1", 1, 1.13, 1, 1), ("A", "b", "2", 1, 1.14, 2, 1), ("B", "c", "3", 1, -1.14, 1, 1), ("B", "d", "4", 1, -1.13, 1, 1))
+    names = {"pct_diabetes": "m"}
+    assert dict(values(profile.group_medians(df, "state_code", names), "state_code", "m")) == {
+        "A": Decimal("1.13"), "B": Decimal("-1.14"),
+    }
+    exact = profile.group_medians(df, "state_code", names, truncate=False)
+    assert dict(values(exact, "state_code", "m"))["A"] == pytest.approx(1.135)
+    # at or above the cut median: both rows of A; with the uncut midpoint it would be one
+    counted = profile.count_at_or_above_median(df)
+    assert dict(values(counted, "state_code", "counties_high_diabetes")) == {"A": 2, "B": 2}
+
+
+def test_value_equal_to_the_median_counts_and_null_does_not(counties):
+    df = counties(*[("A", str(i), str(i), 1, v, v, v) for i, v in enumerate([1, 2, 3])], ("A", "n", "n", 1, None, None, None))
+    assert values(profile.count_at_or_above_median(df), "counties_high_diabetes") == [(2,)]
+
+
+@pytest.mark.parametrize("kind", ["decimal(5,2)", "decimal(14,2)", "double", "smallint"])
+def test_median_strategies_agree(spark, kind):
+    rows = [(g, v) for g, n in (("A", 7), ("B", 8), ("C", 1)) for v in range(n)] + [("A", None), ("D", None), (None, 4)]
+    df = spark.createDataFrame(rows, "g string, v int").select("g", F.col("v").cast(kind).alias("v"))
+    got = dict(values(profile.group_medians(df, "g", {"v": "m"}, truncate=False), "g", "m"))
+    assert got == {"A": 3.0, "B": 3.5, "C": 0.0, None: 4.0}
+
+
+def test_approximate_median_is_one_of_the_values(counties):
+    df = counties(*[("A", str(i), str(i), 1, i, i, i) for i in range(1, 6)])
+    got = profile.group_medians(df, "state_code", {"pct_diabetes": "m"}, method=profile.APPROX)
+    assert values(got, "m") == [(Decimal("3.00"),)]
+
+
+def test_scorecard_edges(counties):
+    df = counties(
+        ("A", "low", "1", 9_999, 10, 10, 10),
+        ("A", "edge", "2", 10_000, 20, 10, 10),
+        ("A", "unknown", "3", None, 30, 10, 10),
+        ("A", "gap", "4", 50, None, 10, 10),
+    )
+    rows = {r.county_fips: r for r in mart.entity_mart(df).collect()}
+    assert [rows[k].data_quality_status for k in "1234"] == ["Small Population", "Valid", "Valid", "Incomplete Data"]
+    # mean 20, range 20: above 22 is flagged; a null measure gives false, not null
+    assert [rows[k].flag_high_diabetes for k in "1234"] == [False, False, True, False]
+    assert rows["4"].health_burden_score is None
+    assert rows["1"].health_burden_score == 10.0
+
+
+def test_value_on_the_flag_threshold_is_not_flagged(counties):
+    # obesity: mean 50, range 100 -> threshold 60
+    df = counties(*[("A", str(v), str(v), 1, 1, v, 1) for v in (0, 60, 100, 40)])
+    flags = dict(values(mart.entity_mart(df), "county_fips", "flag_high_obesity"))
+    assert flags == {"0": False, "40": False, "60": False, "100": True}
+
+
+def test_two_spellings_of_a_group_label(counties):
+    df = counties(
+        ("A", "a", "1", 1, 1, 1, 1), ("A", "b", "2", 1, 2, 2, 2), state_name={"1": "Alpha", "2": "ALPHA"}
+    )
+    assert mart.entity_mart(df).count() == 4
+    assert mart.entity_mart(df, on_fanout=mart.MATCH_ALL).count() == 2
+    with pytest.raises(mart.FanOutError):
+        mart.entity_mart(df, on_fanout=mart.ERROR)
+    assert profile.group_profile(df).count() == 2
+
+
+def test_profile_counts_entities_once_unless_told_they_are_unique(counties):
+    df = counties(("A", "a", "1", 5, 1, 1, 1), ("A", "a", "1", 5, 1, 1, 1), ("A", "b", None, 5, 2, 2, 2))
+    assert values(profile.group_profile(df), "num_counties", "state_total_population") == [(1, 15)]
+    unique = latest_copy(df)
+    assert values(profile.group_profile(unique, entity_unique=True), "num_counties") == values(
+        profile.group_profile(unique), "num_counties"
+    )
+
+
+def latest_copy(df):
+    stamped = df.withColumns({"loaded_at": F.current_timestamp(), "source_file": F.lit("f")})
+    return latest_per_entity(stamped, "county_fips").drop("loaded_at", "source_file")
+
+
+def test_latest_load_wins_and_rows_without_key_stay(spark):
+    df = spark.createDataFrame(
+        [("1", "old", 1, "a"), ("1", "new", 2, "a"), ("1", "new file", 2, "b"), ("2", "only", 1, "a"), (None, "x", 1, "a"), (None, "y", 1, "a")],
+        "k string, v string, loaded_at int, source_file string",
+    )
+    once = latest_per_entity(df, "k")
+    assert sorted(values(once, "v")) == [("new file",), ("only",), ("x",), ("y",)]
+    assert sorted(values(latest_per_entity(once, "k"), "v")) == sorted(values(once, "v"))
+
+
+RAW = [*KEY_COLUMNS, *POPULATION_COLUMNS, *MEASURE_COLUMNS, "loaded_at", "source_file", "extracted_at"]
+
+
+def raw_row(spark, *rows):
+    full = [tuple({**dict.fromkeys(RAW), **row}[c] for c in RAW) for row in rows]
+    return spark.createDataFrame(full, ", ".join(f"{c} string" for c in RAW)).withColumn(
+        "loaded_at", F.col("loaded_at").cast("timestamp")
+    )
+
+
+def test_staging(spark):
+    base = {"stateabbr": "WI", "countyname": "Dane", "countyfips": "55025", "loaded_at": "2026-02-18"}
+    raw = raw_row(
+        spark,
+        {**base, "totalpopulation": "12.5", "diabetes_crudeprev": "9.1", "bphigh_crudeprev": "", "extracted_at": "1771407117"},
+        {**base, "loaded_at": "2026-02-19", "totalpopulation": "14"},
+        {**base, "stateabbr": None},
+        {**base, "countyname": None},
+    )
+    staged = stage(raw)
+    assert len(staged.columns) == 33  # the audit column is added when the model is written
+    assert staged.count() == 2
+    first = staged.where("total_population = 13").first()
+    assert (first.pct_diabetes, first.pct_hypertension) == (Decimal("9.10"), None)
+    assert staged.schema["pct_any_disability"].dataType.simpleString() == "decimal(5,2)"
+    assert first.extracted_at is not None and first.dataset_id is None
+    assert values(stage(raw, dedupe=True), "total_population") == [(14,)]
+
+
+def test_unpivot_labels_and_selection(counties):
+    df = counties(("A", "a", "1", 1, 1, None, 3))
+    long = reshape.unpivot_measures(df, CFG.keys)
+    assert sorted(values(long, "health_measure", "prevalence_percent")) == [
+        ("Current Smoker", Decimal("3.00")), ("Diabetes", Decimal("1.00")),
+    ]
+    assert reshape.measure_filter(long, None) is long
+    labels = reshape.labels_of_codes()
+    assert len(labels) == 9 and labels["pct_diabetes"] == "Diabetes" and labels["pct_copd"] == "pct_copd"
+
+
+def test_optional_filters(counties):
+    df = counties(("A", "a", "1", 1, 1, 1, 1), ("B", "b", "2", 1, 1, 1, 1))
+    assert state_filter(df, None).count() == 2 and state_filter(df, ["B"]).count() == 1
+    assert year_filter(df, 2023).count() == 2
+    assert year_filter(df.withColumn("year", F.col("county_fips").cast("int")), 2).count() == 1
+
+
+def test_other_names(counties):
+    """The operators work for other roles and column names."""
+    df = counties(("A", "a", "1", 1, 1, 1, 1), ("A", "b", "2", 1, 3, 1, 1)).withColumnsRenamed(
+        {"state_code": "ward", "state_name": "ward_name", "county_fips": "clinic"}
+    )
+    cfg = replace(CFG, group_cols=("ward", "ward_name"), entity_key="clinic", group_noun="ward", entity_plural="clinics")
+    assert {"ward_avg_diabetes", "ward_diabetes_range"} <= set(mart.entity_mart(df, cfg).columns)
+    assert values(profile.group_profile(df, cfg), "num_clinics", "clinics_high_diabetes") == [(2, 1)]
