@@ -55,12 +55,23 @@ def landing_reader(reader, schema: T.StructType, layout: str):
     )
 
 
+def _readable(schema: T.StructType, yes: bool) -> Column:
+    """Whether the input could be parsed.
+
+    The reader refuses queries that need nothing but the slot for unreadable input (a plain count,
+    say), so the condition also looks at one parsed column, in a way that is always true.
+    """
+    corrupt = F.col(_CORRUPT)
+    first = F.concat_ws("", F.col(schema.names[0]).cast("string"))
+    return (corrupt.isNull() if yes else corrupt.isNotNull()) & (F.length(first) >= 0)
+
+
 def unwrap_records(read: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of a list of records, an envelope ``{"data": [...]}`` or a single record.
 
     Adds ``source_file`` and drops unreadable input. A key that a record lacks becomes null.
     """
-    readable = read.where(F.col(_CORRUPT).isNull())
+    readable = read.where(_readable(schema, True))
     source_file = F.col("_metadata.file_path").alias("source_file")
     if "data" not in set(read.columns) - set(schema.names):
         return readable.select(*schema.names, source_file)
@@ -83,11 +94,10 @@ def read_landing(
     not exist raises.
     """
     read = landing_reader(spark.read, schema, layout).json(path if isinstance(path, str) else list(path))
-    # Selecting a parsed column next to the corrupt one keeps the reader from refusing the query.
-    quarantine = read.where(F.col(_CORRUPT).isNotNull()).select(
-        F.col("_metadata.file_path").alias("source_file"), F.col(_CORRUPT).alias("content"), *schema.names[:1]
+    quarantine = read.where(_readable(schema, False)).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col(_CORRUPT).alias("content")
     )
-    return Landed(unwrap_records(read, schema), quarantine.select("source_file", "content"))
+    return Landed(unwrap_records(read, schema), quarantine)
 
 
 def read_landing_directory(
