@@ -119,10 +119,9 @@ def quality_status(spark, folder):
 
 
 def mart_ordered(spark, folder):
+    columns = ["state_code", "county_name", "county_fips", "health_burden_score"]
     order = [*mart.mart_order(), F.col("county_fips").asc()]
-    return numbered_by_sort(entity_mart(spark, folder), [], order, "position").select(
-        "position", "state_code", "county_fips", "health_burden_score"
-    )
+    return numbered_by_sort(entity_mart(spark, folder).select(*columns), [], order, "position").drop("county_name")
 
 
 def mart_ordered_top(spark, folder):
@@ -177,13 +176,17 @@ def json_dir_scan(spark, folder):
 
 
 def append_loads(spark, folder):
-    """The same table loaded twice, the second time with its columns in another order."""
+    """The same table appended twice, the second time with its columns in another order."""
     customers = table(spark, folder, "customer")
     first = customers.withColumn("load_no", F.lit(1))
     second = customers.withColumn("load_no", F.lit(2)).select("load_no", *reversed(customers.columns))
+    path = scratch_path(spark, "raw")
+    for load in (first, second):
+        raw_table.append_files(load, path)
     balance = F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("balance")
     return (
-        raw_table.combine_loads([first, second])
+        spark.read.schema(first.schema)
+        .parquet(path)
         .groupBy("load_no")
         .agg(F.count(F.lit(1)).alias("records"), balance)
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prevascope.config import PAGE_SIZE, RECENT_ROWS, SHALLOW_PAGE_END
+from prevascope.config import BROADCAST_GROUPS, PAGE_SIZE, RECENT_ROWS, SHALLOW_PAGE_END
 from prevascope.operators.numbering import numbered_by_sort
 
 
@@ -30,16 +32,22 @@ def page_of_table(
     limit: int = PAGE_SIZE,
     shallow_end: int = SHALLOW_PAGE_END,
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in key order; ``keys`` should be unique.
+    """Rows ``offset`` to ``offset + limit`` in key order; ``keys`` must be unique.
 
     A page near the start is a bounded top-k. A deep one would make every task keep all rows
-    before the page, so it is cut from distributed row numbers instead.
+    before the page, so the keys alone are numbered by a distributed sort and the page's rows are
+    then fetched by key. At most ``limit`` keys are broadcast.
     """
     order = [F.col(k).asc_nulls_last() for k in keys]
     if offset + limit <= shallow_end:
         return df.orderBy(*order).offset(offset).limit(limit)
-    numbered = numbered_by_sort(df, [], order, "_row")
-    return numbered.where(F.col("_row").between(offset + 1, offset + limit)).drop("_row")
+    wanted = numbered_by_sort(df.select(*keys), [], order, "_row").where(
+        F.col("_row").between(offset + 1, offset + limit)
+    )
+    wanted = wanted.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    if limit <= BROADCAST_GROUPS:
+        wanted = F.broadcast(wanted)
+    return df.join(wanted, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
 
 
 def recent_rows(

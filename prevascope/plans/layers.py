@@ -98,7 +98,8 @@ def build_models(
     profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
     profile = _save(with_audit(profiled, CREATED), layers.profile)
     if on_fanout == ERROR:
-        assert_one_profile_per_group(profile, cfg)
+        if shape.profiles != shape.groups:
+            assert_one_profile_per_group(profile, cfg)
         on_fanout = ALLOW
     scored = scorecard(ranking, profile, cfg, shape.profiles, on_fanout).orderBy(*mart_order(cfg))
     mart = _save(with_audit(scored, CREATED, UPDATED), layers.mart)

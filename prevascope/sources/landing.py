@@ -18,6 +18,7 @@ from prevascope.config import (
     LANDING_MARK,
     LANDING_PREFIX,
     MEASURE_COLUMNS,
+    PAGE_SIZE,
     POPULATION_COLUMNS,
     SOURCE_LABEL,
 )
@@ -155,12 +156,18 @@ def with_extract_provenance(
     )
 
 
-def write_extract(df: DataFrame, directory: str, at: datetime | None = None, prefix: str = LANDING_PREFIX) -> str:
+def write_extract(
+    df: DataFrame,
+    directory: str,
+    at: datetime | None = None,
+    prefix: str = LANDING_PREFIX,
+    page_size: int = PAGE_SIZE,
+) -> str:
     """Write ``df`` as JSON lines to ``<directory>/<prefix>_<yyyymmdd_HHMMSS>.json``; returns the path.
 
-    The entry is a directory with one part file per task. Nulls are written, so every record
-    shows all keys.
+    The entry is a directory of part files with at most ``page_size`` records each, written by the
+    tasks that hold them. Nulls are written, so every record shows all keys.
     """
     path = f"{directory.rstrip('/')}/{prefix}_{(at or datetime.now()):%Y%m%d_%H%M%S}.json"
-    df.write.option("ignoreNullFields", False).json(path)
+    df.write.option("ignoreNullFields", False).option("maxRecordsPerFile", page_size).json(path)
     return path

@@ -41,6 +41,11 @@ def append_by_name(df: DataFrame, table: str) -> None:
     aligned.write.insertInto(table)
 
 
+def append_files(df: DataFrame, path: str) -> None:
+    """Append a load to a Parquet folder, whose columns Spark matches by name when reading."""
+    df.write.mode("append").parquet(path)
+
+
 def combine_loads(loads: Sequence[DataFrame]) -> DataFrame:
     """Bag union of loads, columns matched by name, missing ones null."""
     return reduce(lambda all_, load: all_.unionByName(load, allowMissingColumns=True), loads)
