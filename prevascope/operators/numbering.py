@@ -11,7 +11,11 @@ from prevascope.session import materialise
 
 
 def numbered_by_sort(
-    df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], name: str
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by group_cols order by order)``, for groups of any size.
 
@@ -19,12 +23,15 @@ def numbered_by_sort(
     large group spans many tasks. Each row keeps its position in its partition; a small table of
     runs (one per group and partition) says how many rows of the group lie in earlier partitions.
     The sorted rows are written once, so positions stay the same when tasks are run again.
+    ``keep`` names the columns wanted besides the number; those only sorted by are not written.
     """
     group_cols = list(group_cols)
+    keep = list(keep or df.columns)
     placed = materialise(
         df.orderBy(*[F.col(c).asc_nulls_last() for c in group_cols], *order)
         .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_pos", 33)),
+        .withColumn("_part", F.shiftright("_pos", 33))
+        .select(*dict.fromkeys([*keep, *group_cols]), "_pos", "_part"),
         "sorted",
     )
     runs = placed.groupBy(*group_cols, "_part").agg(
@@ -48,5 +55,5 @@ def numbered_by_sort(
     for c in group_cols:
         match = match & F.col(c).eqNullSafe(F.col(f"_run_{c}"))
     return placed.join(runs, match).select(
-        *df.columns, (F.col("_pos") + F.col("_shift")).cast("bigint").alias(name)
+        *keep, (F.col("_pos") + F.col("_shift")).cast("bigint").alias(name)
     )

@@ -92,16 +92,21 @@ def rank_in_group(
 
     # The ids are generated once and stored, so both readers below see the same ones.
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    columns = [m.column for m in cfg.ranked]
-    stacked = rows.unpivot([cfg.group_key, cfg.entity_key, "_row"], columns, "_measure", "_value")
+    codes = [str(i) for i, _ in enumerate(cfg.ranked)]
+    ids = [cfg.group_key, cfg.entity_key, "_row"]
+    stacked = (
+        rows.select(*ids, *[F.col(m.column).alias(code) for code, m in zip(codes, cfg.ranked)])
+        .unpivot(ids, codes, "_measure", "_value")
+        .withColumn("_measure", F.col("_measure").cast("tinyint"))
+    )
     order = [*_rank_order("_value", cfg.entity_key), F.col("_row").asc()]
     ranked = numbered_by_sort(
-        stacked, ["_measure", cfg.group_key], order, "_rank"
+        stacked, ["_measure", cfg.group_key], order, "_rank", keep=["_row", "_measure"]
     )
     per_row = ranked.groupBy("_row").agg(
         *[
-            F.max(F.when(F.col("_measure") == m.column, F.col("_rank"))).alias(f"{m.short}_rank")
-            for m in cfg.ranked
+            F.max(F.when(F.col("_measure") == int(code), F.col("_rank"))).alias(f"{m.short}_rank")
+            for code, m in zip(codes, cfg.ranked)
         ]
     )
     return rows.join(per_row, "_row").drop("_row")
