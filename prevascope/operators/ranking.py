@@ -16,16 +16,14 @@ from prevascope.session import materialise
 AUTO, WINDOW, SORTED = "auto", "window", "sorted"
 
 
-def _choose(method: str, df: DataFrame, cfg: PrevalenceConfig, shape: GroupShape | None):
-    """Resolve ``auto``: a group that fits one task is handled by a window, else by sorting."""
-    if method == WINDOW:
-        return method, shape
-    shape = shape or GroupShape.of(df, cfg.group_cols)
+def _choose(method: str, df: DataFrame, cfg: PrevalenceConfig, shape: GroupShape | None) -> str:
+    """Resolve ``auto``: groups that each fit one task are handled by a window, others by sorting."""
     if method == AUTO:
-        method = WINDOW if shape.largest <= cfg.rows_per_task else SORTED
-    if method != WINDOW and method != SORTED:
+        shape = shape or GroupShape.of(df, cfg.group_cols)
+        return WINDOW if shape.largest <= cfg.rows_per_task else SORTED
+    if method not in (WINDOW, SORTED):
         raise ValueError(f"unknown method {method!r}")
-    return method, shape
+    return method
 
 
 def _rank_order(column: str, entity_key: str) -> list[Column]:
@@ -86,8 +84,7 @@ def rank_in_group(
     all, and the ranks return to their rows by a generated row id. ``auto`` picks by the size of
     the largest group.
     """
-    method, shape = _choose(method, df, cfg, shape)
-    if method == WINDOW:
+    if _choose(method, df, cfg, shape) == WINDOW:
         return df.withColumns(_window_ranks(cfg))
 
     # The ids are generated once and stored, so both readers below see the same ones.
@@ -133,9 +130,10 @@ def entity_ranking(
     With ``window`` the means and all ranks come out of a single shuffle; with ``sorted`` the
     means are aggregated and joined back.
     """
-    method, shape = _choose(method, staged, cfg, shape)
+    if method != WINDOW:
+        shape = shape or GroupShape.of(staged, cfg.group_cols)
     slim = staged.select(*cfg.keys, *cfg.measures)
-    if method == WINDOW:
+    if _choose(method, staged, cfg, shape) == WINDOW:
         group = Window.partitionBy(cfg.group_key)
         means = {
             _mean_name(m.short, cfg): mean_of(F.col(m.column), slim.schema[m.column].dataType, group)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +15,21 @@ from prevascope.operators.contracts import contract_report
 from prevascope.operators.groups import GroupShape
 from prevascope.operators.mart import ALLOW, ERROR, assert_one_profile_per_group, mart_order, scorecard
 from prevascope.operators.profile import group_profile
-from prevascope.operators.quality import quality_report_of_table
+from prevascope.operators.quality import assert_quality, quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.staging import stage
 from prevascope.sources.landing import DOCUMENT, LANDING_SCHEMA, read_landing_directory, with_load_provenance
 from prevascope.sources.raw_table import append_by_name, ensure_namespace
+from prevascope.sources.reports import nest_report, save_report
 
 CREATED, UPDATED = "dbt_created_at", "dbt_updated_at"
 
 
+class ContractError(RuntimeError):
+    """Rows of a model break a column contract."""
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where each model goes."""
@@ -114,3 +120,25 @@ def check_models(models: dict[str, DataFrame]) -> DataFrame:
 def check_raw(spark: SparkSession, layers: Layers = Layers(), **options) -> DataFrame:
     """Quality report of the raw table."""
     return quality_report_of_table(spark, layers.raw, **options)
+
+
+def run_all(
+    spark: SparkSession,
+    directory: str,
+    layers: Layers = Layers(),
+    layout: str = DOCUMENT,
+    cfg: PrevalenceConfig = DEFAULT_CONFIG,
+    report_path: str | None = None,
+) -> dict[str, DataFrame]:
+    """Load, build and check; raises when a contract is broken or a quality check fails."""
+    load_directory(spark, directory, layers, layout)
+    models = build_models(spark, layers, cfg)
+    broken = check_models(models).where("failures > 0").collect()
+    if broken:
+        raise ContractError("; ".join(f"{r.model}.{r.column_name} {r.rule}: {r.failures} rows" for r in broken))
+    as_of = datetime.now(timezone.utc)
+    checks = check_raw(spark, layers, as_of=F.lit(as_of))
+    if report_path:
+        save_report(nest_report(checks, as_of.isoformat()), report_path)
+    assert_quality(checks)
+    return models

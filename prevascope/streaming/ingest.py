@@ -32,9 +32,8 @@ def ingest_new_files(
     """
     read = (
         landing_reader(spark.readStream, schema, layout)
-        .option("pathGlobFilter", f"*{LANDING_MARK}*.json")
         .option("maxFilesPerTrigger", max_files_per_batch)
-        .json(directory)
+        .json(f"{directory.rstrip('/')}/*{LANDING_MARK}*.json")
     )
     return (
         with_load_provenance(unwrap_records(read, schema))

@@ -128,3 +128,18 @@ def test_files_are_ingested_once(spark, tmp_path):
     after = run()
     assert states(after) == ["CA", "CA", "NY"]
     assert {"loaded_at", "source_file"} <= set(after.columns)
+
+
+def test_stream_finds_extracts_written_later(spark, tmp_path):
+    directory, target, checkpoint = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "state")
+    frame = spark.createDataFrame(ROWS, DAILY)
+    for day, total in ((1, 2), (2, 4)):
+        landing.write_extract(frame, directory, datetime(2026, 2, day))
+        ingest_new_files(spark, directory, target, checkpoint, DAILY, landing.LINES).awaitTermination()
+        assert spark.read.parquet(target).count() == total
+
+
+def test_extract_files_hold_at_most_one_page(spark, tmp_path):
+    landing.write_extract(spark.range(1000).coalesce(1), str(tmp_path / "new"), page_size=300)
+    sizes = sorted(len(p.read_text().splitlines()) for p in (tmp_path / "new").rglob("part-*.json"))
+    assert sizes == [100, 300, 300, 300]

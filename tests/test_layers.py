@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from prevascope.operators.mart import FanOutError
 from prevascope.operators.quality import assert_quality, dq_summary
-from prevascope.plans.layers import Layers, build_models, check_models, check_raw, load_directory
+from prevascope.plans.layers import ContractError, Layers, build_models, check_models, check_raw, load_directory, run_all
+from prevascope.sources.reports import read_report, report_summary
 
 
 def layers(tag):
@@ -85,3 +86,13 @@ def test_unknown_state_breaks_the_contract(spark, landing):
     load_directory(spark, str(landing), where)
     broken = check_models(build_models(spark, where)).where("status = 'FAIL'").collect()
     assert [(r.model, r.column_name, r.rule, r.failures) for r in broken] == [("profile", "state_code", "accepted_values", 1)]
+
+
+def test_everything_in_one_call(spark, landing, tmp_path):
+    where, report = layers("all"), str(tmp_path / "report")
+    models = run_all(spark, str(landing), where, report_path=report)
+    assert models["mart"].count() == 3
+    assert report_summary(read_report(spark, report)).first().status == "PASS"
+    (landing / "places_county_2.json").write_text(json.dumps(record("XX", "Nowhere", "99001", "9.0")))
+    with pytest.raises(ContractError, match="profile.state_code accepted_values: 1 rows"):
+        run_all(spark, str(landing), where)
