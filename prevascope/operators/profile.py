@@ -69,8 +69,12 @@ def _few_values(data_type: T.DataType) -> bool:
 
 
 def _middle_by_count(stacked: DataFrame, key: str) -> DataFrame:
-    """Candidates for the lower and upper middle value, from counts per distinct value."""
-    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    """Candidates for the lower and upper middle value, from counts per distinct value.
+
+    The counts, of which a group has as many as its measures have values, are gathered by group
+    once, for the running counts here and for the aggregate of the caller.
+    """
+    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows")).repartition(key)
     group = Window.partitionBy(key, "_measure")
     upto = F.sum("_rows").over(group.orderBy("_value"))
     placed = counts.select(
