@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -98,11 +99,14 @@ def build_models(
     long = unpivot_measures(staged, cfg.keys, LONG_LABELS)
     long.createOrReplaceTempView(layers.long)
 
+    # Neither of the two tables needs the other, so their jobs share the cluster.
     shape = GroupShape.of(staged, cfg.group_cols)
-    ranked = entity_ranking(staged, cfg, method, shape).sortWithinPartitions(*by_entity)
-    ranking = _save(with_audit(ranked, CREATED), layers.ranking)
-    profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
-    profile = _save(with_audit(profiled, CREATED), layers.profile)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        ranked = entity_ranking(staged, cfg, method, shape).sortWithinPartitions(*by_entity)
+        ranking = pool.submit(_save, with_audit(ranked, CREATED), layers.ranking)
+        profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
+        profile = pool.submit(_save, with_audit(profiled, CREATED), layers.profile)
+    ranking, profile = ranking.result(), profile.result()
     if on_fanout == ERROR:
         if shape.profiles != shape.groups:
             assert_one_profile_per_group(profile, cfg)
