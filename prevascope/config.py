@@ -118,6 +118,8 @@ BROADCAST_GROUPS = 50_000
 ROWS_PER_TASK = 2_000_000
 #: pages that end before this row use a bounded top-k, deeper ones a distributed numbering
 SHALLOW_PAGE_END = 100_000
+#: top-k queries for more rows than this first narrow the input
+NARROW_TOP_ABOVE = 1_000
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prevascope.config import BROADCAST_GROUPS, PAGE_SIZE, RECENT_ROWS, SHALLOW_PAGE_END
+from prevascope.config import BROADCAST_GROUPS, NARROW_TOP_ABOVE, PAGE_SIZE, RECENT_ROWS, SHALLOW_PAGE_END
 from prevascope.operators.numbering import numbered_by_sort
 
 
@@ -51,15 +51,19 @@ def page_of_table(
 
 
 def recent_rows(
-    df: DataFrame, ts: str, keys: Sequence[str], limit: int = RECENT_ROWS
+    df: DataFrame,
+    ts: str,
+    keys: Sequence[str],
+    limit: int = RECENT_ROWS,
+    narrow_above: int = NARROW_TOP_ABOVE,
 ) -> DataFrame:
     """The ``limit`` rows with the latest ``ts`` (nulls last), ties broken by ``keys``.
 
-    The hour in which the ``limit``-th row falls is found from counts per hour, so that the
-    top-k only sees rows from that hour on instead of ``limit`` rows from every task. When the
-    table has fewer dated rows than ``limit``, all rows take part.
+    Every task of a top-k sends ``limit`` rows to the last one. Above ``narrow_above`` rows the hour
+    of the ``limit``-th row is therefore found first, from counts per hour, and only rows from that
+    hour on take part. When the table has fewer dated rows than ``limit``, all rows take part.
     """
-    start = _start_of_last_rows(df, ts, limit)
+    start = _start_of_last_rows(df, ts, limit) if limit > narrow_above else None
     if start is not None:
         df = df.where(F.col(ts) >= F.timestamp_micros(F.lit(start)).cast(df.schema[ts].dataType))
     return df.orderBy(F.col(ts).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys]).limit(limit)

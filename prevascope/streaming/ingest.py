@@ -19,16 +19,17 @@ from prevascope.sources.landing import (
 def ingest_new_files(
     spark: SparkSession,
     directory: str,
-    target: str,
+    table: str,
     checkpoint: str,
     schema: T.StructType = LANDING_SCHEMA,
     layout: str = DOCUMENT,
     max_files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Append the records of files not seen before to the Parquet folder ``target``, then stop.
+    """Append the records of files not seen before to ``table``, then stop.
 
     The checkpoint remembers the files and the sink's log commits each batch once, so running it
-    again, also after a failure, adds nothing twice. Unreadable files contribute no records.
+    again, also after a failure, adds nothing twice. Unreadable files contribute no records. The
+    table is created by the first run and should have no other writer.
     """
     read = (
         landing_reader(spark.readStream, schema, layout)
@@ -38,8 +39,7 @@ def ingest_new_files(
     return (
         with_load_provenance(unwrap_records(read, schema))
         .writeStream.format("parquet")
-        .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
+        .toTable(table)
     )

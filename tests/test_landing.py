@@ -111,13 +111,14 @@ def test_append_matches_columns_by_name(spark):
 
 
 def test_files_are_ingested_once(spark, tmp_path):
-    directory, target, checkpoint = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "state")
+    raw_table.ensure_namespace(spark, "raw_stream")
+    directory, table, checkpoint = tmp_path / "landing", "raw_stream.once", str(tmp_path / "state")
     directory.mkdir()
 
     def run():
-        query = ingest_new_files(spark, str(directory), target, checkpoint, DAILY)
-        query.awaitTermination()
-        return spark.read.parquet(target)
+        ingest_new_files(spark, str(directory), table, checkpoint, DAILY).awaitTermination()
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
 
     write(directory / "places_1.json", ROWS)
     write(directory / "other_1.json", ROWS)
@@ -131,12 +132,14 @@ def test_files_are_ingested_once(spark, tmp_path):
 
 
 def test_stream_finds_extracts_written_later(spark, tmp_path):
-    directory, target, checkpoint = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "state")
+    raw_table.ensure_namespace(spark, "raw_stream")
+    directory, table, checkpoint = str(tmp_path / "landing"), "raw_stream.later", str(tmp_path / "state")
     frame = spark.createDataFrame(ROWS, DAILY)
     for day, total in ((1, 2), (2, 4)):
         landing.write_extract(frame, directory, datetime(2026, 2, day))
-        ingest_new_files(spark, directory, target, checkpoint, DAILY, landing.LINES).awaitTermination()
-        assert spark.read.parquet(target).count() == total
+        ingest_new_files(spark, directory, table, checkpoint, DAILY, landing.LINES).awaitTermination()
+        spark.catalog.refreshTable(table)
+        assert spark.table(table).count() == total
 
 
 def test_extract_files_hold_at_most_one_page(spark, tmp_path):

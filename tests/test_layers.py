@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from prevascope.operators.mart import FanOutError
 from prevascope.operators.quality import assert_quality, dq_summary
 from prevascope.plans.layers import ContractError, Layers, build_models, check_models, check_raw, load_directory, run_all
+from prevascope.sources.raw_table import ensure_namespace
 from prevascope.sources.reports import read_report, report_summary
+from prevascope.streaming.ingest import ingest_new_files
 
 
 def layers(tag):
@@ -96,3 +98,13 @@ def test_everything_in_one_call(spark, landing, tmp_path):
     (landing / "places_county_2.json").write_text(json.dumps(record("XX", "Nowhere", "99001", "9.0")))
     with pytest.raises(ContractError, match="profile.state_code accepted_values: 1 rows"):
         run_all(spark, str(landing), where)
+
+
+def test_models_over_a_streamed_raw_table(spark, landing, tmp_path):
+    where = layers("streamed")
+    ensure_namespace(spark, "raw_streamed")
+    for _ in range(2):
+        ingest_new_files(spark, str(landing), where.raw, str(tmp_path / "state")).awaitTermination()
+    spark.catalog.refreshTable(where.raw)
+    assert spark.table(where.raw).count() == 3
+    assert build_models(spark, where, dedupe=False)["mart"].count() == 3

@@ -44,13 +44,14 @@ def test_latest_value_overall_and_per_group(spark):
     assert got == {("a", 2, 30), ("b", 1, 5)}
 
 
+@pytest.mark.parametrize("narrow_above", [0, 1000])
 @pytest.mark.parametrize("limit", [1, 3, 4, 5, 100])
-def test_recent_rows_with_ties_and_nulls(spark, limit):
+def test_recent_rows_with_ties_and_nulls(spark, limit, narrow_above):
     df = spark.createDataFrame(
         [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 10:59:59"), (3, "2024-01-01 10:59:59"), (4, "2024-01-02 00:00:00"), (5, None), (6, None)],
         "k int, t string",
     ).withColumn("t", F.col("t").cast("timestamp"))
-    got = [r.k for r in filters.recent_rows(df, "t", ["k"], limit).collect()]
+    got = [r.k for r in filters.recent_rows(df, "t", ["k"], limit, narrow_above).collect()]
     assert got == [4, 2, 3, 1, 5, 6][:limit]
 
 
