@@ -119,13 +119,13 @@ def quality_status(spark, folder):
 
 
 def mart_ordered(spark, folder):
-    columns = ["state_code", "county_name", "county_fips", "health_burden_score"]
-    order = [*mart.mart_order(), F.col("county_fips").asc()]
-    return numbered_by_sort(entity_mart(spark, folder).select(*columns), [], order, "position").drop("county_name")
+    shown = ["state_code", "county_fips", "health_burden_score"]
+    slim = entity_mart(spark, folder).select(*shown, "county_name", "diabetes_rank")
+    return numbered_by_sort(slim, [], mart.mart_order(), "position", keep=shown)
 
 
 def mart_ordered_top(spark, folder):
-    return entity_mart(spark, folder).orderBy(*mart.mart_order(), F.col("county_fips").asc()).limit(50)
+    return entity_mart(spark, folder).orderBy(*mart.mart_order()).limit(50)
 
 
 # --- staging and reshape ---------------------------------------------------------------------
@@ -326,7 +326,7 @@ def recent_rows_sample(spark, folder):
 
 
 def series_by_date(spark, folder):
-    return reporting.series_by_date(table(spark, folder, "events"), "ts", "value")
+    return reporting.series_by_date(table(spark, folder, "events"), "ts", "value", ["event_id"])
 
 
 # --- driver interface ------------------------------------------------------------------------

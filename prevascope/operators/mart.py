@@ -135,9 +135,14 @@ def entity_mart(
 
 
 def mart_order(cfg: PrevalenceConfig = DEFAULT_CONFIG) -> list[Column]:
-    """Group, then highest burden first, then entity name."""
+    """Group, then highest burden first, then entity name.
+
+    A rank, unique within the group, comes last: a sort can then split even many copies of one
+    entity over several tasks.
+    """
     return [
         F.col(cfg.group_key).asc_nulls_last(),
         F.col("health_burden_score").desc_nulls_last(),
         F.col(cfg.entity_name).asc_nulls_last(),
+        F.col(f"{cfg.ranked[0].short}_rank").asc(),
     ]

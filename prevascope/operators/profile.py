@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from prevascope.config import DEFAULT_CONFIG, PrevalenceConfig
 from prevascope.functions.numeric import mean_of, round2
 from prevascope.operators.groups import GroupShape, attach_group_values
-from prevascope.operators.numbering import numbered_by_sort
 from prevascope.session import materialise
 
 EXACT, APPROX = "exact", "approx"
@@ -31,10 +30,11 @@ def group_medians(
     The median of a decimal keeps the scale of its measure, cutting the half unit that appears
     between two middle values; ``truncate=False`` returns the DOUBLE midpoint instead.
 
-    Measures of at most six digits take few distinct values, so the rows are first counted per
-    (group, value), which combines before the shuffle, and the median is read from the running
-    count. Other types are sorted over many tasks, whatever the size of a group. ``approx`` uses
-    ``percentile_approx`` and returns one of the values.
+    Rows are first counted per (group, value), which combines before the shuffle, so that not even
+    a value shared by most rows weighs on one task. The median is read from the running counts:
+    measures of at most six digits take so few values that a group's counts fit one task, those
+    of other types are sorted over many. ``approx`` uses ``percentile_approx`` and returns one of
+    the values.
     """
     if method == APPROX:
         return df.groupBy(key).agg(
@@ -48,8 +48,17 @@ def group_medians(
         F.col("_value").isNotNull()
     )
     value_type = stacked.schema["_value"].dataType
-    middle = _middle_by_count if _few_values(value_type) else _middle_by_sort
-    return middle(stacked, key).groupBy(key).agg(
+    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    running = _running_counts if _few_values(value_type) else _running_counts_by_sort
+    # The lower middle value is the first with half of the rows at or below it, the upper one the
+    # first with more than half.
+    middle = running(counts, key).select(
+        key,
+        "_measure",
+        F.when(F.col("_upto") * 2 >= F.col("_all"), F.col("_value")).alias("_low"),
+        F.when(F.col("_upto") * 2 > F.col("_all"), F.col("_value")).alias("_high"),
+    )
+    return middle.groupBy(key).agg(
         *[
             _midpoint(
                 F.min(F.when(F.col("_measure") == c, F.col("_low"))),
@@ -68,41 +77,54 @@ def _few_values(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.ByteType, T.ShortType))
 
 
-def _middle_by_count(stacked: DataFrame, key: str) -> DataFrame:
-    """Candidates for the lower and upper middle value, from counts per distinct value.
+def _running_counts(counts: DataFrame, key: str) -> DataFrame:
+    """Rows at or below each value (``_upto``) and in all (``_all``), one task per group.
 
-    The counts, of which a group has as many as its measures have values, are gathered by group
-    once, for the running counts here and for the aggregate of the caller.
+    A group has no more counts than its measures have values. They are gathered by group once,
+    for the windows here and for the aggregate of the caller.
     """
-    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows")).repartition(key)
     group = Window.partitionBy(key, "_measure")
-    upto = F.sum("_rows").over(group.orderBy("_value"))
-    placed = counts.select(
-        key, "_measure", "_value", upto.alias("_upto"), F.sum("_rows").over(group).alias("_all")
-    )
-    return placed.select(
+    return counts.repartition(key).select(
         key,
         "_measure",
-        F.when(F.col("_upto") * 2 >= F.col("_all"), F.col("_value")).alias("_low"),
-        F.when(F.col("_upto") * 2 > F.col("_all"), F.col("_value")).alias("_high"),
+        "_value",
+        F.sum("_rows").over(group.orderBy("_value")).alias("_upto"),
+        F.sum("_rows").over(group).alias("_all"),
     )
 
 
-def _middle_by_sort(stacked: DataFrame, key: str) -> DataFrame:
-    """As :func:`_middle_by_count`, from distributed row numbers."""
-    numbered = numbered_by_sort(stacked, ["_measure", key], [F.col("_value").asc()], "_number")
-    # Written so that its true size decides how Spark joins it: one row per group and measure.
-    sizes = materialise(numbered.groupBy(key, "_measure").agg(F.max("_number").alias("_all")), "sizes")
-    at = numbered.alias("n").join(
-        sizes.alias("s"),
-        F.col(f"n.{key}").eqNullSafe(F.col(f"s.{key}")) & (F.col("n._measure") == F.col("s._measure")),
+def _running_counts_by_sort(counts: DataFrame, key: str) -> DataFrame:
+    """As :func:`_running_counts`, with each group spread over many tasks.
+
+    The counts are range-partitioned on group and value, which no two of them share, and written
+    once. Running counts start inside each part of a group; the totals of the parts before it,
+    one row per group and part, are added by a join.
+    """
+    group = ["_measure", key]
+    placed = materialise(
+        counts.orderBy(*[F.col(c).asc_nulls_last() for c in group], "_value").withColumn(
+            "_part", F.spark_partition_id()
+        ),
+        "counts",
+    )
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*group, "_part").agg(F.sum("_rows").alias("_rows"))
+    # Written too: its true size then decides between a broadcast and a shuffle join.
+    parts = materialise(
+        parts.select(
+            *[F.col(c).alias(f"_p_{c}") for c in [*group, "_part"]],
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(whole).alias("_all"),
+        ),
+        "parts",
     )
-    twice = F.col("_number") * 2
-    return at.where(twice.between(F.col("_all"), F.col("_all") + 2)).select(
-        F.col(f"n.{key}").alias(key),
-        F.col("n._measure").alias("_measure"),
-        F.when(twice >= F.col("_all"), F.col("_value")).alias("_low"),
-        F.when(twice > F.col("_all"), F.col("_value")).alias("_high"),
+    inside = F.sum("_rows").over(Window.partitionBy(*group, "_part").orderBy("_value"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in [*group, "_part"]])
+    return (
+        placed.withColumn("_inside", inside)
+        .join(parts, same)
+        .select(key, "_measure", "_value", (F.col("_before") + F.col("_inside")).alias("_upto"), "_all")
     )
 
 

@@ -139,9 +139,13 @@ def latest_value(df: DataFrame, ts: str, value: str, key: str, group: str | None
     )
 
 
-def series_by_date(df: DataFrame, ts: str, value: str) -> DataFrame:
-    """Date and value of every row, oldest first."""
-    return df.select(ts, value).orderBy(F.col(ts).asc_nulls_last())
+def series_by_date(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Date and value of every row, oldest first.
+
+    Unique ``keys`` break ties, so that a sort can split a date that very many rows share.
+    """
+    order = [F.col(c).asc_nulls_last() for c in [ts, *keys]]
+    return df.select(ts, value, *keys).orderBy(*order).select(ts, value)
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], limit: int = SAMPLE_ROWS) -> DataFrame:

@@ -124,3 +124,12 @@ def test_dedupe_drops_copies_before_the_shuffle(spark, plan_of):
     plan = plan_of(latest_per_entity(df, "county_fips"))
     partial = plan.index("row_number(), 1, Partial")
     assert plan.index("Exchange hashpartitioning") < partial  # below the exchange in the tree
+
+
+@pytest.mark.parametrize("kind", ["decimal(5,2)", "decimal(12,2)", "double"])
+def test_median_of_skewed_groups(spark, kind):
+    df = skewed(spark).select("state_code", F.col("pct_diabetes").cast(kind).alias("v"))
+    expected = {r.state_code: r.m for r in df.selectExpr("state_code", "cast(v as double) v").groupBy("state_code").agg(
+        F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    got = {r.state_code: r.m for r in profile.group_medians(df, "state_code", {"v": "m"}, truncate=False).collect()}
+    assert got == pytest.approx(expected)
