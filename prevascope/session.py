@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # a run has more distinct stages than the default of 100 compiled ones kept for reuse
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # plans are built from many small column expressions; recording the call site of each is slow
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
