@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -24,6 +25,14 @@ from prevascope.session import materialise, scratch_path  # noqa: E402
 from prevascope.sources import landing, raw_table, reports  # noqa: E402
 from sample_tables import entity_measures, loads_of_events, raw_entities, table  # noqa: E402
 
+# the text operators are optional: the rest works without their folder and the pipeline file
+HAS_LLM = importlib.util.find_spec("prevascope.llm") is not None
+HAS_PIPELINE = HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
+if HAS_LLM:
+    from prevascope.llm import queries as text_queries  # noqa: E402
+if HAS_PIPELINE:
+    import corpus_pipeline  # noqa: E402
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -350,9 +359,19 @@ def queries() -> dict[str, Query]:
         top_groups_by_metric, top_groups_by_count, metric_totals, metric_fallback, source_fallback, latest_value,
         recent_rows, recent_rows_sample, series_by_date,
     ]
-    return {query.__name__: query for query in registered}
+    named = {query.__name__: query for query in registered}
+    if HAS_LLM:
+        named |= text_queries.queries()
+    if HAS_PIPELINE:
+        named["pipeline"] = corpus_pipeline.run
+    return named
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL each registered query must equal."""
-    return oracle_queries.oracle_sql()
+    sql = oracle_queries.oracle_sql()
+    if HAS_LLM:
+        sql |= text_queries.oracle_sql()
+    if HAS_PIPELINE and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
