@@ -7,6 +7,7 @@ from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +129,7 @@ def row_of(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most ``most`` bytes of text each, or one row."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends, at = np.cumsum(lengths), 0
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prevascope.llm import exact_dedup, privacy, secrets, warc
+from prevascope.llm import contamination, exact_dedup, privacy, secrets, warc
 from prevascope.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op3_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op5_contamination(spark, folder):
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_private_spans(spark, folder):
     return privacy.private_spans(table(spark, folder, "documents")).drop("found")
 
@@ -38,9 +42,31 @@ FROM documents
 """
 
 
+OP5 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), placed AS (SELECT item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS key FROM placed),
+starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows)),
+found AS (
+  SELECT s.doc_id, s.i, s.n, v.item
+  FROM (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM starts) s JOIN windows v USING (n, key)
+), hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
+owned AS (SELECT doc_id, count(DISTINCT item) AS n_items, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
+"""
+
+
 def queries() -> dict:
-    return {q.__name__: q for q in (op3_exact_dedup, op7_private_spans, op9_secret_scan, op10_warc)}
+    return {q.__name__: q for q in (op3_exact_dedup, op5_contamination, op7_private_spans, op9_secret_scan, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3}
+    return {"op3_exact_dedup": OP3, "op5_contamination": OP5}
