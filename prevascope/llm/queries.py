@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prevascope.llm import contamination, exact_dedup, privacy, secrets, warc
+from prevascope.llm import contamination, exact_dedup, near_dedup, privacy, secrets, warc
 from prevascope.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op3_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_contamination(spark, folder):
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -42,6 +46,24 @@ FROM documents
 """
 
 
+OP4 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y USING (s) WHERE x.doc_id != y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM both JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS low FROM docs UNION SELECT links.a, reach.low FROM reach JOIN links ON links.b = reach.doc_id
+)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(low) AS component_id, doc_id = min(low) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 OP5 = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -65,8 +87,8 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op3_exact_dedup, op5_contamination, op7_private_spans, op9_secret_scan, op10_warc)}
+    return {q.__name__: q for q in (op3_exact_dedup, op4_near_dedup, op5_contamination, op7_private_spans, op9_secret_scan, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3, "op5_contamination": OP5}
+    return {"op3_exact_dedup": OP3, "op4_near_dedup": OP4, "op5_contamination": OP5}
