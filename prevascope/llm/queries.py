@@ -54,9 +54,9 @@ WITH RECURSIVE docs AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
-both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y USING (s) WHERE x.doc_id != y.doc_id GROUP BY 1, 2),
+paired AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y USING (s) WHERE x.doc_id != y.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT a, b FROM both JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+  SELECT a, b FROM paired JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
 ), reach AS (
   SELECT doc_id, doc_id AS low FROM docs UNION SELECT links.a, reach.low FROM reach JOIN links ON links.b = reach.doc_id
 )
