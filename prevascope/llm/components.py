@@ -22,10 +22,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and order-free checksum of an edge table."""
-    code = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(code.cast("decimal(38,0)")), F.bit_xor(code)).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one link at most, to a node without one: then every component is a star."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -37,11 +40,7 @@ def roots(edges: DataFrame) -> DataFrame:
     """
     larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     edges = materialise(edges.where("a != b").select(larger, smaller).distinct(), "edges")
-    now = _state(edges)
-    while now[0]:
+    while not _settled(edges):
         edges = materialise(_small_star(materialise(_large_star(edges), "large-star")), "small-star")
-        before, now = now, _state(edges)
-        if before == now:
-            break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

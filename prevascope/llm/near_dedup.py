@@ -2,10 +2,10 @@
 
 Texts with the same set of shingles form a class at once. Classes that agree in a band share a bucket.
 Each member of a bucket is checked against the bucket's pivot, first by signature, then on the full sets;
-the links found give components. Buckets that still hold several components get other pivots while that
-finds many links. Then the members of open buckets meet in tiles of bounded size, where all that lie in
-different components are compared, by signature and then on full sets, and one link for each two
-components comes out: no connection is missed, and a group of copies is never expanded into pairs.
+the links found give components. Members of buckets that still hold several components meet in tiles of
+bounded size, where all that lie in different components are compared, by signature and then on full sets,
+and one link for each two components comes out: no connection is missed, and a group of copies is never
+expanded into pairs.
 
 With 28 bands of three minima a pair at the threshold shares no band with a chance of (1 - 0.75**3)**28, about
 2 in 10 million; a signature of 84 minima falls short of ``ESTIMATE`` for one in a million such pairs.
@@ -27,8 +27,6 @@ from prevascope.session import materialise
 WORDS, PER_CENT = 5, 75
 BANDS, BAND_ROWS = 28, 3
 ESTIMATE = 0.52
-#: Share of a round's pairs that must be links for another round of pivots.
-FRUITFUL = 0.05
 #: Members of a bucket in a block; two blocks meet in a tile.
 BLOCK = 1024
 
@@ -155,11 +153,13 @@ class _Corpus:
         same = self.docs["doc_id"].eqNullSafe(place["doc_id"]) & (self.docs["text_key"] == place["text_key"])
         return materialise(self.docs.join(place, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes that are linked."""
-        for side, name in (("a", "left"), ("b", "right")):
-            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col("minima").alias(name)), side)
-        near = materialise(pairs.select("a", "b", "left", "right").mapInArrow(_estimated, "a long, b long"), "near")
+    def confirmed(self, pairs: DataFrame, by_signature: bool = True) -> DataFrame:
+        """The pairs (a, b) of nodes that are linked, by signature first unless that is done already."""
+        near = pairs
+        if by_signature:
+            for side, name in (("a", "left"), ("b", "right")):
+                pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col("minima").alias(name)), side)
+            near = materialise(pairs.select("a", "b", "left", "right").mapInArrow(_estimated, "a long, b long"), "near")
         texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         full = near.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
         full = full.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
@@ -174,15 +174,10 @@ def _open_rows(shared: DataFrame, found: DataFrame) -> DataFrame:
     return materialise(placed.join(materialise(open_keys.select("key"), "open"), "key", "left_semi"), "open-rows")
 
 
-def _pivot_pairs(rows: DataFrame, round_no: int) -> DataFrame:
-    """Each member with its bucket's pivot of this round, if in another component."""
-    pivot = F.min(F.struct(F.xxhash64(F.lit(round_no), "node").alias("order"), "node", "root")).alias("p")
-    pivots = materialise(rows.groupBy("key").agg(pivot).select("key", F.col("p.node").alias("pn"), F.col("p.root").alias("pr")), "pivots")
-    return _ordered(rows.join(pivots, "key").where("root != pr").select(F.col("node").alias("a"), F.col("pn").alias("b")))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def _pivot_pairs(shared: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot, its least node."""
+    pivots = materialise(shared.groupBy("key").agg(F.min("node").alias("b")), "pivots")
+    return shared.join(pivots, "key").where("node != b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -290,7 +285,7 @@ def _crossing_links(corpus: _Corpus, rows: DataFrame) -> DataFrame:
     active = materialise(rows.join(materialise(active, "active"), ["key", "node"]), "active-rows")
     sets = corpus.texts(active.select("node").distinct()).mapInArrow(_set_bytes, "node long, shingles binary")
     found = _tiles(active.join(materialise(sets, "sets"), "node")).mapInArrow(_linking, "a long, b long")
-    return corpus.confirmed(materialise(found.distinct(), "crossing"))
+    return corpus.confirmed(materialise(found.distinct(), "crossing"), by_signature=False)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -305,19 +300,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = corpus.bands()
     shared_keys = materialise(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
     shared = materialise(bands.join(shared_keys, "key", "left_semi").select("key", "node"), "shared")
-    found = shared.select("node", F.col("node").alias("root")).limit(0)
-    round_no, fruitful, last = 0, True, False
-    while not last:
-        rows = _open_rows(shared, found)
-        last = not fruitful
-        pairs = None if last else materialise(_pivot_pairs(rows, round_no), "pairs")
-        links = _crossing_links(corpus, rows) if last else corpus.confirmed(pairs)
-        n_links = links.count()
-        fruitful = not last and n_links > FRUITFUL * pairs.count()
-        if n_links:
-            before = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            found = materialise(roots(links.unionByName(before)), "roots")
-        round_no += 1
+    links = corpus.confirmed(materialise(_pivot_pairs(shared), "pairs"))
+    found = materialise(roots(links), "roots")
+    more = _crossing_links(corpus, _open_rows(shared, found))
+    if not more.isEmpty():  # components that these links join become one
+        for side in ("a", "b"):
+            more = more.join(found.withColumnsRenamed({"node": side, "root": f"root_{side}"}), side, "left")
+        more = more.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        outer = materialise(roots(more), "outer-roots").withColumnsRenamed({"node": "inner", "root": "outer"})
+        whole = found.unionByName(outer.select(F.col("inner").alias("node"), F.col("inner").alias("root"))).distinct()
+        whole = whole.join(outer, F.col("root") == F.col("inner"), "left")
+        found = materialise(whole.groupBy("node").agg(F.min(F.coalesce("outer", "root")).alias("root")), "roots")
 
     by_class = corpus.classes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = materialise(by_class.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
