@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prevascope.llm import contamination, exact_dedup, near_dedup, privacy, secrets, warc
+from prevascope.llm import contamination, exact_dedup, near_dedup, privacy, secrets, toxicity, warc
 from prevascope.llm.common import table
 
 
@@ -20,6 +20,12 @@ def op5_contamination(spark, folder):
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return scores.withColumn("n_offending", F.size("sentences").cast("long")).drop("sentences")
+
+
 def op7_private_spans(spark, folder):
     return privacy.private_spans(table(spark, folder, "documents")).drop("found")
 
@@ -87,7 +93,7 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op3_exact_dedup, op4_near_dedup, op5_contamination, op7_private_spans, op9_secret_scan, op10_warc)}
+    return {q.__name__: q for q in (op3_exact_dedup, op4_near_dedup, op5_contamination, op6_toxicity, op7_private_spans, op9_secret_scan, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
