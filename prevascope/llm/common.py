@@ -143,6 +143,8 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray):
         keys = np.asarray(keys, np.uint64)
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("keys repeat")
         self.bits = max(4, int(2 * len(keys) + 1).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.rows = np.full(1 << self.bits, -1, np.int32)
@@ -156,11 +158,11 @@ class Lookup:
             todo, slot = todo[lost], (slot[lost] + 1) & (len(self.keys) - 1)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return (mixed(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return ((keys * _BASE) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Row number of each key, -1 if absent."""
-        slot = self._home(keys)
+        slot = self._home(np.asarray(keys, np.uint64))
         rows = self.rows[slot]
         todo = np.flatnonzero((rows >= 0) & (self.keys[slot] != keys))
         while len(todo):

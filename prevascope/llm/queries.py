@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prevascope.llm import contamination, exact_dedup, html_text, near_dedup, privacy, secrets, toxicity, warc
+from prevascope.llm import contamination, exact_dedup, html_text, lm_score, near_dedup, privacy, secrets, toxicity, warc
 from prevascope.llm.common import table
 
 
+def op1_lm_score(spark, folder):
+    return lm_score.score(table(spark, folder, "documents"))
+
+
 def op2_html_text(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
 
@@ -97,7 +101,7 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op2_html_text, op3_exact_dedup, op4_near_dedup, op5_contamination, op6_toxicity, op7_private_spans, op9_secret_scan, op10_warc)}
+    return {q.__name__: q for q in (op1_lm_score, op2_html_text, op3_exact_dedup, op4_near_dedup, op5_contamination, op6_toxicity, op7_private_spans, op9_secret_scan, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
