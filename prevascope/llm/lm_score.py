@@ -106,7 +106,7 @@ class Model:
 
     lookup: Lookup
     node: np.ndarray  # of the last byte after the others
-    escape: np.ndarray  # of leaving the node as a context, exclusion included
+    escape: np.ndarray  # of leaving the node as a context, exclusion included; then a zero
     first_escape: float  # of leaving the empty context
     uniform: float  # of a byte after that
 
@@ -149,7 +149,7 @@ def built(depths: np.ndarray, values: np.ndarray, counts: np.ndarray, positions:
     symbols = int(((depths == 1) & child).sum())
     first = 1 - prob[(depths == 1) & child].sum() if symbols else 1.0
     rest = max(SYMBOLS - symbols, 1)
-    return Model(lookup, node, escape, math.log10(max(first, 1e-300)), -math.log10(rest))
+    return Model(lookup, node, np.append(escape, 0.0), math.log10(max(first, 1e-300)), -math.log10(rest))
 
 
 def log_probabilities(model: Model, last: np.ndarray) -> np.ndarray:
@@ -162,7 +162,7 @@ def log_probabilities(model: Model, last: np.ndarray) -> np.ndarray:
         hit = row >= 0
         if k:
             context = model.lookup.find(_key(own[~hit] >> np.uint64(8), k))
-            add = np.where(context >= 0, model.escape[context], 0.0)
+            add = model.escape[context]  # -1, an unknown context, is the zero at the end
         else:
             add = model.first_escape + model.uniform
         out[todo[hit]] += model.node[row[hit]]

@@ -117,7 +117,7 @@ def test_held_out_texts_beat_the_baseline(spark):
 def test_long_texts_in_parts(spark, monkeypatch):
     docs = [(i, t, None, None, None) for i, t, *_ in awkward() if i in (1, 4, 8, 10)]
     whole = {r.doc_id: r.score for r in op.score(spark.createDataFrame(docs, SCHEMA)).collect()}
-    model = op.Model(op.Lookup(np.zeros(0, np.uint64)), np.zeros(0), np.zeros(0), 0.0, -math.log10(op.SYMBOLS))
+    model = op.Model(op.Lookup(np.zeros(0, np.uint64)), np.zeros(0), np.zeros(1), 0.0, -math.log10(op.SYMBOLS))
     raw, starts = np.frombuffer(b"abc" * 1000, np.uint8), np.array([0, 1000, 1000, 3000])
     sizes = -op.text_scores(model, raw, starts) / math.log10(op.SYMBOLS)
     monkeypatch.setattr(op, "_PART", 7)
