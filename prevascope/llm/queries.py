@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prevascope.llm import contamination, exact_dedup, html_text, lm_score, near_dedup, privacy, secrets, toxicity, warc
+from prevascope.llm import contamination, exact_dedup, html_text, lm_score, near_dedup, pieces, privacy, secrets, toxicity, warc
 from prevascope.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_private_spans(spark, folder):
     return privacy.private_spans(table(spark, folder, "documents")).drop("found")
 
 
+def op8_pieces(spark, folder):
+    return pieces.encode(table(spark, folder, "documents"), digest=True)
+
+
 def op9_secret_scan(spark, folder):
     return secrets.secret_scan(table(spark, folder, "documents")).drop("findings")
 
@@ -101,7 +105,7 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owned USING (doc_id)
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_lm_score, op2_html_text, op3_exact_dedup, op4_near_dedup, op5_contamination, op6_toxicity, op7_private_spans, op9_secret_scan, op10_warc)}
+    return {q.__name__: q for q in (op1_lm_score, op2_html_text, op3_exact_dedup, op4_near_dedup, op5_contamination, op6_toxicity, op7_private_spans, op8_pieces, op9_secret_scan, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
