@@ -45,6 +45,18 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def text_key(column: str = "text") -> Column:
+    """A 64-bit hash that, with doc_id, tells a row's decision apart from that of other rows with its id."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the rows whose doc_id and text key are in ``rejected`` (doc_id, text_key)."""
+    gone = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (key == gone["gone_key"]), "left_anti")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a column end to end, and where each row starts (one more than rows)."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

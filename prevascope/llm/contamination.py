@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prevascope.llm.common import (
-    ALNUM, LOWER, bounded_batches, lowered, mixed, row_of, slices, text_bytes, word_bounds, word_hashes,
+    ALNUM, LOWER, bounded_batches, lowered, mixed, row_of, slices, text_bytes, text_key, text_or_empty, word_bounds, word_hashes,
 )
 from prevascope.session import materialise
 
@@ -159,8 +159,8 @@ def _searched(patterns, last: bool):
                 lists = [sorted(x) for x in items]
                 if not last:
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text"), pa.array([h.tolist() for h in hit], pa.list_(pa.int32())),
-                         pa.array(lists, pa.list_(pa.string()))], names=["doc_id", "text", "hit", "items"],
+                        [part.column("doc_id"), part.column("text_key"), part.column("text"), pa.array([h.tolist() for h in hit], pa.list_(pa.int32())),
+                         pa.array(lists, pa.list_(pa.string()))], names=["doc_id", "text_key", "text", "hit", "items"],
                     )
                     continue
                 n_hit = np.array([len(h) for h in hit], np.int64)
@@ -168,8 +168,8 @@ def _searched(patterns, last: bool):
                     [part.column("doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_hit),
                      pa.array([len(x) for x in lists], pa.int64()),
                      pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists], pa.string()),
-                     pa.array((n_hit > 0) & (20 * n_hit >= n_words))],
-                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+                     pa.array((n_hit > 0) & (20 * n_hit >= n_words)), part.column("text_key")],
+                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "text_key"],
                 )
 
     return run
@@ -178,7 +178,7 @@ def _searched(patterns, last: bool):
 def contamination(docs: DataFrame, benchmark: DataFrame, windows: int = PASS_WINDOWS) -> DataFrame:
     """How much of every row of ``docs`` (doc_id, text) comes from ``benchmark`` (item_id, text).
 
-    Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated. An item of fewer than ``WINDOW`` words
+    Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key. An item of fewer than ``WINDOW`` words
     is one window; null and empty texts have no words and give no window; items that share an id count
     once, and a null id counts as the id ``null``. Repeated documents each get their row; empty tables give
     no rows or no hits. The benchmark is read in passes of bounded size, each over all documents.
@@ -187,13 +187,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, windows: int = PASS_WIN
     bounded_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     none = F.lit(None)
-    state = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    state = docs.select("doc_id", text_key().alias("text_key"), text_or_empty().cast("string").alias("text"),
                         none.cast("array<int>").alias("hit"), none.cast("array<string>").alias("items"))
     waiting = None
     for patterns in passes(benchmark, windows):
         if waiting is not None:
-            between = f"doc_id {kind}, text string, hit array<int>, items array<string>"
+            between = f"doc_id {kind}, text_key long, text string, hit array<int>, items array<string>"
             state = materialise(state.mapInArrow(_searched(spark.sparkContext.broadcast(waiting), False), between), "searched")
         waiting = patterns
-    found = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    found = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, text_key long"
     return state.mapInArrow(_searched(spark.sparkContext.broadcast(waiting), True), f"doc_id {kind}, {found}")

@@ -292,7 +292,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """The component of every row of ``docs`` (doc_id, text) under links of 75 % common shingles or more.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id of the component; null ids count only if all are
-    null), kept (doc_id is component_id). Words are lower-cased runs without white space; a text of fewer than
+    null), kept (doc_id is component_id), text_key. Words are lower-cased runs without white space; a text of fewer than
     five words has one shingle, one without words (or null) none and no links. Repeated rows share their
     component, and rows that repeat the smallest doc_id are all kept. An empty table gives no rows.
     """
@@ -315,6 +315,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     by_class = corpus.classes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = materialise(by_class.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
     named = materialise(by_class.join(lowest, "root").select(*corpus.set, "component_id"), "named")
-    rows = corpus.rows.select("doc_id", *corpus.set).join(named, corpus.set, "left")
+    rows = corpus.rows.select("doc_id", "text_key", *corpus.set).join(named, corpus.set, "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "text_key")

@@ -21,17 +21,18 @@ def op3_exact_dedup(spark, folder):
 
 
 def op4_near_dedup(spark, folder):
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
 
 def op5_contamination(spark, folder):
-    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_key")
 
 
 def op6_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     scores = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
-    return scores.withColumn("n_offending", F.size("sentences").cast("long")).drop("sentences")
+    return scores.withColumn("n_offending", F.size("sentences").cast("long")).drop("sentences", "text_key")
 
 
 def op7_private_spans(spark, folder):

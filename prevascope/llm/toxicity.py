@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prevascope.llm.common import ALNUM, Lookup, bounded_batches, held_out, lowered, mixed, row_of, slices, text_bytes, word_hashes
+from prevascope.llm.common import ALNUM, Lookup, bounded_batches, held_out, lowered, mixed, row_of, slices, text_bytes, text_key, text_or_empty, word_hashes
 from prevascope.session import materialise
 
 MODULUS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -194,7 +194,8 @@ def _scored(model):
                         end = stops[np.searchsorted(stops, s, "right")]
                         found[row].append({"at": int(point[s]), "to": int(point[end]), "score": float(p)})
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(-np.expm1(clean)), pa.array(found, _SENTENCES)], names=["doc_id", "score", "sentences"]
+                    [part.column("doc_id"), part.column("text_key"), pa.array(-np.expm1(clean)), pa.array(found, _SENTENCES)],
+                    names=["doc_id", "text_key", "score", "sentences"],
                 )
 
     return run
@@ -203,19 +204,19 @@ def _scored(model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Toxicity of every row of ``docs`` (doc_id, text).
 
-    Returns doc_id, held_out, score (0 to 1), predicted (1 from ``THRESHOLD``) and sentences, those with cue
-    words: start, end in code points and score. Null and empty texts score the leak alone; repeated rows
+    Returns doc_id, held_out, score (0 to 1), predicted (1 from ``THRESHOLD``), sentences, those with cue
+    words (start, end in code points and score), and text_key. Null and empty texts score the leak alone; repeated rows
     score alike; an empty table gives no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    source = docs.select("doc_id", text_or_empty().cast("string").alias("text"), text_key().alias("text_key"))
     out = source.mapInArrow(
         _scored(spark.sparkContext.broadcast(model)),
-        f"doc_id {kind}, score double, sentences array<struct<at:bigint,to:bigint,score:double>>",
+        f"doc_id {kind}, text_key long, score double, sentences array<struct<at:bigint,to:bigint,score:double>>",
     )
     return out.select(
         "doc_id", held_out("doc_id", MODULUS, HELD_OUT).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "sentences",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "sentences", "text_key",
     )
