@@ -121,10 +121,8 @@ class Lattices:
         node[n] = n
         self.start = node[starts[:-1]]
         sums, inverse = _sums(points), _power_tables(n)[1]
-        wide = min(vocabulary.longest, int(room.max()) if n else 1)
-        grid = np.full((n, wide), -1, np.int32)  # row of the vocabulary
-        at, left = np.arange(n), room
-        for size in range(1, wide + 1):
+        at, left, found = np.arange(n, dtype=np.int32), room, []
+        for size in range(1, min(vocabulary.longest, int(room.max()) if n else 1) + 1):
             fits = left >= size
             if size == STEM + 1:  # longer pieces begin with few stems
                 at, left = at[fits], left[fits]
@@ -132,34 +130,45 @@ class Lattices:
                 left = np.minimum(left, reach)
                 fits = left >= size
             at, left = at[fits], left[fits]
-            grid[node[at], size - 1] = vocabulary.lookup.find((sums[at + size] - sums[at]) * inverse[at])
-        alone = np.flatnonzero(grid[:, 0] < 0)  # spelled by bytes; such a character is a chunk
-        grid[alone, 0] = len(vocabulary.ids)
-        flat = np.flatnonzero(grid.ravel() >= 0)
-        origin, size = flat // wide, flat % wide + 1
-        piece = grid.ravel()[flat]
-        self.first = np.searchsorted(origin, np.arange(n + 1))
-        self.ids = np.append(vocabulary.ids, np.int32(-1))[piece]
-        log = np.append(vocabulary.weights, 0.0)[piece]
-        odd = self.first[alone]
-        code = points[order[alone]].astype(np.int64)
+            piece = vocabulary.lookup.find((sums[at + size] - sums[at]) * inverse[at])
+            hit = piece >= 0
+            found.append((at[hit], piece[hit], size))
+            if size == 1:  # what is spelled by bytes is a chunk
+                alone = at[~hit]
+        degree = np.zeros(n + 1, np.int32)
+        degree[node[alone]] = 1
+        for places, _, _ in found:
+            degree[node[places]] += 1
+        self.first = np.zeros(n + 1, np.int64)
+        np.cumsum(degree[:n], out=self.first[1:])
+        slot, edges = self.first[:n].copy(), int(self.first[-1])
+        self.ids, self.next, log = np.empty(edges, np.int32), np.empty(edges, np.int32), np.empty(edges)
+        code = points[alone].astype(np.int64)
         code = np.where(code == _OWN_MARK, _SPACE, code)
-        self.ids[odd] = -2 - code
+        odd = slot[node[alone]]
+        self.ids[odd], self.next[odd] = -2 - code, n
         log[odd] = vocabulary.byte_weight * (1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
-        place = order[origin]
-        self.next = np.where(size == room[place], n, node[np.minimum(place + size, n)])
-        total, self.paths = np.zeros(n + 1), np.ones(n + 1)
+        for places, piece, size in found:
+            own = node[places]
+            here = slot[own]
+            slot[own] += 1
+            self.ids[here], log[here] = vocabulary.ids[piece], vocabulary.weights[piece]
+            self.next[here] = np.where(room[places] == size, n, node[places + size])
+        total, self.paths, share = np.zeros(n + 1), np.ones(n + 1), np.empty(edges)
         levels = np.searchsorted(room[order], np.arange(1, (int(room.max()) if n else 0) + 2))
         for low, high in zip(levels[:-1], levels[1:]):
             a, b = self.first[low], self.first[high]
             heads, after = self.first[low:high] - a, self.next[a:b]
             value = log[a:b] + total[after]
+            owner = np.repeat(np.arange(high - low), degree[low:high])
             top = np.maximum.reduceat(value, heads)
-            count = np.diff(self.first[low : high + 1])
-            total[low:high] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count)), heads))
+            weight = np.exp(value - top[owner])
+            whole = np.add.reduceat(weight, heads)
+            total[low:high] = top + np.log(whole)
+            share[a:b] = weight / whole[owner]
+            log[a:b] = value - total[low:high][owner]
             self.paths[low:high] = np.add.reduceat(self.paths[after], heads)
-        self.log = log + total[self.next] - total[origin]
-        self.upto = np.cumsum(np.exp(self.log))
+        self.log, self.upto = log, np.cumsum(share)
 
     def walk(self, chunk: np.ndarray, uniform) -> tuple[np.ndarray, list]:
         """A path through each chunk's lattice: its log probability, and per step (which, ids); ``uniform(which, step)`` draws."""
@@ -338,6 +347,7 @@ def sampled(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int)
         # the lattices of the chunks where they differ, all at once
         chunks = [points[starts[first[t] + p[1] + at] : starts[first[t] + p[1] + at + 1]] for t, p, at in todo]
         lattice = Lattices(vocabulary, np.concatenate(chunks), np.concatenate([[0], np.cumsum([len(c) for c in chunks])]))
+        fresh = []
         for i, (t, (base, shift, bounds, taken), at) in enumerate(todo):
             a, b = int(first[t]), int(first[t + 1])
             chunk = shift + at
@@ -355,11 +365,21 @@ def sampled(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int)
             start = float(log[:chunk].sum())
             lost = sum(np.exp(lattice.path_log(i, x)) for x in now)
             again = start + np.log(max(1 - lost, 1e-300)) if len({tuple(x) for x in now}) < lattice.paths[lattice.start[i]] and lost < 1 else -np.inf
-            draw = _uniform(keys[t : t + 1], (1 << 21) + s, np.arange(b - a - chunk), 0)
-            bounds[at] = _truncated(np.array([again]), value, draw[:1])[0]
             taken[at] = now
-            later = start + np.cumsum(log[chunk:])[:-1] + np.where(many[a + chunk + 1 : b] > 1, _left(log[chunk + 1 :]), -np.inf)
-            states[t]["parts"].append((sample, chunk + 1, _truncated(later, value, draw[1:]), {}))
+            fresh.append((sample, chunk, start, again, value))
+        sizes = np.array([len(f[0]["log"]) - f[1] for f in fresh])
+        heads = np.cumsum(sizes) - sizes
+        rows = np.repeat(np.arange(len(fresh)), sizes)
+        log = np.concatenate([f[0]["log"][f[1] :] for f in fresh])
+        paths = np.concatenate([many[first[t] + f[1] : first[t + 1]] for (t, _, _), f in zip(todo, fresh)])
+        before = np.cumsum(log) - log
+        mass = np.array([f[2] for f in fresh])[rows] + before - before[heads][rows] + np.where(paths > 1, _left(log), -np.inf)
+        mass[heads] = [f[3] for f in fresh]
+        own_keys = keys[[t for t, _, _ in todo]][rows]
+        limits = _truncated(mass, np.array([f[4] for f in fresh])[rows], _uniform(own_keys, (1 << 21) + s, np.arange(len(rows)) - heads[rows], 0))
+        for (t, part, at), (sample, chunk, *_), low, size in zip(todo, fresh, heads, sizes):
+            part[2][at] = limits[low]
+            states[t]["parts"].append((sample, chunk + 1, limits[low + 1 : low + size], {}))
     for t, state in enumerate(states):
         a, b = int(first[t]), int(first[t + 1])
         limit = max((p[2].max(initial=-np.inf) for p in state["parts"]), default=-np.inf)
@@ -397,6 +417,10 @@ def _with_bytes(vocabulary: Vocabulary, ids: np.ndarray) -> np.ndarray:
     odd = np.flatnonzero(ids < -1)
     if not len(odd):
         return ids
+    code = -2 - ids[odd]
+    if (code < 0x80).all():
+        ids[odd] = vocabulary.byte_ids[code]
+        return ids
     parts, done = [], 0
     for i in odd:
         parts += [ids[done:i], vocabulary.byte_ids[np.frombuffer(chr(-2 - ids[i]).encode(), np.uint8)]]
