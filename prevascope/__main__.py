@@ -6,13 +6,13 @@ import argparse
 
 from prevascope.plans.layers import run_all
 from prevascope.session import build_session
-from prevascope.sources.landing import DOCUMENT, LINES
+from prevascope.sources.landing import AUTO, DOCUMENT, LINES
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="prevascope", description="Load landing files, build models, check them.")
     parser.add_argument("directory")
-    parser.add_argument("--layout", choices=[DOCUMENT, LINES], default=DOCUMENT)
+    parser.add_argument("--layout", choices=[AUTO, DOCUMENT, LINES], default=AUTO)
     parser.add_argument("--report", help="folder for the quality report")
     options = parser.parse_args()
     run_all(build_session(), options.directory, layout=options.layout, report_path=options.report)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,12 @@ from prevascope.operators.quality import assert_quality, quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.staging import stage
-from prevascope.sources.landing import DOCUMENT, LANDING_SCHEMA, read_landing_directory, with_load_provenance
-from prevascope.sources.raw_table import append_by_name, ensure_namespace
+from prevascope.session import shared_root
+from prevascope.sources.landing import AUTO as ANY_LAYOUT
+from prevascope.sources.landing import LANDING_SCHEMA, has_landing_files, read_landing_directory, with_load_provenance
+from prevascope.sources.raw_table import append_by_name, ensure_namespace, quarantine_of
 from prevascope.sources.reports import nest_report, save_report
+from prevascope.streaming.ingest import ingest_new_files
 
 CREATED, UPDATED = "dbt_created_at", "dbt_updated_at"
 
@@ -63,17 +67,35 @@ def load_directory(
     spark: SparkSession,
     directory: str,
     layers: Layers = Layers(),
-    layout: str = DOCUMENT,
+    layout: str = ANY_LAYOUT,
     schema: StructType = LANDING_SCHEMA,
+    checkpoint: str | None = None,
+    once: bool = True,
 ) -> DataFrame:
-    """Append the directory's readable records to the raw table; returns the quarantine.
+    """Append the records of files not loaded before to the raw table; returns the quarantine table.
 
-    ``schema`` may name more of the landed columns than staging reads.
+    With ``once=False`` all files of the directory are appended again, as an append-only run would.
+
+    ``schema`` may name more of the landed columns than staging reads. ``checkpoint`` remembers the files (default: a
+    folder of the raw table and directory below the shared folder). A directory that is missing or has no
+    matching file loads nothing. Loaded and quarantined values together are all that landed.
     """
     ensure_namespace(spark, layers.raw.rsplit(".", 1)[0])
-    landed = read_landing_directory(spark, directory, schema, layout)
-    append_by_name(with_load_provenance(landed.records), layers.raw)
-    return landed.quarantine
+    empty = StructType([*schema.fields, *StructType.fromDDL("source_file string, loaded_at timestamp, ingest_batch string").fields])
+    lost = StructType.fromDDL("source_file string, content string, loaded_at timestamp, ingest_batch string")
+    for name, kind in ((layers.raw, empty), (quarantine_of(layers.raw), lost)):
+        if not spark.catalog.tableExists(name):
+            spark.createDataFrame([], kind).write.saveAsTable(name)
+    if not once:
+        landed = read_landing_directory(spark, directory, schema, layout)
+        append_by_name(with_load_provenance(landed.records), layers.raw)
+        append_by_name(with_load_provenance(landed.quarantine), quarantine_of(layers.raw))
+    elif has_landing_files(spark, directory):
+        state = checkpoint or f"{shared_root(spark)}/ingest/{sha1(f'{layers.raw} {directory}'.encode()).hexdigest()}"
+        ingest_new_files(spark, directory, layers.raw, state, schema, layout).awaitTermination()
+        for name in (layers.raw, quarantine_of(layers.raw)):  # written by the stream's own session
+            spark.catalog.refreshTable(name)
+    return spark.table(quarantine_of(layers.raw))
 
 
 def build_models(
@@ -130,11 +152,15 @@ def run_all(
     spark: SparkSession,
     directory: str,
     layers: Layers = Layers(),
-    layout: str = DOCUMENT,
+    layout: str = ANY_LAYOUT,
     cfg: PrevalenceConfig = DEFAULT_CONFIG,
     report_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Load, build and check; raises when a contract is broken or a quality check fails."""
+    """Load new files, build and check; raises when a contract is broken or a quality check fails.
+
+    A second run over the same files adds nothing to the raw table. Unreadable input is in the quarantine
+    table (:func:`~prevascope.sources.raw_table.quarantine_of`) and in the log.
+    """
     load_directory(spark, directory, layers, layout)
     models = build_models(spark, layers, cfg)
     broken = check_models(models).where("failures > 0").collect()

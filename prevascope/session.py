@@ -31,8 +31,8 @@ def build_session(app_name: str = "prevascope", master: str | None = None, **set
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that ``spark.checkpoint.dir`` names.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     On a cluster the setting is required, because a folder of one machine is neither visible to
     the other executors nor there after the loss of that machine. A local session without it gets
@@ -45,7 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="prevascope-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:

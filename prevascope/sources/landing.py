@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +26,7 @@ from prevascope.config import (
 
 log = logging.getLogger(__name__)
 
-DOCUMENT, LINES = "document", "lines"
-_CORRUPT = "_corrupt_record"
+AUTO, DOCUMENT, LINES = "auto", "document", "lines"
 
 #: the columns staging reads, all text as landed; other keys of a record are never parsed
 LANDING_SCHEMA = T.StructType(
@@ -42,70 +42,100 @@ class Landed(NamedTuple):
     quarantine: DataFrame
 
 
-def landing_reader(reader, schema: T.StructType, layout: str):
-    """Set up a batch or stream reader: schema, layout, and a slot for unreadable input."""
-    fields = list(schema.fields)
-    if layout == DOCUMENT:
-        fields.append(T.StructField("data", T.ArrayType(schema)))
-    fields.append(T.StructField(_CORRUPT, T.StringType()))
-    return (
-        reader.schema(T.StructType(fields))
-        .option("multiLine", layout == DOCUMENT)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-    )
-
-
-def _readable(schema: T.StructType, yes: bool) -> Column:
-    """Whether the input could be parsed.
+def parsed_records(value: Column, schema: T.StructType) -> Column:
+    """Records of one JSON value (list, envelope ``{"data": [...]}`` or record); null if it cannot be read.
 
-    The reader refuses queries that need nothing but the slot for unreadable input (a plain count,
-    say), so the condition also looks at one parsed column, in a way that is always true.
+    The value is parsed as the only element of a list, so anything after it makes it unreadable rather than
+    being passed over. An envelope whose data is null holds no records. A key that a record lacks is null.
     """
-    corrupt = F.col(_CORRUPT)
-    first = F.concat_ws("", F.col(schema.names[0]).cast("string"))
-    return (corrupt.isNull() if yes else corrupt.isNotNull()) & (F.length(first) >= 0)
-
+    text = F.concat(F.lit("["), value, F.lit("]"))
+    many = F.try_element_at(F.from_json(text, T.ArrayType(T.ArrayType(schema))), F.lit(1))
+    if "data" in schema.names:
+        record = F.try_element_at(F.from_json(text, T.ArrayType(schema)), F.lit(1))
+        single = F.when(record.isNotNull(), F.array(record))
+    else:
+        wide = T.StructType([*schema.fields, T.StructField("data", T.ArrayType(schema))])
+        record = F.try_element_at(F.from_json(text, T.ArrayType(wide)), F.lit(1))
+        own = F.struct(*[record[f.name].alias(f.name) for f in schema.fields])
+        none = F.array().cast(T.ArrayType(schema))
+        enveloped = F.array_contains(F.json_object_keys(value), "data")
+        single = F.when(enveloped, F.coalesce(record["data"], none)).otherwise(F.array(own))
+        single = F.when(record.isNotNull() & F.json_object_keys(value).isNotNull(), single)
+    records = F.when(F.ltrim(value).startswith("["), many).otherwise(single)
+    return F.when(~F.exists(F.coalesce(records, F.array().cast(T.ArrayType(schema))), lambda r: r.isNull()), records)
+
+
+def _landed(values: DataFrame, schema: T.StructType) -> Landed:
+    """Records and quarantine of the JSON values in ``(value, source_file)``."""
+    values = values.where(F.trim("value") != "").withColumn("_records", parsed_records(F.col("value"), schema))
+    read = values.where(F.col("_records").isNotNull()).select("source_file", F.inline("_records"))
+    lost = values.where(F.col("_records").isNull()).select("source_file", F.col("value").alias("content"))
+    return Landed(read.select(*schema.names, "source_file"), lost)
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """Lines as a text reader gives them, with file and place of the split they are in."""
+    text = F.regexp_replace("value", "^\\uFEFF", "").alias("value")
+    return lines.select(text, F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with a number that grows within a split; to be taken as they are read."""
+    return lines.withColumn("number", F.monotonically_increasing_id())
+
+
+def landed_lines(spark: SparkSession, lines: DataFrame, schema: T.StructType, layout: str = AUTO) -> Landed:
+    """Records and quarantine of files given as lines (:func:`with_place`, :func:`numbered`).
+
+    ``auto`` tells files apart by their first line that is not blank: if it is a whole JSON value, every line
+    is one, else the file as a whole is one value. Only the names of files of the second kind reach the driver.
+    """
+    if layout == LINES:
+        return _landed(lines, schema)
+    first = F.min_by("value", F.struct("block", "number"))
+    by_file = lines.where(F.trim("value") != "").groupBy("source_file").agg(first.alias("first"))
+    if layout == AUTO:
+        by_file = by_file.where(parsed_records(F.col("first"), schema).isNull())
+    documents = [r.source_file for r in by_file.select("source_file").collect()]
+    if not documents:
+        return _landed(lines, schema)
+    whole = spark.read.text([_escaped(d) for d in documents], wholetext=True)
+    whole = _landed(whole.select("value", F.col("_metadata.file_path").alias("source_file")), schema)
+    if layout == DOCUMENT:
+        return whole
+    names = spark.createDataFrame([(d,) for d in documents], "source_file string")
+    rest = _landed(lines.join(names, "source_file", "left_anti"), schema)
+    return Landed(rest.records.unionByName(whole.records), rest.quarantine.unionByName(whole.quarantine))
 
-def unwrap_records(read: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of a list of records, an envelope ``{"data": [...]}`` or a single record.
 
-    Adds ``source_file`` and drops unreadable input. A key that a record lacks becomes null.
-    """
-    readable = read.where(_readable(schema, True))
-    source_file = F.col("_metadata.file_path").alias("source_file")
-    if "data" not in set(read.columns) - set(schema.names):
-        return readable.select(*schema.names, source_file)
-    own = F.array(F.struct(*[F.col(f.name) for f in schema.fields]))
-    rows = readable.select(source_file, F.inline(F.coalesce(F.col("data"), own)))
-    return rows.select(*schema.names, "source_file")
+def _escaped(path: str) -> str:
+    """A file's address as a path to read: decoded, and with no character taken for a pattern."""
+    plain = unquote(path)
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in plain)
 
 
 def read_landing(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType = LANDING_SCHEMA,
-    layout: str = DOCUMENT,
+    layout: str = AUTO,
 ) -> Landed:
-    """Read JSON files.
+    """Read JSON files; what is not among the records is in the quarantine.
 
-    ``document`` files hold one list, envelope or record each and are read whole; ``lines`` files
-    hold one record per line and are split over tasks, so large extracts should use them. An
-    unreadable file (or line) ends up in the quarantine and the rest still loads. A path that does
-    not exist raises.
+    A file holds one list, envelope or record (``document``, read whole) or one such value per line (``lines``,
+    split over tasks, so large extracts should use them); ``auto`` tells by each file's first line. A
+    file or line that cannot be read, or goes on after its value, ends up in the quarantine and the rest
+    still loads. A path that does not exist raises.
     """
-    read = landing_reader(spark.read, schema, layout).json(path if isinstance(path, str) else list(path))
-    quarantine = read.where(_readable(schema, False)).select(
-        F.col("_metadata.file_path").alias("source_file"), F.col(_CORRUPT).alias("content")
-    )
-    return Landed(unwrap_records(read, schema), quarantine)
+    lines = numbered(with_place(spark.read.text(path if isinstance(path, str) else list(path))))
+    return landed_lines(spark, lines, schema, layout)
 
 
 def read_landing_directory(
     spark: SparkSession,
     directory: str,
     schema: T.StructType = LANDING_SCHEMA,
-    layout: str = DOCUMENT,
+    layout: str = AUTO,
     mark: str = LANDING_MARK,
 ) -> Landed:
     """Read the ``*.json`` entries of a directory whose name contains ``mark``.
@@ -118,7 +148,7 @@ def read_landing_directory(
     try:
         names = spark.read.format("binaryFile").load(pattern).select("path").distinct()
         skipped = names.where(~_entry_name(F.col("path"), directory).contains(mark))
-        for row in skipped.limit(20).collect():
+        for row in skipped.toLocalIterator():
             log.warning("skipped %s: its name does not contain %r", row.path, mark)
         return read_landing(spark, f"{directory.rstrip('/')}/*{mark}*.json", schema, layout)
     except AnalysisException as error:
@@ -129,6 +159,18 @@ def read_landing_directory(
         return Landed(empty, spark.createDataFrame([], "source_file string, content string"))
 
 
+def has_landing_files(spark: SparkSession, directory: str, mark: str = LANDING_MARK) -> bool:
+    """Whether the directory has an entry to load; otherwise that is logged."""
+    try:
+        spark.read.format("binaryFile").load(f"{directory.rstrip('/')}/*{mark}*.json").select("path").limit(1).collect()
+        return True
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no landing files in %s", directory)
+        return False
+
+
 def _entry_name(path: Column, directory: str) -> Column:
     """First path element below ``directory``."""
     base = directory.rstrip("/").rsplit("/", 1)[-1]

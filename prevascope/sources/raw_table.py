@@ -17,6 +17,11 @@ def ensure_namespace(spark: SparkSession, name: str = RAW_NAMESPACE) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
 
+def quarantine_of(table: str) -> str:
+    """Name of the table that holds what could not be loaded into ``table``."""
+    return f"{table}_quarantine"
+
+
 def append_by_name(df: DataFrame, table: str) -> None:
     """Append to ``table``, matching columns by name; the first load creates the table.
 

@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from prevascope.config import LANDING_MARK
-from prevascope.sources.landing import (
-    DOCUMENT,
-    LANDING_SCHEMA,
-    landing_reader,
-    unwrap_records,
-    with_load_provenance,
-)
+from prevascope.session import materialise
+from prevascope.sources.landing import AUTO, LANDING_SCHEMA, landed_lines, numbered, with_load_provenance, with_place
+from prevascope.sources.raw_table import append_by_name, quarantine_of
+
+log = logging.getLogger(__name__)
+
+#: Column of the raw table and its quarantine that names the run and batch which added a row.
+BATCH = "ingest_batch"
+
+
+def _append_once(df: DataFrame, table: str, batch: str) -> None:
+    """Append, unless rows of this batch are there, as after a failure between writing and committing."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table) and BATCH in spark.table(table).columns:
+        if not spark.table(table).where(F.col(BATCH) == batch).isEmpty():
+            return
+    append_by_name(df.withColumn(BATCH, F.lit(batch)), table)
 
 
 def ingest_new_files(
@@ -22,24 +35,34 @@ def ingest_new_files(
     table: str,
     checkpoint: str,
     schema: T.StructType = LANDING_SCHEMA,
-    layout: str = DOCUMENT,
+    layout: str = AUTO,
     max_files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Append the records of files not seen before to ``table``, then stop.
 
-    The checkpoint remembers the files and the sink's log commits each batch once, so running it
-    again, also after a failure, adds nothing twice. Unreadable files contribute no records. The
-    table is created by the first run and should have no other writer.
+    The checkpoint remembers the files. Each batch is appended as a batch load would be, so both kinds of
+    load may alternate, and carries the batch's name: a batch that is repeated after a failure adds nothing
+    twice. What cannot be read goes to the table's quarantine and is logged.
     """
     read = (
-        landing_reader(spark.readStream, schema, layout)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .json(f"{directory.rstrip('/')}/*{LANDING_MARK}*.json")
+        spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
+        .text(f"{directory.rstrip('/')}/*{LANDING_MARK}*.json")
     )
+
+    def add(lines: DataFrame, number: int) -> None:
+        batch = f"{checkpoint.rstrip('/')}#{number}"
+        landed = landed_lines(lines.sparkSession, materialise(numbered(lines), "lines"), schema, layout)
+        _append_once(with_load_provenance(landed.records), table, batch)
+        lost = materialise(landed.quarantine, "quarantine")
+        if not lost.isEmpty():
+            for row in lost.groupBy("source_file").count().toLocalIterator():
+                log.warning("unreadable: %s (%d values)", row.source_file, row["count"])
+            _append_once(with_load_provenance(lost), quarantine_of(table), batch)
+
     return (
-        with_load_provenance(unwrap_records(read, schema))
-        .writeStream.format("parquet")
+        with_place(read)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .toTable(table)
+        .start()
     )

@@ -19,8 +19,8 @@ DAILY = T.StructType(
     ]
 )
 ROWS = [
-    {"state": "CA", "date": "2024-02-01", "cases": 100, "deaths": 5},
-    {"state": "NY", "date": "2024-02-01", "cases": 150, "deaths": 8},
+    {"state": "OR", "date": "2031-07-09", "cases": 17, "deaths": None},
+    {"state": "VT", "date": "2031-07-10", "cases": 0, "deaths": 3, "note": "later"},
 ]
 
 
@@ -33,7 +33,7 @@ def states(df):
     return sorted(r.state for r in df.select("state").collect())
 
 
-@pytest.mark.parametrize("content, expected", [(ROWS, ["CA", "NY"]), ({"data": ROWS}, ["CA", "NY"]), (ROWS[0], ["CA"]), ({"data": []}, []), ([], [])])
+@pytest.mark.parametrize("content, expected", [(ROWS, ["OR", "VT"]), ({"data": ROWS}, ["OR", "VT"]), (ROWS[0], ["OR"]), ({"data": []}, []), ([], [])])
 def test_document_shapes(spark, tmp_path, content, expected):
     landed = landing.read_landing(spark, write(tmp_path / "places_a.json", content), DAILY)
     assert states(landed.records) == expected
@@ -41,9 +41,9 @@ def test_document_shapes(spark, tmp_path, content, expected):
 
 
 def test_missing_keys_are_null_and_extra_keys_ignored(spark, tmp_path):
-    path = write(tmp_path / "places_a.json", [{"state": "CA", "other": 1}])
+    path = write(tmp_path / "places_a.json", [{"state": "OR", "other": 1}])
     row = landing.read_landing(spark, path, DAILY).records.first()
-    assert (row.state, row.cases) == ("CA", None)
+    assert (row.state, row.cases) == ("OR", None)
     assert row.source_file.endswith("places_a.json")
 
 
@@ -62,7 +62,7 @@ def test_directory(spark, tmp_path, caplog):
     write(tmp_path / "sub.d" / "places_3.json", ROWS)
     with caplog.at_level(logging.WARNING):
         landed = landing.read_landing_directory(spark, str(tmp_path), DAILY)
-    assert states(landed.records) == ["CA", "CA", "NY"]
+    assert states(landed.records) == ["OR", "OR", "VT"]
     bad = landed.quarantine.collect()
     assert [r.source_file.rsplit("/", 1)[1] for r in bad] == ["places_bad.json"]
     assert bad[0].content.startswith('[{"state"')
@@ -78,9 +78,9 @@ def test_missing_directory_yields_no_rows(spark, tmp_path, caplog):
 
 
 def test_bad_line_does_not_spoil_its_file(spark, tmp_path):
-    path = write(tmp_path / "places_a.json", '{"state": "CA"}\n{"state": \n{"state": "NY"}\n')
+    path = write(tmp_path / "places_a.json", '{"state": "OR"}\n{"state": \n{"state": "VT"}\n')
     landed = landing.read_landing(spark, path, DAILY, landing.LINES)
-    assert states(landed.records) == ["CA", "NY"]
+    assert states(landed.records) == ["OR", "VT"]
     assert landed.records.count() == 2
     assert landed.quarantine.count() == 1
 
@@ -92,7 +92,7 @@ def test_extract_file_name_and_roundtrip(spark, tmp_path):
     text = "".join(part.read_text() for part in (tmp_path / "new").rglob("part-*.json"))
     assert '"cases":null' in text and '"source":"CDC_PLACES"' in text
     back = landing.read_landing_directory(spark, str(tmp_path / "new"), DAILY, landing.LINES).records
-    assert states(back) == ["CA", "NY"]
+    assert states(back) == ["OR", "VT"]
 
 
 def test_append_matches_columns_by_name(spark):
@@ -127,7 +127,7 @@ def test_files_are_ingested_once(spark, tmp_path):
     write(directory / "places_2.json", {"data": ROWS[:1]})
     write(directory / "places_bad.json", "{")
     after = run()
-    assert states(after) == ["CA", "CA", "NY"]
+    assert states(after) == ["OR", "OR", "VT"]
     assert {"loaded_at", "source_file"} <= set(after.columns)
 
 

@@ -41,9 +41,9 @@ def landing(tmp_path):
 
 def test_run(spark, landing):
     where = layers("run")
-    for _ in range(2):  # the same file twice, as repeated runs do
+    for _ in range(2):  # the second run finds nothing new
         assert load_directory(spark, str(landing), where).count() == 0
-    assert spark.table(where.raw).count() == 6
+    assert spark.table(where.raw).count() == 3
 
     models = build_models(spark, where)
     assert {name: df.count() for name, df in models.items()} == {
@@ -67,7 +67,7 @@ def test_run(spark, landing):
 def test_literal_append_only_run(spark, landing):
     where = layers("literal")
     for _ in range(2):
-        load_directory(spark, str(landing), where)
+        load_directory(spark, str(landing), where, once=False)
     models = build_models(spark, where, dedupe=False, on_fanout="allow")
     assert models["mart"].count() == 6
     assert {r.num_counties for r in models["profile"].collect()} == {1, 2}
@@ -108,3 +108,26 @@ def test_models_over_a_streamed_raw_table(spark, landing, tmp_path):
     spark.catalog.refreshTable(where.raw)
     assert spark.table(where.raw).count() == 3
     assert build_models(spark, where, dedupe=False)["mart"].count() == 3
+
+
+def test_every_landed_value_is_accounted_for(spark, landing, tmp_path, caplog):
+    where = layers("counted")
+    (landing / "places_county_2.json").write_text("\n".join(json.dumps(r) for r in RECORDS) + "\n" + '{"stateabbr": \n')
+    (landing / "places_county_3.json").write_text(json.dumps(RECORDS, indent=1)[:-20])
+    (landing / "places_county_4.json").write_text('{"data": null}')
+    (landing / "places_county_5.json").write_text(json.dumps(RECORDS[0], indent=1) + json.dumps(RECORDS[1], indent=1))
+    lost = load_directory(spark, str(landing), where)
+    assert spark.table(where.raw).count() == 6
+    assert sorted(r.source_file[-6] for r in lost.collect()) == ["2", "3", "5"]
+    assert "places_county_3.json" in caplog.text
+    assert load_directory(spark, str(landing), where).count() == 3 and spark.table(where.raw).count() == 6
+
+
+def test_batch_and_stream_share_a_table(spark, landing):
+    where = layers("shared")
+    load_directory(spark, str(landing), where)
+    load_directory(spark, str(landing), where, once=False)
+    assert spark.table(where.raw).count() == 6
+    (landing / "places_county_9.json").write_text(json.dumps(RECORDS[:1]))
+    load_directory(spark, str(landing), where)
+    assert spark.table(where.raw).count() == 7
