@@ -37,7 +37,7 @@ MEASURES = (
 
 
 def _r2(expression: str) -> str:
-    return f"cast(round(cast({expression} as decimal(18,6)), 2) as double)"
+    return f"round(cast({expression} as double), 2)"
 
 
 def _rank(column: str, name: str) -> str:

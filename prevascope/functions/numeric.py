@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 
 def round2(column: Column) -> Column:
-    """Round a double to two decimals, half up on its six-digit decimal form."""
-    return F.round(column.cast("decimal(18,6)"), 2).cast("double")
+    """Round to two decimals: the hundredfold as a double to the nearest whole number, halves away from zero.
+
+    What is a tie is decided on the hundredfold double, so 1.005 (which lies below) becomes 1.0.
+    """
+    return F.round(column.cast("double") * F.lit(100.0), 0) / F.lit(100.0)
 
 
 def mean_of(column: Column, data_type: T.DataType, window=None) -> Column:

@@ -18,17 +18,12 @@ def latest_per_entity(
     """Keep each entity's row from its latest load; rows without a key are kept as they are.
 
     Ranks above one are dropped inside each task before the shuffle, so an entity with very many
-    copies sends one row per task.
+    copies sends one row per task. A row without a key is a group of its own, in the same scan.
     """
-    newest = Window.partitionBy(key).orderBy(
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    newest = Window.partitionBy(key, alone).orderBy(
         F.col(loaded_at).desc_nulls_last(),
         F.col(source_file).desc_nulls_last(),
         *[F.col(c).desc_nulls_last() for c in tie_break],
     )
-    keyed = (
-        df.where(F.col(key).isNotNull())
-        .withColumn("_newest", F.row_number().over(newest))
-        .where(F.col("_newest") == 1)
-        .drop("_newest")
-    )
-    return keyed.unionByName(df.where(F.col(key).isNull()))
+    return df.withColumn("_newest", F.row_number().over(newest)).where(F.col("_newest") == 1).drop("_newest")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +53,11 @@ def left_join_context(
     context = profile.select(*on, *averages, *ranges)
     if profiles is not None and profiles <= cfg.broadcast_groups:
         context = F.broadcast(context)
-    return ranked.join(context, on, "left")
+    renamed = context.withColumnsRenamed({c: f"_context_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_context_{c}")) if on_fanout == MATCH_ALL else F.col(c) == F.col(f"_context_{c}") for c in on])
+    joined = ranked.join(renamed, same, "left").drop(*[f"_context_{c}" for c in on])
+    first = [*on, *[c for c in joined.columns if c not in on]]
+    return joined.select(*first)
 
 
 def threshold_flags(cfg: PrevalenceConfig = DEFAULT_CONFIG) -> dict[str, Column]:

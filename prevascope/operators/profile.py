@@ -61,9 +61,9 @@ def group_medians(
     return middle.groupBy(key).agg(
         *[
             _midpoint(
-                F.min(F.when(F.col("_measure") == c, F.col("_low"))),
-                F.min(F.when(F.col("_measure") == c, F.col("_high"))),
-                value_type,
+                F.min(F.when(F.col("_measure") == c, F.col("_low"))).cast(df.schema[c].dataType),
+                F.min(F.when(F.col("_measure") == c, F.col("_high"))).cast(df.schema[c].dataType),
+                df.schema[c].dataType,
                 truncate,
             ).alias(out)
             for c, out in names.items()

@@ -55,8 +55,9 @@ def _facts(roles: Mapping[str, str], columns: list[str]) -> dict[str, Column]:
     """Everything the checks need, from the columns that exist, for a single aggregate."""
     facts = {"records": F.count(F.lit(1))}
     if roles["loaded_at"] in columns:
-        at = F.col(roles["loaded_at"])
+        at = F.col(roles["loaded_at"]).try_cast("timestamp")
         facts |= {
+            "bad_loads": count_if_true(F.col(roles["loaded_at"]).isNotNull() & at.isNull()),
             "min_load": F.min(at),
             "max_load": F.max(at),
             "load_dates": F.count_distinct(F.to_date(at)),
@@ -133,8 +134,8 @@ def quality_report(
 ) -> DataFrame:
     """The four checks as four rows, from one scan with one aggregate.
 
-    ``as_of`` is the time of the check (default: now). A check whose columns the table lacks has
-    status ``ERROR``; the others still run.
+    ``as_of`` is the time of the check (default: now). A check whose columns the table lacks, or whose load
+    times cannot be read, has status ``ERROR``; the others still run.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     checks = {
@@ -149,7 +150,13 @@ def quality_report(
         if absent:
             rows.append(_row(number, name, F.lit(ERROR), error=F.lit(f"no column {', '.join(absent)}")))
         else:
-            rows.append(_row(number, name, **details()))
+            found = details()
+            if "loaded_at" in _NEEDS[name]:  # a load time that is no time spoils these checks and no other
+                bad = F.col("bad_loads") > 0
+                text = F.concat(F.col("bad_loads").cast("string"), F.lit(f" values of {roles['loaded_at']} are no timestamps"))
+                found = {f: F.when(~bad, c) for f, c in found.items()}
+                found |= {"status": F.when(bad, ERROR).otherwise(found["status"]), "error": F.when(bad, text)}
+            rows.append(_row(number, name, **found))
     facts = df.agg(*[value.alias(name) for name, value in _facts(roles, df.columns).items()])
     return facts.select(F.inline(F.array(*rows)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +20,7 @@ from prevascope.config import (
 )
 from prevascope.functions.numeric import round2
 from prevascope.functions.schema import first_column
+from prevascope.operators.filters import recent_rows
 
 log = logging.getLogger(__name__)
 
@@ -27,17 +28,17 @@ RESET, SKIP = "reset", "skip"
 
 
 def first_available(candidates: Iterable[Callable[[], DataFrame]]) -> DataFrame | None:
-    """The first candidate that can be analysed and has rows; None when there is none.
+    """The first candidate that can be read and has rows; None when there is none.
 
-    Checking for rows reads until the first one is found.
+    Checking for rows reads until the first one is found; a candidate that fails then is logged and passed over.
     """
     for candidate in candidates:
         try:
             df = candidate()
             if not df.isEmpty():
                 return df
-        except AnalysisException as error:
-            log.info("candidate skipped: %s", error.getCondition())
+        except PySparkException as error:
+            log.warning("candidate skipped: %s", error.getCondition() or type(error).__name__)
     return None
 
 
@@ -47,13 +48,14 @@ def first_table(spark: SparkSession, names: Sequence[str]) -> DataFrame | None:
 
 
 def metric_totals(df: DataFrame, column: str, on_bad: str = RESET) -> DataFrame:
-    """``total`` and ``mean`` of a metric read as double; the total of no values is 0.
+    """``total`` and ``mean`` of a metric read as double; the total of no values is 0 and NaN counts as no value.
 
     Text that is no number voids the figures (``reset``: total 0, mean null) or is left out
     (``skip``).
     """
-    value = F.col(column).try_cast("double")
-    kept = F.lit(True) if on_bad == SKIP else F.count(F.col(column)) == F.count(value)
+    read = F.col(column).try_cast("double")
+    value = F.when(~F.isnan(read), read)
+    kept = F.lit(True) if on_bad == SKIP else F.count(F.col(column)) == F.count(read)
     return df.agg(
         F.coalesce(F.when(kept, round2(F.sum(value))), F.lit(0.0)).alias("total"),
         F.when(kept, round2(F.avg(value))).alias("mean"),
@@ -97,6 +99,22 @@ def top_groups(df: DataFrame, limit: int = TOP_GROUPS) -> DataFrame | None:
     return top_groups_by_metric(df, group, metric, limit) if metric else top_groups_by_count(df, group, limit)
 
 
+def report_source(
+    candidates: Iterable[Callable[[], DataFrame]], ts: str, keys: Sequence[str], limit: int | None = None
+) -> DataFrame | None:
+    """The first candidate with rows, cut to its ``limit`` most recent rows if a limit is given."""
+    df = first_available(candidates)
+    return df if df is None or limit is None else recent_rows(df, ts, keys, limit)
+
+
+def report_top_groups(
+    candidates: Iterable[Callable[[], DataFrame]], ts: str, keys: Sequence[str], limit: int | None = None, groups: int = TOP_GROUPS
+) -> DataFrame | None:
+    """The whole chain: first table with rows, its most recent rows, first matching columns, top groups."""
+    df = report_source(candidates, ts, keys, limit)
+    return None if df is None else top_groups(df, groups)
+
+
 def headline_figures(df: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     """``metric, column_name, figure``: total cases, total deaths and mean rate.
 

@@ -15,11 +15,11 @@ def stage(raw: DataFrame, cast_mode: str = BLANK_NULL, dedupe: bool = False, par
 
     Raw columns beyond the named ones are never read; metadata columns the table lacks are null.
     ``dedupe`` first keeps the latest load of each entity, which undoes repeated loads of the same
-    file. No order is imposed: readers sort where they need to.
+    file; an entity whose latest load lacks the state is left out, not replaced by an older load. No order is imposed: readers sort where they need to.
     """
-    raw = raw.where(F.col("stateabbr").isNotNull() & F.col("countyname").isNotNull())
     if dedupe:
         raw = latest_per_entity(raw, "countyfips")
+    raw = raw.where(F.col("stateabbr").isNotNull() & F.col("countyname").isNotNull())
     metadata = {
         out: F.col(c) if c in raw.columns else F.lit(None).cast("string") for c, out in METADATA_COLUMNS.items()
     }

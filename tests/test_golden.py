@@ -54,8 +54,10 @@ def test_extraction_time_in_seconds_milliseconds_and_iso(spark):
     assert got == ["2026-02-18 09:31:57"] * 3 + [None, None]
 
 
-def test_round_half_up_on_the_decimal_form(spark):
-    assert spark.range(1).select(round2(F.lit(1.005))).first()[0] == 1.01
+def test_rounding_to_two_digits(spark):
+    values = {1.005: 1.0, 1.0049999: 1.0, 2.3449997: 2.34, -0.125: -0.13, 0.375: 0.38, 1e15: 1e15, 123456789012.345: 123456789012.35}
+    for value, expected in values.items():
+        assert spark.range(1).select(round2(F.lit(value))).first()[0] == expected
 
 
 def test_mean_of_decimals_is_exact(spark):
@@ -216,3 +218,33 @@ def test_other_names(counties):
     cfg = replace(CFG, group_cols=("ward", "ward_name"), entity_key="clinic", group_noun="ward", entity_plural="clinics")
     assert {"ward_avg_diabetes", "ward_diabetes_range"} <= set(mart.entity_mart(df, cfg).columns)
     assert values(profile.group_profile(df, cfg), "num_clinics", "clinics_high_diabetes") == [(2, 1)]
+
+
+def test_latest_load_without_state_is_not_replaced(spark):
+    from prevascope.config import MEASURE_COLUMNS, POPULATION_COLUMNS
+    from prevascope.plans.staging import stage
+
+    columns = ["stateabbr", "statedesc", "countyname", "countyfips", "loaded_at", "source_file"]
+    rows = [("WI", "W", "Dane", "1", "2024-01-01", "a"), (None, "W", "Dane", "1", "2024-01-02", "b"), ("MN", "M", "Cook", None, "2024-01-01", "a"), ("MN", "M", "Iron", None, "2024-01-01", "a")]
+    raw = spark.createDataFrame(rows, columns).withColumns({c: F.lit("1") for c in [*POPULATION_COLUMNS, *MEASURE_COLUMNS]})
+    staged = stage(raw, dedupe=True)
+    assert sorted(r.county_name for r in staged.collect()) == ["Cook", "Iron"]
+
+
+def test_medians_keep_the_scale_of_their_measure(spark):
+    from prevascope.operators.profile import group_medians
+
+    df = spark.createDataFrame([("g", "1.1", "2.10"), ("g", "1.2", "2.21")], "g string, a string, b string")
+    df = df.select("g", F.col("a").cast("decimal(5,1)").alias("a"), F.col("b").cast("decimal(5,2)").alias("b"))
+    row = group_medians(df, "g", {"a": "ma", "b": "mb"}).first()
+    assert (str(row.ma), str(row.mb)) == ("1.1", "2.15")
+
+
+def test_match_all_keeps_a_null_label(spark):
+    from prevascope.operators import mart
+
+    profile = spark.createDataFrame([("A", None, 1.0)], "state_code string, state_name string, x double")
+    profile = profile.select("state_code", "state_name", *[F.lit(1.0).alias(c) for c in [
+        "avg_pct_diabetes", "avg_pct_obesity", "avg_pct_current_smoker", "diabetes_disparity_range", "obesity_disparity_range"]])
+    ranked = spark.createDataFrame([("A", None, "x")], "state_code string, state_name string, county_fips string")
+    assert mart.left_join_context(ranked, profile, on_fanout=mart.MATCH_ALL).first().state_avg_diabetes_agg == 1.0

@@ -136,3 +136,11 @@ def test_contracts(spark):
     got = [(r.column_name, r.failures, r.status) for r in contracts.contract_failures(df, "m", rules).collect()]
     assert got == [("state_code", 1, "FAIL"), ("status", 1, "FAIL"), ("state_code", 1, "FAIL")]
     assert len(contracts.STATE_CODES) == 51
+
+
+def test_unreadable_load_time_spoils_only_its_checks(spark):
+    df = spark.createDataFrame([("WI", "Dane", "9.1", "2026-02-20 11:00:00"), ("MN", "Cook", "8", "soon")], SCHEMA.replace("timestamp", "string"))
+    rows = {r.name: r for r in quality.quality_report(df, as_of()).collect()}
+    assert [rows[n].status for n in (quality.FRESHNESS, quality.COUNTS, quality.NULLS, quality.DATES)] == ["ERROR", "PASS", "PASS", "ERROR"]
+    assert rows[quality.FRESHNESS].error == "1 values of loaded_at are no timestamps" and rows[quality.FRESHNESS].hours_old is None
+    assert quality.dq_summary(quality.quality_report(df, as_of())).first().failed == 2

@@ -69,3 +69,50 @@ def test_sample_and_series(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 2.0), (2, None)], "d int, v double")
     assert [r.d for r in reporting.series_by_date(df, "d", "v").collect()] == [1, 2, 3]
     assert [r.d for r in reporting.sample_rows(df, ["d"], 2).collect()] == [1, 2]
+
+
+def test_large_totals_and_nan(spark):
+    big = spark.createDataFrame([(1e15,), (2e15,)], "cases double")
+    assert tuple(reporting.metric_totals(big, "cases").first()) == (3e15, 1.5e15)
+    text = spark.createDataFrame([("NaN",), ("2",), ("4",)], "cases string")
+    assert tuple(reporting.metric_totals(text, "cases").first()) == (6.0, 3.0)
+
+
+@pytest.mark.parametrize("shallow", [10_000, 0])
+def test_pages_keep_their_order_and_size(spark, shallow):
+    df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("k"))
+    assert [r.k for r in filters.page_of_table(df, ["k"], 120, 30, shallow).collect()] == list(range(120, 150))
+    twins = df.unionByName(df).withColumn("v", F.lit("x"))
+    got = [r.k for r in filters.page_of_table(twins, ["k"], 121, 30, shallow).collect()]
+    assert got == [i // 2 for i in range(121, 151)]
+
+
+@pytest.mark.parametrize("narrow_above", [0, 10_000])
+def test_recent_rows_of_any_type(spark, narrow_above):
+    epochs = spark.range(0, 1500).select(F.col("id").alias("k"), F.lit("1771407117").alias("t"))  # one load time, as text
+    assert [r.k for r in filters.recent_rows(epochs, "t", ["k"], 1200, narrow_above).collect()] == list(range(1200))
+    twins = epochs.unionByName(epochs)
+    assert [r.k for r in filters.recent_rows(twins, "t", ["k"], 1201, narrow_above).collect()] == [i // 2 for i in range(1201)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # local times that the clock change leaves out
+        gap = spark.range(0, 1200).select(F.col("id").alias("k"), F.lit("2024-03-10 02:30:00").cast("timestamp_ntz").alias("t"))
+        assert filters.recent_rows(gap, "t", ["k"], 1200, narrow_above).count() == 1200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_candidate_that_fails_when_read_is_passed_over(spark):
+    broken = spark.range(1).where(F.assert_true(F.col("id") < 0, "gone").isNull())
+    full = spark.range(3)
+    assert reporting.first_available([lambda: broken, lambda: full]).count() == 3
+
+
+def test_report_chain(spark):
+    empty = spark.createDataFrame([], "state string, cases int, ts timestamp, k int")
+    rows = [("a", 1, "2024-01-01", 1), ("b", 5, "2024-01-02", 2), ("a", 9, "2024-01-03", 3)]
+    full = spark.createDataFrame(rows, "state string, cases int, ts string, k int").withColumn("ts", F.col("ts").cast("timestamp"))
+    source = [lambda: spark.table("no_such_table"), lambda: empty, lambda: full]
+    assert [tuple(r) for r in reporting.report_top_groups(source, "ts", ["k"]).collect()] == [("a", 10), ("b", 5)]
+    assert [tuple(r) for r in reporting.report_top_groups(source, "ts", ["k"], limit=2).collect()] == [("a", 9), ("b", 5)]
+    assert reporting.report_top_groups(source[:2], "ts", ["k"]) is None
