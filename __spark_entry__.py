@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,6 +21,7 @@ from prevascope.operators import contracts, filters, mart, profile, quality, ran
 from prevascope.operators.dedupe import latest_per_entity as keep_latest  # noqa: E402
 from prevascope.operators.groups import GroupShape  # noqa: E402
 from prevascope.operators.numbering import numbered_by_sort  # noqa: E402
+from prevascope.plans.layers import CREATED, UPDATED, Layers, build_models, load_directory  # noqa: E402
 from prevascope.plans.staging import stage  # noqa: E402
 from prevascope.session import materialise, scratch_path  # noqa: E402
 from prevascope.sources import landing, raw_table, reports  # noqa: E402
@@ -67,7 +69,7 @@ def entity_ranking_sorted(spark, folder):
 
 
 def group_deviation(spark, folder):
-    return ranking.group_deviation(entity_measures(spark, folder)).select(
+    return ranking.group_deviation(materialise(entity_measures(spark, folder), "staged")).select(
         "state_code",
         "county_fips",
         *[f"state_avg_{m.short}" for m in CFG.ranked],
@@ -118,7 +120,7 @@ def threshold_flags(spark, folder):
 
 
 def burden_score(spark, folder):
-    return ranking.group_deviation(entity_measures(spark, folder)).select(
+    return ranking.group_deviation(materialise(entity_measures(spark, folder), "staged")).select(
         "county_fips", mart.burden_score().alias("health_burden_score")
     )
 
@@ -129,7 +131,7 @@ def quality_status(spark, folder):
 
 def mart_ordered(spark, folder):
     shown = ["state_code", "county_fips", "health_burden_score"]
-    slim = entity_mart(spark, folder).select(*shown, "county_name", "diabetes_rank")
+    slim = materialise(entity_mart(spark, folder).select(*shown, "county_name", "diabetes_rank"), "mart")
     return numbered_by_sort(slim, [], mart.mart_order(), "position", keep=shown)
 
 
@@ -184,21 +186,97 @@ def json_dir_scan(spark, folder):
     return landed.records.drop("source_file")
 
 
+def _as_parties(spark, folder):
+    """Suppliers, customers and regions with the same columns."""
+    shape = {"supplier": "s", "customer": "c"}
+    parties = {
+        name: table(spark, folder, name).select(
+            F.col(f"{p}_{key}").alias("id"), F.col(f"{p}_name").alias("name"),
+            F.col(f"{p}_nationkey").alias("nation"), F.col(f"{p}_acctbal").alias("balance"),
+        )
+        for (name, p), key in zip(shape.items(), ["suppkey", "custkey"])
+    }
+    none = F.lit(None)
+    region = table(spark, folder, "region")
+    parties["region"] = region.select(
+        F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("name"),
+        none.cast("int").alias("nation"), none.cast("double").alias("balance"),
+    )
+    return parties
+
+
+def _documents(df, per_file, wrap="%s"):
+    """A JSON list over several lines for each ``per_file`` ids."""
+    page = F.floor(F.col("id") / per_file)
+    rows = df.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    lines = F.replace(F.col("value"), F.lit("},{"), F.lit("},\n{"))
+    return rows.select("page", F.format_string(wrap, lines).alias("value"))
+
+
+def _write_values(df, path):
+    df.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def json_document_scan(spark, folder):
+    """A folder with lists, envelopes, single records and an extract of JSON lines, read without being told which."""
+    parties, directory = _as_parties(spark, folder), scratch_path(spark, "landing")
+    _write_values(_documents(parties["customer"], 500), f"{directory}/places_lists.json")
+    _write_values(_documents(parties["supplier"], 50, '{"meta": 1,\n"data": %s}'), f"{directory}/places_envelopes.json")
+    single = F.replace(F.to_json(F.struct(*parties["region"].columns)), F.lit(","), F.lit(",\n"))
+    _write_values(parties["region"].select(single.alias("value")), f"{directory}/places_records.json")
+    landing.write_extract(parties["supplier"], directory, datetime(2024, 2, 1, 6))
+    return landing.read_landing_directory(spark, directory, parties["customer"].schema).records.drop("source_file")
+
+
+def landing_quarantine(spark, folder):
+    """Of the suppliers' documents every second one is cut short."""
+    suppliers, directory = _as_parties(spark, folder)["supplier"], scratch_path(spark, "landing")
+    documents = _documents(suppliers, 10)
+    cut = F.when(F.col("page") % 2 == 1, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
+    _write_values(documents.select(cut.alias("value")), f"{directory}/places_documents.json")
+    landed = landing.read_landing_directory(spark, directory, suppliers.schema)
+    return raw_table.record_counts({"records": landed.records, "quarantine": landed.quarantine})
+
+
+def ingest_once(spark, folder):
+    """Two loads of one folder, then one more after a new file has come."""
+    parties, directory = _as_parties(spark, folder), scratch_path(spark, "landing")
+    where = Layers(raw=f"raw_{uuid.uuid4().hex}.parties")
+    schema = parties["customer"].schema
+    landing.write_extract(parties["customer"], directory, datetime(2024, 2, 1, 6))
+    for _ in range(2):
+        load_directory(spark, directory, where, schema=schema)
+    landing.write_extract(parties["supplier"], directory, datetime(2024, 2, 2, 6))
+    load_directory(spark, directory, where, schema=schema)
+    return spark.table(where.raw).select(*schema.names)
+
+
 def append_loads(spark, folder):
-    """The same table appended twice, the second time with its columns in another order."""
+    """The same table appended twice, the second time with its columns in another order and one more."""
     customers = table(spark, folder, "customer")
     first = customers.withColumn("load_no", F.lit(1))
     second = customers.withColumn("load_no", F.lit(2)).select("load_no", *reversed(customers.columns))
-    path = scratch_path(spark, "raw")
-    for load in (first, second):
-        raw_table.append_files(load, path)
+    name = f"raw_{uuid.uuid4().hex}.customer"
+    raw_table.ensure_namespace(spark, name.split(".")[0])
+    for load in (first, second.withColumn("added", F.lit("x"))):
+        raw_table.append_by_name(load, name)
     balance = F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("balance")
-    return (
-        spark.read.schema(first.schema)
-        .parquet(path)
-        .groupBy("load_no")
-        .agg(F.count(F.lit(1)).alias("records"), balance)
-    )
+    return spark.table(name).groupBy("load_no").agg(F.count(F.lit(1)).alias("records"), balance, F.count("added").alias("added"))
+
+
+def layer_tables(spark, folder):
+    """All layers built as tables from the raw one; the scorecard as written, without its audit columns."""
+    tag = uuid.uuid4().hex
+    where = Layers(
+        raw=f"raw_{tag}.entities", staging=f"staging_{tag}.entities", long=f"long_{tag}",
+        ranking=f"mid_{tag}.ranking", profile=f"mid_{tag}.profile", mart=f"mart_{tag}.scorecard",
+    )
+    raw_table.ensure_namespace(spark, f"raw_{tag}")
+    loaded = landing.with_load_provenance(raw_entities(spark, folder).withColumn("source_file", F.lit("sample")))
+    raw_table.append_by_name(loaded, where.raw)
+    build_models(spark, where)
+    return spark.table(where.mart).drop(CREATED, UPDATED)
 
 
 def latest_per_entity(spark, folder):
@@ -227,9 +305,20 @@ def page_of_table(spark, folder):
     return filters.page_of_table(table(spark, folder, "orders"), ["o_orderkey"], offset=100, limit=50)
 
 
+def _with_position(page):
+    """Rows of a bounded result with their place in it, as it is returned."""
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return page.withColumn("position", place.cast("bigint"))
+
+
 def page_of_table_deep(spark, folder):
     orders = table(spark, folder, "orders")
-    return filters.page_of_table(orders, ["o_orderkey"], offset=10_000, limit=500, shallow_end=1_000)
+    return _with_position(filters.page_of_table(orders, ["o_orderkey"], offset=10_000, limit=500, shallow_end=1_000))
+
+
+def year_filter(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    return filters.year_filter(orders, 1995)
 
 
 # --- quality and contracts -------------------------------------------------------------------
@@ -327,7 +416,14 @@ def latest_value(spark, folder):
 
 
 def recent_rows(spark, folder):
-    return filters.recent_rows(table(spark, folder, "events"), "ts", ["event_id"])
+    return _with_position(filters.recent_rows(table(spark, folder, "events"), "ts", ["event_id"]))
+
+
+def report_top_groups(spark, folder):
+    """A missing table, an empty one, then the entities: the 1,000 with the largest key, their groups by population."""
+    entities = entity_measures(spark, folder)
+    sources = [lambda: spark.table("no_such_table"), lambda: entities.where("county_fips = ''"), lambda: entities]
+    return reporting.report_top_groups(sources, "county_fips", ["county_fips"], limit=1_000)
 
 
 def recent_rows_sample(spark, folder):
@@ -353,7 +449,8 @@ def queries() -> dict[str, Query]:
         group_median, group_median_wide_type, rank_in_group, rank_in_group_sorted, count_at_or_above_median,
         left_join_context, threshold_flags, burden_score, quality_status, mart_ordered, mart_ordered_top,
         staging, unpivot_measures, state_filter, measure_filter,
-        json_roundtrip, json_dir_scan, append_loads, latest_per_entity, provenance, page_of_table, page_of_table_deep,
+        json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once, append_loads, layer_tables, year_filter,
+        report_top_groups, latest_per_entity, provenance, page_of_table, page_of_table_deep,
         record_counts, table_counts, freshness, date_range, null_counts, dq_report, dq_summary, dq_report_flat,
         contract_not_null, contract_accepted_values,
         top_groups_by_metric, top_groups_by_count, metric_totals, metric_fallback, source_fallback, latest_value,

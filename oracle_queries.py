@@ -173,6 +173,9 @@ checks as (
          null, null, null, {_instant("first_ts")}, {_instant("last_ts")}, dates from facts
 )"""
 
+PARTIES = """select s_suppkey as id, s_name as name, s_nationkey as nation, s_acctbal as balance from supplier
+            union all select c_custkey, c_name, c_nationkey, c_acctbal from customer"""
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -219,16 +222,27 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": "select * from customer",
         "json_dir_scan": """select s_suppkey as id, s_name as name, s_nationkey as nation, s_acctbal as balance from supplier
             union all select c_custkey, c_name, c_nationkey, c_acctbal from customer""",
+        "json_document_scan": f"""{PARTIES} union all {PARTIES.partition("union all")[0]}
+            union all select r_regionkey, r_name, null, null from region""",
+        "landing_quarantine": """select 'records' as table_name, count(*) as records from supplier where s_suppkey // 10 % 2 = 0
+            union all select 'quarantine', count(distinct s_suppkey // 10) from supplier where s_suppkey // 10 % 2 = 1""",
+        "ingest_once": PARTIES,
+        "layer_tables": f"{mart} select * from mart",
+        "year_filter": "select *, cast(year(o_orderdate) as int) as year from orders where year(o_orderdate) = 1995",
+        "report_top_groups": f"""with {EM}, newest as (select * from em order by county_fips desc limit 1000)
+            select state_code, cast(sum(total_population) as bigint) as total_population
+            from newest group by state_code order by 2 desc, 1 limit 20""",
         "append_loads": """with loads as (select 1 as load_no, * from customer union all select 2, * from customer)
-            select load_no, count(*) as records, cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(28,2)) as balance
-            from loads group by load_no""",
+            select load_no, count(*) as records, cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(28,2)) as balance,
+                   case when load_no = 2 then count(*) else 0 end as added from loads group by load_no""",
         "latest_per_entity": """select c_custkey, c_name, case when c_acctbal < 0 then 0 else c_acctbal end as c_acctbal,
             case when c_acctbal < 0 then 'second' else 'first' end as source_file from customer""",
         "provenance": """select c_custkey, 'customer.parquet' as source_file, timestamp '2024-02-01 06:00:00' as loaded_at,
             timestamp '2024-02-01 05:00:00' as extracted_at, 'CDC_PLACES' as source, 'd3i6-k6z5' as dataset_id
             from customer""",
         "page_of_table": "select * from orders order by o_orderkey limit 50 offset 100",
-        "page_of_table_deep": "select * from orders order by o_orderkey limit 500 offset 10000",
+        "page_of_table_deep": """select *, row_number() over (order by o_orderkey) as position
+            from (select * from orders order by o_orderkey limit 500 offset 10000)""",
         "record_counts": " union all ".join(f"select '{t}' as table_name, count(*) as records from {t}" for t in TABLES),
         "table_counts": " union all ".join(
             [f"select '{t}' as table_name, count(*) as records, 'ok' as status from {t}" for t in TABLES]
@@ -275,7 +289,8 @@ def oracle_sql() -> dict[str, str]:
         "latest_value": """select event_type, ts as latest_ts, value as latest_value from (
               select *, row_number() over (partition by event_type order by ts desc nulls last, event_id desc) as n
               from events) where n = 1""",
-        "recent_rows": recent.format(10000),
+        "recent_rows": f"""select *, row_number() over (order by ts desc nulls last, event_id) as position
+            from ({recent.format(10000)})""",
         "recent_rows_sample": recent.format(10),
         "series_by_date": "select ts, value from events",
     }

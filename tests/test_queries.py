@@ -1,12 +1,16 @@
 """Every registered query against its SQL."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as registry
 from check_queries import differences
 from tests.conftest import SAMPLE
 
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+#: the text operators' queries have tests of their own
+QUERIES = {n: q for n, q in registry.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
+SQL = {n: s for n, s in registry.oracle_sql().items() if n in QUERIES}
 
 
 def test_every_query_has_sql():
