@@ -16,8 +16,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from operator import itemgetter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,14 +53,15 @@ class Vocabulary:
     reach: np.ndarray  # and the longest piece with each
 
 
-def _symbol_codes(points: np.ndarray) -> np.ndarray:
-    return mixed(points.astype(np.uint64) * _C[0] + np.uint64(1))
+@cache
+def _symbol_codes() -> np.ndarray:
+    return mixed(np.arange(_OWN_MARK + 1, dtype=np.uint64) * _C[0] + np.uint64(1))
 
 
 def _sums(points: np.ndarray) -> np.ndarray:
     power, _ = _power_tables(len(points))
     out = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(_symbol_codes(points) * power[: len(points)], out=out[1:])
+    np.cumsum(_symbol_codes().take(points) * power[: len(points)], out=out[1:])
     return out
 
 
@@ -306,8 +310,9 @@ def sampled(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int)
         part, cuts = points[starts[low] : starts[high]], starts[low : high + 1] - starts[low]
         sums, inverse = _sums(part), _power_tables(len(part))[1]
         codes = mixed((sums[cuts[1:]] - sums[cuts[:-1]]) * inverse[cuts[:-1]] + np.diff(cuts).astype(np.uint64))
-        _, one, same = np.unique(codes, return_index=True, return_inverse=True)
-        same = same.ravel()
+        same, kinds = pd.factorize(codes)
+        one = np.empty(len(kinds), np.int64)
+        one[same[::-1]] = np.arange(len(same) - 1, -1, -1)  # where each kind stands first
         lengths = np.diff(cuts)[one]
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         source = np.repeat(cuts[one] - offsets[:-1], lengths) + np.arange(offsets[-1])
@@ -430,8 +435,12 @@ def _with_bytes(vocabulary: Vocabulary, ids: np.ndarray) -> np.ndarray:
 
 def decoded(vocabulary: Vocabulary, ids) -> str:
     """The text of a segmentation: the first space is the model's own."""
-    spelling = vocabulary.spelling
-    return b"".join([spelling[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+    return spelled(vocabulary, ids).decode("utf-8", "replace").removeprefix(" ")
+
+
+def spelled(vocabulary: Vocabulary, ids) -> bytes:
+    """The bytes of a segmentation, with the model's own first space."""
+    return b"".join(itemgetter(*ids, 0, 0)(vocabulary.spelling)[:-2])
 
 
 def _encoded(vocabulary, k: int, digest: bool):
@@ -451,7 +460,8 @@ def _encoded(vocabulary, k: int, digest: bool):
                         values.append(value)
                         inclusions.append(inclusion)
                         if digest:
-                            equal.append(decoded(v, pieces.tolist()) == texts[row])
+                            text = texts[row]
+                            equal.append(spelled(v, pieces.tolist()) == (f" {text}".encode() if text else b""))
                 sizes = pa.array([len(x) for x in ids], pa.int64())
                 columns = [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), sizes,
                            pa.array(logs, pa.float64()), pa.array(values, pa.float64()), pa.array(inclusions, pa.float64())]
