@@ -21,7 +21,7 @@ from prevascope.operators.quality import assert_quality, quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.staging import stage
-from prevascope.session import shared_root
+from prevascope.session import scratch_scope, shared_root
 from prevascope.sources.landing import AUTO as ANY_LAYOUT
 from prevascope.sources.landing import LANDING_SCHEMA, has_landing_files, read_landing_directory, with_load_provenance
 from prevascope.sources.raw_table import append_by_name, ensure_namespace, quarantine_of
@@ -161,8 +161,9 @@ def run_all(
     A second run over the same files adds nothing to the raw table. Unreadable input is in the quarantine
     table (:func:`~prevascope.sources.raw_table.quarantine_of`) and in the log.
     """
-    load_directory(spark, directory, layers, layout)
-    models = build_models(spark, layers, cfg)
+    with scratch_scope(spark):
+        load_directory(spark, directory, layers, layout)
+        models = build_models(spark, layers, cfg)
     broken = check_models(models).where("failures > 0").collect()
     if broken:
         raise ContractError("; ".join(f"{r.model}.{r.column_name} {r.rule}: {r.failures} rows" for r in broken))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +50,29 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """A folder for the scratch copies of one run, deleted at its end.
+
+    For runs whose results are written by then: a frame that still reads a scratch copy fails afterwards.
+    Copies made outside any scope stay, for the shared folder's retention rule.
+    """
+    folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the current scope, else below the shared folder."""
+    return f"{_scopes[-1] if _scopes else shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:

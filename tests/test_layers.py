@@ -1,6 +1,7 @@
 """Landing files to scorecard, contracts and quality report."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,13 @@ def test_batch_and_stream_share_a_table(spark, landing):
     (landing / "places_county_9.json").write_text(json.dumps(RECORDS[:1]))
     load_directory(spark, str(landing), where)
     assert spark.table(where.raw).count() == 7
+
+
+def test_scratch_copies_go_with_the_run(spark, landing):
+    from prevascope.session import shared_root
+
+    folder = Path(shared_root(spark).removeprefix("file:"))
+    before = {p for p in folder.rglob("*") if "ingest" not in p.parts}
+    models = run_all(spark, str(landing), layers("scratch"))
+    assert {p for p in folder.rglob("*") if "ingest" not in p.parts} <= before | {folder / "ingest"}
+    assert models["mart"].count() == 3
