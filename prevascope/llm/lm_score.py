@@ -35,7 +35,7 @@ RARE = RARE_WORD = 2.0**-20
 PAD, END = 0xFF, 0xFE
 #: Symbols that can follow: all bytes but ``PAD``.
 SYMBOLS = 255
-_POSITIONS = 16 << 20
+_POSITIONS = 8 << 20
 _PART = 1 << 20
 _FEW_WORDS = 300_000
 
