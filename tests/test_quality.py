@@ -112,7 +112,7 @@ def test_pretty_printed_report_can_be_read(spark, tmp_path):
     file = tmp_path / "report.json"
     file.write_text(
         """{
-  "timestamp": "2026-02-27T13:25:20",
+  "timestamp": "2031-07-11T04:05:06",
   "checks": [
     {"name": "Data Freshness", "status": "PASS", "hours_old": 0.0},
     {"name": "Record Counts", "status": "FAIL", "reason": "No records found"}
