@@ -134,3 +134,29 @@ def test_awkward_rows(spark):
     only_held = [(i, "text") for i in range(60) if held(i)]
     got = op.score(spark.createDataFrame(only_held, "doc_id long, text string")).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == pytest.approx(-5 * math.log10(255)) for r in got)
+
+
+def test_rare_contexts_count_in_any_corpus(spark, monkeypatch):
+    """A word seen once among 1.7 million bytes is learned; its grams reach the scores by broadcast and by join alike."""
+    data = [(i, "plain words of a large text stand here again and again " * 60) for i in range(600) if not held(i)]
+    first = next(i for i in range(10**6, 10**6 + 99) if held(i))
+    data += [next((i, "xylqzwvb") for i in range(2 * 10**6, 2 * 10**6 + 3) if not held(i)), (first, "xylqzwvb"), (first + 7 * 10**6, "never")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    scores = {}
+    for share in (op.HEAD, 2.0**-6, 2.0):
+        monkeypatch.setattr(op, "HEAD", share)
+        scores[share] = {r.doc_id: r.score for r in op.score(docs).collect()}
+    model = Brute([t for i, t in data if not held(i)], 0)
+    for got in scores.values():
+        assert got[first] == pytest.approx(model.score("xylqzwvb"), rel=1e-7)
+        assert got[first + 7 * 10**6] == pytest.approx(model.score("never"), rel=1e-7)
+
+
+def test_groups_of_grams_in_parts(spark, monkeypatch):
+    """Groups that span batches stay whole, however few rows are held."""
+    monkeypatch.setattr(op, "_GROUPED", 1)
+    logs, _ = op.gram_table(spark.createDataFrame([(f"text {i} of {i % 7} words".encode(), i % 3 > 0) for i in range(400)], "text binary, training boolean"))
+    small = {r.gram: r.log for r in logs.collect()}
+    monkeypatch.setattr(op, "_GROUPED", 1 << 20)
+    logs, _ = op.gram_table(spark.createDataFrame([(f"text {i} of {i % 7} words".encode(), i % 3 > 0) for i in range(400)], "text binary, training boolean"))
+    assert small == {r.gram: pytest.approx(r.log, rel=1e-12) for r in logs.collect()}
