@@ -1,9 +1,12 @@
 """Personal data: identifiers by pattern, and the terms that give them away by co-occurrence.
 
-An identifier (address, number) that several documents share is a protected entity with information
-``-log2 P(e)``. A term ``t`` of those documents discloses ``log2 P(e|t) / P(e)`` of it, from counts of
-documents over the whole corpus. Terms that disclose at least the share ``disclosure`` of the entity's
-information are spans too, and are generalised or removed when a text is sanitised.
+An identifier (address, number) is a protected entity with information ``-log2 P(e)``. A term ``t`` of its
+documents discloses ``log2 P(e|t) / P(e)`` of it, from counts of documents over the whole corpus, ``P(e|t)``
+smoothed. Terms that disclose at least the share ``disclosure`` of the entity's information are spans too, and are
+generalised or removed when a text is sanitised.
+
+A term held by many more documents than an entity cannot disclose it, so each entity has a most that a term may
+be held by, and only terms below it are paired. Entities of the same documents count as one.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prevascope.llm.common import ALNUM, bounded_batches, lowered, row_of, slices, text_bytes, word_hashes
+from prevascope.llm.common import ALNUM, Lookup, bounded_batches, lowered, row_of, slices, text_bytes, word_hashes
 from prevascope.session import materialise
 
 #: Fixed formats of the base matches. Runs are taken whole, which gives the leftmost matches in linear time.
@@ -29,6 +32,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 SUPPORT, DISCLOSURE = 3, 0.95
+#: Share of documents from which all tasks know a term's count.
+FREQUENT = 1e-3
 
 Span = tuple[str, int, int]
 
@@ -127,21 +132,23 @@ def terms(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(lowered(np.frombuffer(raw, np.uint8)), np.array([0, len(raw)]), ALNUM)
 
 
-def _row_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, entity, term) for each distinct term of a text outside its identifiers."""
-    for batch in batches:
-        rows, entities, found = [], [], []
-        for row, text, base, own in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "base", "protected"))):
-            distinct = np.unique(terms(outside(text, base))[0]).view(np.int64)
-            for entity in own:
+def _row_terms(frequent):
+    """(row, term, holding) for each distinct term of a text outside its identifiers that at most ``most`` texts hold; 0 if not known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, counts = frequent.value
+        for batch in batches:
+            rows, found, holding = ([np.zeros(0, np.int64)] for _ in range(3))
+            for row, text, base, most in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "base", "most"))):
+                distinct = np.unique(terms(outside(text, base))[0])
+                n = counts[lookup.find(distinct)]  # -1, an unknown term, is the zero at the end
+                distinct, n = distinct[n <= most], n[n <= most]
                 rows.append(np.full(len(distinct), row, np.int64))
-                entities += [entity] * len(distinct)
-                found.append(distinct)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)), pa.array(entities, pa.string()),
-             pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))],
-            names=["row", "entity", "term"],
-        )
+                found.append(distinct.view(np.int64))
+                holding.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (rows, found, holding)], names=["row", "term", "holding"])
+
+    return run
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,23 +185,44 @@ def _all_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SPAN_TYPE = "array<struct<kind:string,at:bigint,to:bigint>>"
 
 
-def revealing_terms(docs: DataFrame, pairs: DataFrame, protected: DataFrame, n_docs: int, support: int, disclosure: float) -> DataFrame:
-    """(entity, term) whose co-occurrence discloses at least the share ``disclosure`` of the entity."""
-    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= support)
+def holding_counts(docs: DataFrame) -> DataFrame:
+    """(term, holding): how many rows of ``docs`` hold each term."""
     source = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     counts = source.mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("holding"))
-    known = both.join(protected, "entity").join(counts, "term")
+    return materialise(counts, "holding")
+
+
+def protected_entities(each: DataFrame, n_docs: int, support: int, disclosure: float, smoothing: float) -> DataFrame:
+    """(entity, entity_docs, most) of the entities of ``each`` (row, entity), one of those with the same rows.
+
+    ``most`` is the number of documents beyond which a term cannot disclose the entity.
+    """
+    marks = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"mark_{k}") for k in range(2)]
+    counted = each.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"), *marks)
+    counted = counted.where((F.col("entity_docs") >= support) & (F.col("entity_docs") < n_docs))
+    single = counted.groupBy("entity_docs", "mark_0", "mark_1").agg(F.min("entity").alias("entity"))
+    least = F.pow(F.col("entity_docs") / n_docs, F.lit(1 - disclosure))
+    return single.select("entity", "entity_docs", ((F.col("entity_docs") + smoothing) / least - 2 * smoothing + 1e-6).alias("most"))
+
+
+def revealing_terms(pairs: DataFrame, n_docs: int, support: int, disclosure: float, smoothing: float) -> DataFrame:
+    """(entity, term) whose co-occurrence discloses at least the share ``disclosure`` of the entity."""
+    both = pairs.groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("together"), F.first("entity_docs").alias("entity_docs"), F.first("holding").alias("holding")
+    )
     information = -F.log2(F.col("entity_docs") / n_docs)
-    disclosed = F.log2((F.col("together") / F.col("holding")) / (F.col("entity_docs") / n_docs))
-    return known.where((information > 0) & (disclosed >= disclosure * information)).select("entity", "term")
+    given_term = (F.col("together") + smoothing) / (F.col("holding") + 2 * smoothing)
+    disclosed = F.log2(given_term / (F.col("entity_docs") / n_docs))
+    return both.where((F.col("together") >= support) & (disclosed >= disclosure * information)).select("entity", "term")
 
 
-def private_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def private_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, smoothing: float = 0.0) -> DataFrame:
     """Personal data in every row of ``docs`` (doc_id, text).
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term and found (the spans as an array
     of kind, at, to in code points: base matches by kind and start, then terms). A term counts if at least
-    ``support`` documents hold it with the entity. Null text is empty and has no spans; repeated rows count as
+    ``support`` documents hold it with the entity; 1 judges every entity. ``P(e|t)`` is
+    ``(together + smoothing) / (holding + 2 * smoothing)``, so that few documents show less. Null text is empty and has no spans; repeated rows count as
     documents of their own; an empty table gives no rows. Terms within identifiers never count.
     """
     spark = docs.sparkSession
@@ -209,12 +237,21 @@ def private_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = D
     n_docs = max(1, scanned.count())
     holders = scanned.where(F.size("entities") > 0)
     each = holders.select("row", F.explode("entities").alias("entity"))
-    protected = each.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= support)
-    protected = materialise(protected, "protected")
-    own = each.join(protected.select("entity"), "entity").groupBy("row").agg(F.collect_list("entity").alias("protected"))
-    shown = holders.select("row", "text", "base").join(own, "row")
-    pairs = materialise(shown.mapInArrow(_row_terms, "row long, entity string, term long"), "pairs")
-    revealing = materialise(revealing_terms(docs, pairs, protected, n_docs, support, disclosure), "revealing")
+    protected = materialise(protected_entities(each, n_docs, support, disclosure, smoothing), "protected")
+    own = materialise(each.join(protected, "entity"), "own")
+    most = own.groupBy("row").agg(F.max("most").alias("most"))
+    shown = holders.select("row", "text", "base").join(most, "row")
+    counts = holding_counts(docs)
+    # at most 1 / FREQUENT times the terms of a mean document
+    known = counts.where(F.col("holding") >= FREQUENT * n_docs).toArrow()
+    frequent = Lookup(known.column("term").to_numpy().view(np.uint64)), np.append(known.column("holding").to_numpy(), 0)
+    found = shown.mapInArrow(_row_terms(spark.sparkContext.broadcast(frequent)), "row long, term long, holding long")
+    found = materialise(found, "terms")
+    rare = counts.where(F.col("holding") < FREQUENT * n_docs)
+    looked_up = found.where("holding = 0").drop("holding").join(rare, "term").select("row", "term", "holding")
+    pairs = found.where("holding > 0").unionByName(looked_up).join(own, "row").where(F.col("holding") <= F.col("most"))
+    pairs = materialise(pairs.select("row", "entity", "term", "holding", "entity_docs"), "pairs")
+    revealing = materialise(revealing_terms(pairs, n_docs, support, disclosure, smoothing), "revealing")
     wanted = pairs.join(revealing, ["entity", "term"], "left_semi").groupBy("row").agg(F.collect_set("term").alias("wanted"))
     extra = holders.select("row", "text", "base").join(wanted, "row")
     extra = extra.mapInArrow(_all_spans, f"row long, extra {_SPAN_TYPE}").withColumnRenamed("row", "r")

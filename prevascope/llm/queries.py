@@ -36,7 +36,8 @@ def op6_toxicity(spark, folder):
 
 
 def op7_private_spans(spark, folder):
-    return privacy.private_spans(table(spark, folder, "documents")).drop("found")
+    # every identifier is judged, also one in a single document
+    return privacy.private_spans(table(spark, folder, "documents"), support=1, smoothing=0.5).drop("found")
 
 
 def op8_pieces(spark, folder):

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 from prevascope.llm import privacy as op
+from prevascope.llm import queries
 from prevascope.llm.common import table
 from tests.conftest import SAMPLE
 from tests.llm.rows import SCHEMA, awkward, rows, with_clashes
@@ -112,3 +113,45 @@ def test_awkward_rows(spark):
     plain = lambda t: [] if t and set(t) == {"x"} else brute(t)  # noqa: E731  the plain patterns take quadratic time on a long run
     assert Counter((r.doc_id, r.base_sha256) for r in got) == Counter((i, digest(plain(t))) for i, t, *_ in awkward())
     assert rows(op.private_spans(docs.limit(0))) == []
+
+
+def words(text):
+    return set(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+
+
+def blank(text):
+    for _, s, e in brute(text):
+        text = text[:s] + " " * (e - s) + text[e:]
+    return text
+
+
+def test_query_judges_identifiers_of_one_document(spark):
+    """Term spans of the registered query follow from plain counts, whatever an identifier's number of documents."""
+    import math
+
+    data = [(r.doc_id, r.text or "") for r in table(spark, SAMPLE, "documents").collect()]
+    own = {i: {(k, t[s:e].lower() if k in ("email", "ip") else digits(t[s:e])) for k, s, e in brute(t)} for i, t in data}
+    entities = Counter(e for v in own.values() for e in v)
+    holding = Counter(w for _, t in data for w in words(t))
+    together = Counter((e, w) for i, t in data for e in own[i] for w in words(blank(t)))
+    n = len(data)
+    assert min(entities.values()) == 1
+    reveals = {
+        (e, w) for (e, w), c in together.items()
+        if math.log2((c + 0.5) / (holding[w] + 1) / (entities[e] / n)) >= 0.95 * -math.log2(entities[e] / n) - 1e-12
+    }
+    assert {e for e, _ in reveals if entities[e] == 1}
+    got = {r.doc_id: r for r in queries.op7_private_spans(spark, SAMPLE).collect()}
+    for i, t in data:
+        expected = {w for w in words(blank(t)) if any((e, w) in reveals for e in own[i])}
+        spans = [s.split(":") for s in got[i].spans.split(",") if s.startswith("term:")]
+        assert {re.sub("[A-Z]", lambda m: m[0].lower(), t[int(a) : int(b)]) for _, a, b in spans} == expected
+        assert got[i].n_term == len(spans)
+    assert sum(r.n_term for r in got.values()) > 0
+
+
+def test_term_counts_by_join_and_by_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame(cooccurring(), SCHEMA)
+    expected = rows(op.private_spans(docs, 1, 0.8, 0.5).select("doc_id", "spans"))
+    monkeypatch.setattr(op, "FREQUENT", 2.0)
+    assert rows(op.private_spans(docs, 1, 0.8, 0.5).select("doc_id", "spans")) == expected and any("term" in r[1] for r in expected)
