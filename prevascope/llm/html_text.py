@@ -1,9 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 Every text block of a page belongs to its root-to-leaf tag path. A path's text and punctuation per block are
-smoothed over the page order, fused and held against a threshold; the paths above it mark content nodes.
-The container that holds them (an article if there is one) gives the text: all its blocks but those
-of elements that are boilerplate by nature or by name.
+smoothed over the page order, fused and held against a threshold; the blocks of the paths above it are the text, with the
+headings right before them. A path below an article or main element has its ratio raised, and if these elements
+hold nearly all of what is chosen, what is outside of them is left out. So are elements that are boilerplate by nature or by name.
 """
 
 from __future__ import annotations
@@ -35,9 +35,11 @@ LEFT_OUT_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments replies respond disqus reply".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-CONTAINERS = frozenset("body main section div td center table tbody tr".split())
-#: Share of its content that a container must hold for the search to go down to it; share of the mean that a path must reach.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the chosen text that articles must hold for the rest to go; share of the mean that a path must reach.
 HOLDS, THRESHOLD = 0.9, 0.5
+#: What an article around it makes of a path's ratio.
+IN_ARTICLE = 2.0
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -150,6 +152,14 @@ class Page:
             self._pop()
 
 
+def below(page: Page, *tags: str) -> list[bool]:
+    """Whether each element is one of ``tags`` or inside of one."""
+    inside = [False] * len(page.parents)
+    for i in range(1, len(inside)):
+        inside[i] = inside[page.parents[i]] or page.tags[i] in tags
+    return inside
+
+
 def content_paths(page: Page) -> set[int]:
     """The tag paths whose fused ratio reaches the threshold."""
     text, marks, nodes = Counter(), Counter(), Counter()
@@ -170,45 +180,33 @@ def content_paths(page: Page) -> set[int]:
         fused[path] += math.sqrt(x * (1 + y)) / nodes[path]
     total = sum(text.values())
     mean = sum(fused[p] * text[p] for p in fused) / total
-    return {p for p in fused if fused[p] >= THRESHOLD * mean}
+    inside = below(page, "article", "main")
+    raised = {page.path_of[element] for _, element in page.blocks if inside[element]}
+    return {p for p in fused if fused[p] * (IN_ARTICLE if p in raised else 1) >= THRESHOLD * mean}
 
 
 def main_text(source: str | None) -> str:
-    """The article of a page, its blocks joined by an empty line."""
+    """The main text of a page, its blocks joined by an empty line."""
     page = Page(source or "")
     if not page.blocks:
         return ""
-    chosen = content_paths(page)
-    n = len(page.parents)
-    content, whole = [0] * n, [0] * n
-    for block, element in page.blocks:
-        whole[element] += len(block)
-        content[element] += len(block) * (page.path_of[element] in chosen)
-    for element in range(n - 1, 0, -1):
-        whole[page.parents[element]] += whole[element]
-        content[page.parents[element]] += content[element]
-    container = 0
+    paths = content_paths(page)
+    chosen = [page.path_of[element] in paths for _, element in page.blocks]
+    whole = sum(len(block) for (block, _), c in zip(page.blocks, chosen) if c)
+    heading = below(page, *HEADINGS)
+    following = False
+    for k in range(len(chosen) - 1, -1, -1):
+        if heading[page.blocks[k][1]]:
+            chosen[k] = chosen[k] or following
+        else:
+            following = chosen[k]
     for tag in ("article", "main"):
-        named = [i for i in range(1, n) if page.tags[i] == tag and whole[i]]
-        if named and container == 0:
-            best = max(named, key=lambda i: (content[i], whole[i], -i))
-            if content[best] >= content[0] * (1 - HOLDS):
-                container = best
-    if container == 0:
-        children: dict[int, list[int]] = {}
-        for i in range(1, n):
-            if content[i] and (page.tags[i] in CONTAINERS or page.tags[i] == "html"):
-                children.setdefault(page.parents[i], []).append(i)
-        while children.get(container):
-            best = max(children[container], key=lambda i: content[i])
-            if content[best] < HOLDS * content[container]:
-                break
-            container = best
-    inside = [False] * n
-    inside[container] = True
-    for i in range(1, n):
-        inside[i] = inside[i] or inside[page.parents[i]]
-    return "\n\n".join(block for block, element in page.blocks if inside[element])
+        inside = below(page, tag)
+        held = sum(len(block) for block, element in page.blocks if inside[element] and page.path_of[element] in paths)
+        if held and held >= HOLDS * whole:
+            chosen = [c and inside[element] for c, (_, element) in zip(chosen, page.blocks)]
+            break
+    return "\n\n".join(block for (block, _), c in zip(page.blocks, chosen) if c)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,3 +70,17 @@ def test_awkward_rows(spark):
     got = sorted((tuple(r) for r in op.extract(pages).collect()), key=repr)
     assert got == sorted([(1, None, "", 0), (1, "u", "", 0), (2, "u", "a", 1), (2, "u", "a", 1), (None, None, "b", 1)], key=repr)
     assert op.extract(pages.limit(0)).collect() == []
+
+
+STORY = "".join(f"<p>Sentence number {i}, which is long enough, stands here. It has a second part.</p>" for i in range(9))
+
+
+def test_blocks_are_selected_by_their_path():
+    """A teaser in an article does not replace the story, several articles all stay, and short blocks of other paths go."""
+    text = op.main_text(SHELL % f"<main><div>{STORY}</div><article><p>A teaser, with one more sentence of its own.</p></article></main>")
+    assert all(f"Sentence number {i}," in text for i in range(9))
+    text = op.main_text(SHELL % f"<article><h2>One</h2>{STORY}</article><article><h2>Two</h2>{STORY}</article><div>Imprint</div>")
+    assert text.count("Sentence number") == 18 and "One\n\n" in text and "Two\n\n" in text and "Imprint" not in text
+    links = "".join(f"<li>{i}</li>" for i in range(30))
+    text = op.main_text(SHELL % f"<article>{STORY}<ul>{links}</ul></article>")
+    assert text.count("Sentence number") == 9 and "\n\n17" not in text
