@@ -3,7 +3,8 @@
 Every text block of a page belongs to its root-to-leaf tag path. A path's text and punctuation per block are
 smoothed over the page order, fused and held against a threshold; the blocks of the paths above it are the text, with the
 headings right before them. A path below an article or main element has its ratio raised, and if these elements
-hold nearly all of what is chosen, what is outside of them is left out. So are elements that are boilerplate by nature or by name.
+hold nearly all of what is chosen, what is outside of them is left out. So are elements that are boilerplate by nature. A name of
+boilerplate lowers the ratio of the paths below it, unless the element holds most of the page.
 """
 
 from __future__ import annotations
@@ -22,17 +23,19 @@ from prevascope.llm.common import bounded_batches
 
 #: Tag names and words of class, id and role, as HTML and common usage have them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title xmp noembed svg math canvas object".split())
+RAW = frozenset("script style noscript template iframe textarea title xmp noembed".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-LEFT_OUT = frozenset("head nav header footer aside form button select option menu dialog".split()) | RAW
+LEFT_OUT = frozenset("head nav header footer aside button select option menu dialog".split()) | RAW
 LEFT_OUT_WORDS = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
     "footer header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related "
     "replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget contentinfo complementary alert".split()
 )
+#: Parts of a name that turn it around: with-sidebar, no-header, ad-free.
+TURNING = frozenset("with without no non not has have free".split())
 COMMENT_WORDS = frozenset("comment comments replies respond disqus reply".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -40,6 +43,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDS, THRESHOLD = 0.9, 0.5
 #: What an article around it makes of a path's ratio.
 IN_ARTICLE = 2.0
+#: What a name of boilerplate makes of it, and the share of the page's text from which an element's name says nothing.
+NAMED, MOST = 0.2, 0.5
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -51,7 +56,7 @@ class Page:
     """Elements and text blocks of a page; ``parents`` and ``tags`` are by element, 0 is the root."""
 
     def __init__(self, source: str):
-        self.parents, self.tags, self.dropped = [0], [""], [False]
+        self.parents, self.tags, self.dropped, self.named = [0], [""], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.path_of = [0]
         self.blocks: list[tuple[str, int]] = []  # text, element
@@ -118,27 +123,41 @@ class Page:
         top = self._stack[-1]
         self.parents.append(top)
         self.tags.append(tag)
-        self.dropped.append(self.dropped[top] or self._is_boilerplate(tag, attributes))
+        left_out, named = self._is_boilerplate(tag, attributes)
+        self.dropped.append(self.dropped[top] or left_out)
+        self.named.append(named)
         key = (self.path_of[top], tag)
         self.path_of.append(self.paths.setdefault(key, len(self.paths) + 1))
         self._stack.append(len(self.parents) - 1)
         self._open[tag] += 1
 
-    def _is_boilerplate(self, tag: str, attributes: str) -> bool:
+    def _is_boilerplate(self, tag: str, attributes: str) -> tuple[bool, bool]:
+        """Whether an element is left out by nature, and whether it has a name of boilerplate."""
         if tag in ("html", "body"):
-            return False
+            return False, False
         if tag in LEFT_OUT and not (tag == "header" and (self._open["article"] or self._open["main"])):
-            return True
-        if not attributes.strip("/ "):
-            return False
-        words, hidden = set(), False
+            return True, False
+        names, hidden = [], False
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id", "role"):
-                words |= set(_NAME_PART.findall(value))
+                names += [set(_NAME_PART.findall(token)) for token in value.split()]
             hidden |= name == "hidden" or (name == "aria-hidden" and value == "true")
             hidden |= name == "style" and "display:none" in value.replace(" ", "")
-        return hidden or bool(words & (COMMENT_WORDS if tag in ("article", "main") else LEFT_OUT_WORDS))
+        words = COMMENT_WORDS if tag in ("article", "main") else LEFT_OUT_WORDS
+        return hidden, tag == "form" or any(parts & words and not parts & TURNING for parts in names)
+
+    def named_below(self) -> list[bool]:
+        """Whether each element is in one that has a name of boilerplate and less than ``MOST`` of the page's text."""
+        whole = [0] * len(self.parents)
+        for block, element in self.blocks:
+            whole[element] += len(block)
+        for i in range(len(whole) - 1, 0, -1):
+            whole[self.parents[i]] += whole[i]
+        named = [False] * len(whole)
+        for i in range(1, len(whole)):
+            named[i] = named[self.parents[i]] or (self.named[i] and whole[i] < MOST * whole[0])
+        return named
 
     def _pop(self) -> None:
         self._open[self.tags[self._stack.pop()]] -= 1
@@ -160,10 +179,10 @@ def below(page: Page, *tags: str) -> list[bool]:
     return inside
 
 
-def content_paths(page: Page) -> set[int]:
-    """The tag paths whose fused ratio reaches the threshold."""
+def chosen_blocks(page: Page, named: list[bool]) -> list[bool]:
+    """Whether each block's tag path (one apart below names of boilerplate) has a fused ratio that reaches the threshold."""
     text, marks, nodes = Counter(), Counter(), Counter()
-    series = [page.path_of[element] for _, element in page.blocks]
+    series = [(page.path_of[element], named[element]) for _, element in page.blocks]
     for (block, _), path in zip(page.blocks, series):
         text[path] += len(block)
         marks[path] += len(_PUNCTUATION.findall(block))
@@ -178,11 +197,12 @@ def content_paths(page: Page) -> set[int]:
     fused = Counter()
     for path, x, y in zip(series, length, stops):
         fused[path] += math.sqrt(x * (1 + y)) / nodes[path]
-    total = sum(text.values())
-    mean = sum(fused[p] * text[p] for p in fused) / total
+    plain = [p for p in fused if not p[1]] or list(fused)
+    mean = sum(fused[p] * text[p] for p in plain) / sum(text[p] for p in plain)
     inside = below(page, "article", "main")
     raised = {page.path_of[element] for _, element in page.blocks if inside[element]}
-    return {p for p in fused if fused[p] * (IN_ARTICLE if p in raised else 1) >= THRESHOLD * mean}
+    weight = {p: NAMED if p[1] else IN_ARTICLE if p[0] in raised else 1 for p in fused}
+    return [fused[p] * weight[p] >= THRESHOLD * mean for p in series]
 
 
 def main_text(source: str | None) -> str:
@@ -190,19 +210,20 @@ def main_text(source: str | None) -> str:
     page = Page(source or "")
     if not page.blocks:
         return ""
-    paths = content_paths(page)
-    chosen = [page.path_of[element] in paths for _, element in page.blocks]
+    named = page.named_below()
+    by_path = chosen_blocks(page, named)
+    chosen = list(by_path)
     whole = sum(len(block) for (block, _), c in zip(page.blocks, chosen) if c)
     heading = below(page, *HEADINGS)
     following = False
     for k in range(len(chosen) - 1, -1, -1):
         if heading[page.blocks[k][1]]:
-            chosen[k] = chosen[k] or following
-        else:
+            chosen[k] = chosen[k] or (following and not named[page.blocks[k][1]])
+        elif chosen[k] or not named[page.blocks[k][1]]:
             following = chosen[k]
     for tag in ("article", "main"):
         inside = below(page, tag)
-        held = sum(len(block) for block, element in page.blocks if inside[element] and page.path_of[element] in paths)
+        held = sum(len(block) for (block, element), c in zip(page.blocks, by_path) if c and inside[element])
         if held and held >= HOLDS * whole:
             chosen = [c and inside[element] for c, (_, element) in zip(chosen, page.blocks)]
             break

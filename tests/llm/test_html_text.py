@@ -84,3 +84,23 @@ def test_blocks_are_selected_by_their_path():
     links = "".join(f"<li>{i}</li>" for i in range(30))
     text = op.main_text(SHELL % f"<article>{STORY}<ul>{links}</ul></article>")
     assert text.count("Sentence number") == 9 and "\n\n17" not in text
+
+
+@pytest.mark.parametrize("wrapper", [
+    'div class="layout with-sidebar"', 'div id="page" class="no-header"', 'section class="post has-share"', 'div class="ad-free content"',
+    'div class="sidebar"', 'form id="aspnetForm"', 'div class="social widget"', 'article class="comment"',
+])
+def test_names_do_not_drop_the_story(wrapper):
+    page = SHELL % f'<div class="top">Home</div><{wrapper}><h2>Head</h2>{STORY}</{wrapper.split()[0]}><div class="ad">Buy this, now!</div>'
+    text = op.main_text(page)
+    assert text.startswith("Head\n\nSentence number 0") and text.count("Sentence number") == 9 and "Buy" not in text
+
+
+def test_named_blocks_can_win_back():
+    note = " ".join(f"This long notice has sentence {i}, with a second half, and it goes on." for i in range(40))
+    related = '<section class="related"><p>See also.</p></section>'
+    page = SHELL % f'<article>{related}{STORY * 6}<div class="notice"><p>{note}</p></div></article>'
+    text = op.main_text(page)
+    assert note in text and text.count("Sentence number") == 54 and "See also" not in text
+    page = SHELL % f"<article>{STORY}<p>The area is <math><mi>x</mi><mo>+</mo><mn>1</mn></math> units, as <svg><text>shown</text></svg> here.</p></article>"
+    assert op.main_text(page).endswith("The area is x+1 units, as shown here.")
