@@ -75,18 +75,24 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cue_words(train: DataFrame) -> np.ndarray:
-    """Hashes of the words with the strongest evidence."""
+    """Hashes of the words with the strongest evidence in ``train`` (text, toxic, weight; without weight each row counts one).
+
+    Weights are brought to a mean of one, so that the share of toxic texts is the real one and evidence stays that of the sample.
+    """
     rows = train.mapInArrow(_places, "word long, toxic boolean, place long, n long")
     bad = rows.where("toxic").select("word", "place").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("k"))
     bad = materialise(bad, "surroundings")
     good = rows.where("not toxic").groupBy("word").agg(F.sum("n").alias("m"))
     good = materialise(good, "clean-words")
-    total_bad, total_good = (train.where(w).count() for w in ("toxic > 0", "toxic = 0"))
+    weight = F.col("weight") if "weight" in train.columns else F.lit(1.0)
+    sizes = {r["bad"]: r for r in train.groupBy((F.col("toxic") > 0).alias("bad")).agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w")).collect()}
+    (n_bad, total_bad), (n_good, total_good) = ((sizes[y]["n"], sizes[y]["w"]) if y in sizes else (0, 0.0) for y in (True, False))
     if not total_bad:
         return np.zeros(0, np.uint64)
     both = bad.where(F.col("k") >= LEAST_PLACES).join(good, "word", "left").fillna(0, ["m"])
     share = total_bad / (total_bad + total_good)
-    k, m = F.col("k").cast("double"), F.col("m").cast("double")
+    unit = (n_bad + n_good) / (total_bad + total_good)
+    k, m = F.col("k") * F.lit(unit * total_bad / n_bad), F.col("m") * F.lit(unit * total_good / max(n_good, 1))
     term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(F.lit(0.0))
     evidence = 2 * (term(k, (k + m) * share) + term(m, (k + m) * (1 - share)))
     strong = both.withColumn("evidence", evidence).where((k > (k + m) * (0.5 + share / 2)) & (F.col("evidence") >= LEAST_EVIDENCE))
@@ -162,8 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     sample = materialise(sample_of(labels.select("doc_id", "toxic"), size), "sample")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     # at most twice SAMPLE ids are broadcast
-    known = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id").select("text", "toxic", "weight")
-    known = materialise(known, "labelled")
+    known = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id")
+    # a label is of a document: rows that share its id would not be bounded by the sample
+    known = known.groupBy("doc_id", "toxic", "weight").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("one"))
+    known = materialise(known.select("one.text", "toxic", "weight"), "labelled")
     cues = cue_words(known)
     # only the sentences with cues reach the driver, of the bounded sample
     bags = known.mapInArrow(_bags(spark.sparkContext.broadcast(cues)), "toxic int, weight double, bag array<long>").collect()

@@ -57,3 +57,25 @@ def test_awkward_rows(spark):
         assert Counter(r.doc_id for r in got) == Counter(r[0] for r in awkward())
         assert all(0 <= r.score <= 1 for r in got)
     assert op.score(docs.limit(0), op.Model()).collect() == []
+
+
+def weighted_train(spark, n_clean, weight):
+    """'vile' is in 80 toxic texts of 200 and in one of ten clean ones, 'foul' in all toxic ones and no clean one."""
+    data = [(f"plain{i} vile other{i} foul x{i} word" if i < 80 else f"plain{i} foul x{i} word", 1, 1.0) for i in range(200)]
+    data += [(f"clean{i} vile word" if i % 10 == 0 else f"clean{i} word", 0, weight) for i in range(n_clean)]
+    return spark.createDataFrame(data, "text string, toxic int, weight double")
+
+
+def test_cue_words_do_not_depend_on_the_size_of_the_sample(spark):
+    """A clean class that is cut to a tenth and weighs ten times as much gives the cue words of the whole class."""
+    whole = set(op.cue_words(weighted_train(spark, 2000, 1.0)).tolist())
+    assert len(whole) == 1 and set(op.cue_words(weighted_train(spark, 200, 10.0)).tolist()) == whole
+
+
+def test_one_row_of_each_labelled_document(spark, monkeypatch):
+    docs = [(1, f"text number {i % 3}") for i in range(90)] + [(i, "other text") for i in range(2, 12)]
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 12)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(op, "fitted", lambda cues, bags: seen.append(bags) or op.Model())
+    op.train(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    assert len(seen[0]) == op.sample_of(labels).count()
