@@ -22,11 +22,14 @@ COLUMNS = {
     8: "doc_id sample_no n_pieces log_prob perturbed log_inclusion pieces_sha256 round_trip",
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "page_id payload_bytes payload_digest record_type refers_to",
+    11: "item_id rank doc_id score",
+    12: "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    13: "doc_id n_shingles component_id",
 }
 
 
 def test_one_query_for_each_operator():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -34,8 +37,11 @@ def test_columns_and_rows(spark, name):
     got = QUERIES[name](spark, SAMPLE)
     number = int(re.match(r"op(\d+)_", name)[1])
     assert set(COLUMNS[number].split()) <= set(got.columns)
+    if number == 11:  # the best for each item
+        assert got.groupBy("item_id").count().where("count = 20").count() == table(spark, SAMPLE, "benchmark").count()
+        return
     key = got.columns[0] if number not in (2, 10) else "page_id"
-    source = table(spark, SAMPLE, "pages" if number in (2, 10) else "documents")
+    source = table(spark, SAMPLE, {2: "pages", 10: "pages", 12: "embeddings"}.get(number, "documents"))
     counted = got.where("sample_no = 1") if number == 8 else got
     assert sorted(r[0] for r in counted.select(key).collect()) == sorted(r[0] for r in source.select(key).collect())
 
