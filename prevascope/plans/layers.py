@@ -5,7 +5,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +20,12 @@ from prevascope.operators.quality import assert_quality, quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.staging import stage
-from prevascope.session import scratch_scope, shared_root
+from prevascope.session import scratch_scope
 from prevascope.sources.landing import AUTO as ANY_LAYOUT
-from prevascope.sources.landing import LANDING_SCHEMA, has_landing_files, read_landing_directory, with_load_provenance
+from prevascope.sources.landing import LANDING_SCHEMA, landing_files, read_landing_directory, with_load_provenance
 from prevascope.sources.raw_table import append_by_name, ensure_namespace, quarantine_of
 from prevascope.sources.reports import nest_report, save_report
-from prevascope.streaming.ingest import ingest_new_files
+from prevascope.streaming.ingest import ensure_tables, load_files
 
 CREATED, UPDATED = "dbt_created_at", "dbt_updated_at"
 
@@ -69,32 +68,24 @@ def load_directory(
     layers: Layers = Layers(),
     layout: str = ANY_LAYOUT,
     schema: StructType = LANDING_SCHEMA,
-    checkpoint: str | None = None,
     once: bool = True,
 ) -> DataFrame:
     """Append the records of files not loaded before to the raw table; returns the quarantine table.
 
     With ``once=False`` all files of the directory are appended again, as an append-only run would.
 
-    ``schema`` may name more of the landed columns than staging reads. ``checkpoint`` remembers the files (default: a
-    folder of the raw table and directory below the shared folder). A directory that is missing or has no
-    matching file loads nothing. Loaded and quarantined values together are all that landed.
+    ``schema`` may name more of the landed columns than staging reads. Which files are loaded is in a ledger beside the raw table
+    (:mod:`prevascope.streaming.ingest`). A directory that is missing or has no matching file loads nothing. Loaded and
+    quarantined values together are all that landed.
     """
     ensure_namespace(spark, layers.raw.rsplit(".", 1)[0])
-    empty = StructType([*schema.fields, *StructType.fromDDL("source_file string, loaded_at timestamp, ingest_batch string").fields])
-    lost = StructType.fromDDL("source_file string, content string, loaded_at timestamp, ingest_batch string")
-    for name, kind in ((layers.raw, empty), (quarantine_of(layers.raw), lost)):
-        if not spark.catalog.tableExists(name):
-            spark.createDataFrame([], kind).write.saveAsTable(name)
+    ensure_tables(spark, layers.raw, schema)
     if not once:
         landed = read_landing_directory(spark, directory, schema, layout)
         append_by_name(with_load_provenance(landed.records), layers.raw)
         append_by_name(with_load_provenance(landed.quarantine), quarantine_of(layers.raw))
-    elif has_landing_files(spark, directory):
-        state = checkpoint or f"{shared_root(spark)}/ingest/{sha1(f'{layers.raw} {directory}'.encode()).hexdigest()}"
-        ingest_new_files(spark, directory, layers.raw, state, schema, layout).awaitTermination()
-        for name in (layers.raw, quarantine_of(layers.raw)):  # written by the stream's own session
-            spark.catalog.refreshTable(name)
+    elif (files := landing_files(spark, directory)) is not None:
+        load_files(files, layers.raw, schema, layout)
     return spark.table(quarantine_of(layers.raw))
 
 

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +22,7 @@ from prevascope.config import (
     POPULATION_COLUMNS,
     SOURCE_LABEL,
 )
+from prevascope.session import materialise
 
 log = logging.getLogger(__name__)
 
@@ -36,82 +36,130 @@ LANDING_SCHEMA = T.StructType(
 
 
 class Landed(NamedTuple):
-    """Records that could be read, and ``(source_file, content)`` of what could not."""
+    """Records that could be read, ``(source_file, content)`` of what could not, and the parsed values that both come from.
+
+    ``values`` has source_file, content and records (null if unreadable), so that one pass over it can serve both.
+    """
 
     records: DataFrame
     quarantine: DataFrame
+    values: DataFrame | None = None
 
 
-def parsed_records(value: Column, schema: T.StructType) -> Column:
-    """Records of one JSON value (list, envelope ``{"data": [...]}`` or record); null if it cannot be read.
+def parsed_values(values: DataFrame, schema: T.StructType) -> DataFrame:
+    """(source_file, content, records) of JSON values ``(value, source_file)``; records are null if the value cannot be read.
 
-    The value is parsed as the only element of a list, so anything after it makes it unreadable rather than
-    being passed over. An envelope whose data is null holds no records. A key that a record lacks is null.
+    A value is a list, an envelope ``{"data": [...]}`` or a record. It is parsed once, as the only element of a list, so anything
+    after it makes it unreadable rather than being passed over. An envelope whose data is null holds no records. A
+    key that a record lacks is null. The generator keeps the parsed value, which expressions above it read many times.
     """
+    enveloped = "data" not in schema.names
+    wide = T.StructType([*schema.fields, T.StructField("data", T.ArrayType(schema))]) if enveloped else schema
+    value, listed = F.col("value"), F.ltrim("value").startswith("[")
     text = F.concat(F.lit("["), value, F.lit("]"))
-    many = F.try_element_at(F.from_json(text, T.ArrayType(T.ArrayType(schema))), F.lit(1))
-    if "data" in schema.names:
-        record = F.try_element_at(F.from_json(text, T.ArrayType(schema)), F.lit(1))
-        single = F.when(record.isNotNull(), F.array(record))
-    else:
-        wide = T.StructType([*schema.fields, T.StructField("data", T.ArrayType(schema))])
-        record = F.try_element_at(F.from_json(text, T.ArrayType(wide)), F.lit(1))
-        own = F.struct(*[record[f.name].alias(f.name) for f in schema.fields])
-        none = F.array().cast(T.ArrayType(schema))
-        enveloped = F.array_contains(F.json_object_keys(value), "data")
-        single = F.when(enveloped, F.coalesce(record["data"], none)).otherwise(F.array(own))
-        single = F.when(record.isNotNull() & F.json_object_keys(value).isNotNull(), single)
-    records = F.when(F.ltrim(value).startswith("["), many).otherwise(single)
-    return F.when(~F.exists(F.coalesce(records, F.array().cast(T.ArrayType(schema))), lambda r: r.isNull()), records)
+    parsed = F.struct(
+        F.when(listed, F.from_json(text, T.ArrayType(T.ArrayType(schema)))).alias("lists"),
+        F.when(~listed, F.from_json(text, T.ArrayType(wide))).alias("objects"),
+    )
+    stored = values.where(F.trim("value") != "").select("source_file", "value", F.explode(F.array(parsed)).alias("parsed"))
+    one = F.col("parsed.objects")[0]
+    own = F.array(F.struct(*[one[f.name].alias(f.name) for f in schema.fields]))
+    none = F.array().cast(T.ArrayType(schema))
+    if enveloped:
+        keyed = value.contains('"data"') & F.array_contains(F.json_object_keys(value), "data")
+        own = F.when(one["data"].isNotNull(), one["data"]).when(keyed, none).otherwise(own)
+    objects = F.when((F.size("parsed.objects") == 1) & one.isNotNull() & F.ltrim(value).startswith("{"), own)
+    lists = F.when(F.size("parsed.lists") == 1, F.col("parsed.lists")[0])
+    records = F.when(F.col("parsed.lists").isNotNull(), lists).when(F.col("parsed.objects").isNotNull(), objects)
+    read = stored.select("source_file", F.col("value").alias("content"), records.alias("records"))
+    whole = ~F.exists(F.coalesce("records", none), lambda r: r.isNull())
+    return read.withColumn("records", F.when(whole, F.col("records")))
 
 
 def _landed(values: DataFrame, schema: T.StructType) -> Landed:
-    """Records and quarantine of the JSON values in ``(value, source_file)``."""
-    values = values.where(F.trim("value") != "").withColumn("_records", parsed_records(F.col("value"), schema))
-    read = values.where(F.col("_records").isNotNull()).select("source_file", F.inline("_records"))
-    lost = values.where(F.col("_records").isNull()).select("source_file", F.col("value").alias("content"))
-    return Landed(read.select(*schema.names, "source_file"), lost)
+    """Records and quarantine of parsed values."""
+    return Landed(records_of(values, schema), unreadable(values), values)
+
+
+def records_of(values: DataFrame, schema: T.StructType) -> DataFrame:
+    read = values.where(F.col("records").isNotNull()).select("source_file", F.inline("records"))
+    return read.select(*schema.names, "source_file")
+
+
+def unreadable(values: DataFrame) -> DataFrame:
+    return values.where(F.col("records").isNull()).select("source_file", "content")
 
 
 def with_place(lines: DataFrame) -> DataFrame:
-    """Lines as a text reader gives them, with file and place of the split they are in."""
-    text = F.regexp_replace("value", "^\\uFEFF", "").alias("value")
-    return lines.select(text, F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"))
+    """Lines as a text reader gives them, with their file, the place of their split and a number that grows within it."""
+    return lines.select(
+        F.ltrim("value", F.lit("\ufeff")).alias("value"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+
+
+def _bracketed(value: Column) -> Column:
+    """Whether a line starts and ends like an object or a list."""
+    text = F.trim(value)
+    return (text.startswith("{") & text.endswith("}")) | (text.startswith("[") & text.endswith("]"))
 
 
-def numbered(lines: DataFrame) -> DataFrame:
-    """Lines with a number that grows within a split; to be taken as they are read."""
-    return lines.withColumn("number", F.monotonically_increasing_id())
+def _is_whole(value: Column) -> Column:
+    """Whether a line is an object or list by itself."""
+    return _bracketed(value) & (F.json_object_keys(value).isNotNull() | F.json_array_length(value).isNotNull())
 
 
-def landed_lines(spark: SparkSession, lines: DataFrame, schema: T.StructType, layout: str = AUTO) -> Landed:
-    """Records and quarantine of files given as lines (:func:`with_place`, :func:`numbered`).
+def _document_files(lines: DataFrame) -> DataFrame:
+    """(source_file) of the files that may be one JSON value over several lines.
 
-    ``auto`` tells files apart by their first line that is not blank: if it is a whole JSON value, every line
-    is one, else the file as a whole is one value. Only the names of files of the second kind reach the driver.
+    The first line of such a value leaves a bracket open, so it is not whole by itself. If only the last line is, the file is taken
+    as lines when most of them look like values, else as a document that ends early.
     """
-    if layout == LINES:
-        return _landed(lines, schema)
-    first = F.min_by("value", F.struct("block", "number"))
-    by_file = lines.where(F.trim("value") != "").groupBy("source_file").agg(first.alias("first"))
-    if layout == AUTO:
-        by_file = by_file.where(parsed_records(F.col("first"), schema).isNull())
-    documents = [r.source_file for r in by_file.select("source_file").collect()]
-    if not documents:
-        return _landed(lines, schema)
-    whole = spark.read.text([_escaped(d) for d in documents], wholetext=True)
-    whole = _landed(whole.select("value", F.col("_metadata.file_path").alias("source_file")), schema)
-    if layout == DOCUMENT:
-        return whole
-    names = spark.createDataFrame([(d,) for d in documents], "source_file string")
-    rest = _landed(lines.join(names, "source_file", "left_anti"), schema)
-    return Landed(rest.records.unionByName(whole.records), rest.quarantine.unionByName(whole.quarantine))
+    place = F.struct("block", "number")
+    text = F.col("value")
+    by_file = lines.where(F.trim(text) != "").groupBy("source_file").agg(
+        F.min_by(text, place).alias("first"), F.max_by(text, place).alias("last"),
+        (2 * F.count_if(_bracketed(text)) > F.count(F.lit(1))).alias("mostly"),
+    )
+    return by_file.where(~_is_whole(F.col("first")) & ~(_is_whole(F.col("last")) & F.col("mostly"))).select("source_file")
+
+
+def _documents(lines: DataFrame) -> DataFrame:
+    """Lines put together as one value for each file."""
+    placed = F.array_sort(F.collect_list(F.struct("block", "number", "value")))
+    return lines.groupBy("source_file").agg(F.array_join(F.transform(placed, lambda x: x["value"]), "\n").alias("value"))
+
 
+def landed_lines(lines: DataFrame, schema: T.StructType, layout: str = AUTO) -> Landed:
+    """Records and quarantine of files given as lines (:func:`with_place`).
 
-def _escaped(path: str) -> str:
-    """A file's address as a path to read: decoded, and with no character taken for a pattern."""
-    plain = unquote(path)
-    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in plain)
+    ``auto`` reads a file line by line if its first line is a JSON value by itself, or its last one and most others are; other files
+    as one value. A file that is no value, but whose lines mostly are, counts as lines after all. Names of files
+    stay in a table.
+    """
+    if layout == LINES:
+        return _landed(parsed_values(lines, schema), schema)
+    if layout == DOCUMENT:
+        return _landed(parsed_values(_documents(lines), schema), schema)
+    names = materialise(_document_files(lines), "documents")
+    if names.isEmpty():
+        return _landed(parsed_values(lines, schema), schema)
+    whole = materialise(parsed_values(_documents(lines.join(names, "source_file", "left_semi")), schema), "values")
+    split = F.filter(F.split("content", "\n"), lambda line: F.trim(line) != "")
+    mostly = 2 * F.size(F.filter(split, _is_whole)) > F.size(split)
+    # decided once a value has failed as a whole
+    mixed = F.when(F.col("records").isNull(), mostly).otherwise(F.lit(False))
+    single = whole.where(~mixed)
+    loose = whole.where(mixed).select("source_file", F.explode(split).alias("value"))
+    rest = lines.join(names, "source_file", "left_anti").select("source_file", "value")
+    return _landed(parsed_values(rest.unionByName(loose), schema).unionByName(single), schema)
+
+
+def escaped(path: str) -> str:
+    """A file's address as a path to read, with no character taken for a pattern."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
 
 
 def read_landing(
@@ -122,13 +170,12 @@ def read_landing(
 ) -> Landed:
     """Read JSON files; what is not among the records is in the quarantine.
 
-    A file holds one list, envelope or record (``document``, read whole) or one such value per line (``lines``,
-    split over tasks, so large extracts should use them); ``auto`` tells by each file's first line. A
-    file or line that cannot be read, or goes on after its value, ends up in the quarantine and the rest
-    still loads. A path that does not exist raises.
+    A file holds one list, envelope or record (``document``, read whole) or one such value per line (``lines``, split over tasks,
+    so large extracts should use them); ``auto`` tells by each file's lines (:func:`landed_lines`). A file or line that cannot be
+    read, or goes on after its value, ends up in the quarantine and the rest still loads. A path that does
+    not exist raises.
     """
-    lines = numbered(with_place(spark.read.text(path if isinstance(path, str) else list(path))))
-    return landed_lines(spark, lines, schema, layout)
+    return landed_lines(with_place(spark.read.text(path if isinstance(path, str) else list(path))), schema, layout)
 
 
 def read_landing_directory(
@@ -155,20 +202,25 @@ def read_landing_directory(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("no landing files for %s", pattern)
-        empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
-        return Landed(empty, spark.createDataFrame([], "source_file string, content string"))
+        records = T.ArrayType(schema)
+        values = T.StructType.fromDDL("source_file string, content string").add("records", records)
+        return _landed(spark.createDataFrame([], values), schema)
+
+
+def listed_files(files: DataFrame) -> DataFrame:
+    """(path, length, modified) of files as the binary reader lists them; their content is not read."""
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def has_landing_files(spark: SparkSession, directory: str, mark: str = LANDING_MARK) -> bool:
-    """Whether the directory has an entry to load; otherwise that is logged."""
+def landing_files(spark: SparkSession, directory: str, mark: str = LANDING_MARK) -> DataFrame | None:
+    """The files to load of a directory, None (and a line in the log) without any."""
     try:
-        spark.read.format("binaryFile").load(f"{directory.rstrip('/')}/*{mark}*.json").select("path").limit(1).collect()
-        return True
+        return listed_files(spark.read.format("binaryFile").load(f"{directory.rstrip('/')}/*{mark}*.json"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("no landing files in %s", directory)
-        return False
+        return None
 
 
 def _entry_name(path: Column, directory: str) -> Column:

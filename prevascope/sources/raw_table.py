@@ -27,23 +27,27 @@ def append_by_name(df: DataFrame, table: str) -> None:
 
     Columns that the load lacks become null. Columns that are new are added to the table first.
     """
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
+    if not df.sparkSession.catalog.tableExists(table):
         df.write.saveAsTable(table)
         return
+    aligned(df, table).write.insertInto(table)
+
+
+def aligned(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the columns of ``table`` in its order; columns that are new are added to the table."""
+    spark = df.sparkSession
     existing = {f.name: f.dataType for f in spark.table(table).schema.fields}
     added = [f for f in df.schema.fields if f.name not in existing]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     target = spark.table(table).schema
-    aligned = df.select(
+    return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.fields
         ]
     )
-    aligned.write.insertInto(table)
 
 
 def append_files(df: DataFrame, path: str) -> None:

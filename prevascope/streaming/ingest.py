@@ -1,32 +1,171 @@
-"""Each landing file exactly once."""
+"""Each landing file exactly once, by a ledger beside the raw table.
+
+``<raw>_files`` names the batch each file belongs to, ``<raw>_batches`` the batches that are loaded. Files are entered before their
+batch is written, a batch is entered once all its rows are, and its rows are a partition of the raw table that a repeated
+batch replaces: whatever a failed run leaves behind, the next one brings to the same end. Batch names are unique to
+the run that planned them. The ledger alone decides what is loaded; a stream's checkpoint only saves listing files again.
+"""
 
 from __future__ import annotations
 
 import logging
+import math
+import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from prevascope.config import LANDING_MARK
 from prevascope.session import materialise
-from prevascope.sources.landing import AUTO, LANDING_SCHEMA, landed_lines, numbered, with_load_provenance, with_place
-from prevascope.sources.raw_table import append_by_name, quarantine_of
+from prevascope.sources.landing import (
+    AUTO,
+    LANDING_SCHEMA,
+    Landed,
+    escaped,
+    listed_files,
+    read_landing,
+    records_of,
+    unreadable,
+    with_load_provenance,
+)
+from prevascope.sources.raw_table import aligned, append_by_name, quarantine_of
 
 log = logging.getLogger(__name__)
 
-#: Column of the raw table and its quarantine that names the run and batch which added a row.
+#: Column of the raw table and its quarantine that names the batch which added a row.
 BATCH = "ingest_batch"
+#: What tells a file apart; one that has changed is a new file.
+FILE = ["path", "length", "modified"]
+LEASE_SECONDS = 6 * 3600
+
+
+class IngestBusyError(RuntimeError):
+    """Another run is loading into the table."""
+
+
+def files_of(table: str) -> str:
+    """Name of the ledger of files planned or loaded into ``table``."""
+    return f"{table}_files"
+
 
+def batches_of(table: str) -> str:
+    """Name of the ledger of batches loaded into ``table``."""
+    return f"{table}_batches"
 
-def _append_once(df: DataFrame, table: str, batch: str) -> None:
-    """Append, unless rows of this batch are there, as after a failure between writing and committing."""
+
+def ensure_tables(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Create the raw table, its quarantine (both with a partition for each batch) and the ledger unless they exist."""
+    end = f"source_file string, loaded_at timestamp, {BATCH} string"
+    raw = T.StructType([*schema.fields, *T.StructType.fromDDL(end).fields])
+    lost = T.StructType.fromDDL(f"source_file string, content string, loaded_at timestamp, {BATCH} string")
+    files = T.StructType.fromDDL("path string, length long, modified timestamp, batch string")
+    batches = T.StructType.fromDDL("batch string, files long, unreadable long, loaded_at timestamp")
+    for name, kind in ((table, raw), (quarantine_of(table), lost), (files_of(table), files), (batches_of(table), batches)):
+        if not spark.catalog.tableExists(name):
+            writer = spark.createDataFrame([], kind).write
+            (writer.partitionBy(BATCH) if BATCH in kind.names else writer).saveAsTable(name)
+
+
+def _replace_batch(df: DataFrame, table: str, batch: str) -> None:
+    """Make ``df`` the rows of the batch in ``table``, whatever an earlier attempt has left.
+
+    In a table without partitions, which another kind of load has created, rows that are there stay.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table) and BATCH in spark.table(table).columns:
-        if not spark.table(table).where(F.col(BATCH) == batch).isEmpty():
-            return
-    append_by_name(df.withColumn(BATCH, F.lit(batch)), table)
+    df = df.withColumn(BATCH, F.lit(batch))
+    if not spark.catalog.tableExists(table):
+        df.write.partitionBy(BATCH).saveAsTable(table)
+        return
+    if any(c.isPartition and c.name == BATCH for c in spark.catalog.listColumns(table)):
+        rows = aligned(df, table)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{batch}') SELECT * FROM {{rows}}", rows=rows.drop(BATCH))
+    elif BATCH in spark.table(table).columns and not spark.table(table).where(F.col(BATCH) == batch).isEmpty():
+        log.warning("batch %s is in %s already", batch, table)
+    else:
+        append_by_name(df, table)
+
+
+@contextmanager
+def _turn(spark: SparkSession, table: str, lease: float = LEASE_SECONDS) -> Iterator[None]:
+    """One run at a time loads into ``table``; the claim of a run that died ends after ``lease`` seconds."""
+    described = spark.sql(f"DESCRIBE EXTENDED {files_of(table)}").where("col_name = 'Location'").first().data_type
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{described}/_turn")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        if fs.exists(path) and time.time() - fs.getFileStatus(path).getModificationTime() / 1000 > lease:
+            log.warning("%s: the claim of a run that has not ended is given up", table)
+            fs.delete(path, False)
+        fs.create(path, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in str(error.java_exception):
+            raise
+        raise IngestBusyError(f"another run is loading into {table}") from None
+    try:
+        yield
+    finally:
+        fs.delete(path, False)
+
+
+def _plan(files: DataFrame, table: str, most: int) -> None:
+    """Enter the files that are new into the ledger, dealt to batches of about ``most`` files."""
+    spark = files.sparkSession
+    fresh = files.join(spark.table(files_of(table)).select(*FILE), FILE, "left_anti")
+    count = fresh.count()
+    if count:
+        run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+        number = F.pmod(F.xxhash64("path"), F.lit(math.ceil(count / most)))
+        fresh.withColumn("batch", F.format_string(f"{run}-%06d", number)).write.insertInto(files_of(table))
+
+
+def _load_batch(landed: Landed, schema: T.StructType, table: str, batch: str) -> int:
+    """Write a batch's records and, if any value is unreadable, its quarantine; returns the number of such values."""
+    seen = Observation()
+    values = landed.values.observe(seen, F.count_if(F.col("records").isNull()).alias("unreadable"))
+    _replace_batch(with_load_provenance(records_of(values, schema)), table, batch)
+    lost = seen.get["unreadable"]
+    if lost:
+        quarantine = materialise(unreadable(landed.values), "quarantine")
+        for row in quarantine.groupBy("source_file").count().toLocalIterator():
+            log.warning("unreadable: %s (%d values)", row.source_file, row["count"])
+        _replace_batch(with_load_provenance(quarantine), quarantine_of(table), batch)
+    return lost
+
+
+def load_files(
+    files: DataFrame, table: str, schema: T.StructType = LANDING_SCHEMA, layout: str = AUTO, max_files_per_batch: int = 1000
+) -> int:
+    """Append the records of those ``files`` (path, length, modified) that the ledger does not know; returns the batches loaded.
+
+    Batches that an earlier run has planned and not loaded come first; of these, files that are gone or have changed since are
+    left out (changed ones are new files). What cannot be read goes to the table's quarantine and is logged.
+    """
+    spark = files.sparkSession
+    ensure_tables(spark, table, schema)
+    with _turn(spark, table):
+        for name in (files_of(table), batches_of(table)):
+            spark.catalog.refreshTable(name)
+        present = materialise(files, "listing")
+        _plan(present, table, max_files_per_batch)
+        waiting = spark.table(files_of(table)).join(spark.table(batches_of(table)).select("batch"), "batch", "left_anti")
+        waiting = materialise(waiting.join(present, FILE, "left_semi"), "waiting")
+        batches = [r.batch for r in waiting.select("batch").distinct().orderBy("batch").toLocalIterator()]
+        for batch in batches:
+            paths = [r.path for r in waiting.where(F.col("batch") == batch).select("path").collect()]  # of one batch
+            landed = read_landing(spark, [escaped(p) for p in paths], schema, layout)
+            lost = _load_batch(landed, schema, table, batch)
+            done = spark.range(1).select(
+                F.lit(batch).alias("batch"), F.lit(len(paths)).cast("long").alias("files"),
+                F.lit(lost).cast("long").alias("unreadable"), F.current_timestamp().alias("loaded_at"),
+            )
+            done.coalesce(1).write.insertInto(batches_of(table))
+    return len(batches)
 
 
 def ingest_new_files(
@@ -37,32 +176,23 @@ def ingest_new_files(
     schema: T.StructType = LANDING_SCHEMA,
     layout: str = AUTO,
     max_files_per_batch: int = 1000,
+    **trigger,
 ) -> StreamingQuery:
-    """Append the records of files not seen before to ``table``, then stop.
+    """Append the records of new files to ``table`` as a stream; by default what is there, then stop.
 
-    The checkpoint remembers the files. Each batch is appended as a batch load would be, so both kinds of
-    load may alternate, and carries the batch's name: a batch that is repeated after a failure adds nothing
-    twice. What cannot be read goes to the table's quarantine and is logged.
+    ``trigger`` as for a stream's writer, such as ``processingTime="1 minute"``. The stream finds files, the ledger
+    (:func:`load_files`) decides what is new: a checkpoint that is lost, emptied or moved neither loses records nor adds them twice.
     """
-    read = (
-        spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
-        .text(f"{directory.rstrip('/')}/*{LANDING_MARK}*.json")
-    )
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    found = spark.readStream.format("binaryFile").schema(listing).option("maxFilesPerTrigger", max_files_per_batch)
 
-    def add(lines: DataFrame, number: int) -> None:
-        batch = f"{checkpoint.rstrip('/')}#{number}"
-        landed = landed_lines(lines.sparkSession, materialise(numbered(lines), "lines"), schema, layout)
-        _append_once(with_load_provenance(landed.records), table, batch)
-        lost = materialise(landed.quarantine, "quarantine")
-        if not lost.isEmpty():
-            for row in lost.groupBy("source_file").count().toLocalIterator():
-                log.warning("unreadable: %s (%d values)", row.source_file, row["count"])
-            _append_once(with_load_provenance(lost), quarantine_of(table), batch)
+    def add(files: DataFrame, _: int) -> None:
+        load_files(files, table, schema, layout, max_files_per_batch)
 
     return (
-        with_place(read)
+        listed_files(found.load(f"{directory.rstrip('/')}/*{LANDING_MARK}*.json"))
         .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
