@@ -18,13 +18,16 @@ import oracle_queries  # noqa: E402
 from prevascope.config import DEFAULT_CONFIG as CFG  # noqa: E402
 from prevascope.config import INCOMPLETE, RATE_CANDIDATES, SMALL, VALID  # noqa: E402
 from prevascope.operators import contracts, filters, mart, profile, quality, ranking, reporting, reshape  # noqa: E402
+from prevascope.operators.current import merge_batch as merge_into_current  # noqa: E402
 from prevascope.operators.dedupe import latest_per_entity as keep_latest  # noqa: E402
 from prevascope.operators.groups import GroupShape  # noqa: E402
 from prevascope.operators.numbering import numbered_by_sort  # noqa: E402
+from prevascope.operators.order_index import POSITION, build_order_index  # noqa: E402
 from prevascope.plans.layers import CREATED, UPDATED, Layers, build_models, load_directory  # noqa: E402
 from prevascope.plans.staging import stage  # noqa: E402
 from prevascope.session import materialise, scratch_path  # noqa: E402
 from prevascope.sources import landing, raw_table, reports  # noqa: E402
+from prevascope.streaming.ingest import ingest_new_files  # noqa: E402
 from sample_tables import entity_measures, loads_of_events, raw_entities, table  # noqa: E402
 
 # the text operators are optional: the rest works without their folder and the pipeline file
@@ -252,6 +255,21 @@ def ingest_once(spark, folder):
     return spark.table(where.raw).select(*schema.names)
 
 
+def ingest_after_lost_checkpoint(spark, folder):
+    """A stream loads the customers, its checkpoint is lost, and the suppliers land: all of both, each once."""
+    parties, directory = _as_parties(spark, folder), scratch_path(spark, "landing")
+    name = f"raw_{uuid.uuid4().hex}.parties"
+    raw_table.ensure_namespace(spark, name.split(".")[0])
+    schema = parties["customer"].schema
+    for day, party in enumerate(["customer", "supplier"], 1):
+        landing.write_extract(parties[party], directory, datetime(2024, 2, day, 6))
+        for _ in range(2):
+            state = scratch_path(spark, "checkpoint")
+            ingest_new_files(spark, directory, name, state, schema, landing.LINES).awaitTermination()
+    spark.catalog.refreshTable(name)
+    return spark.table(name).select(*schema.names)
+
+
 def append_loads(spark, folder):
     """The same table appended twice, the second time with its columns in another order and one more."""
     customers = table(spark, folder, "customer")
@@ -265,8 +283,8 @@ def append_loads(spark, folder):
     return spark.table(name).groupBy("load_no").agg(F.count(F.lit(1)).alias("records"), balance, F.count("added").alias("added"))
 
 
-def layer_tables(spark, folder):
-    """All layers built as tables from the raw one; the scorecard as written, without its audit columns."""
+def _layers_from_raw(spark, folder):
+    """Names of layers of their own, the raw one loaded with the sample entities."""
     tag = uuid.uuid4().hex
     where = Layers(
         raw=f"raw_{tag}.entities", staging=f"staging_{tag}.entities", long=f"long_{tag}",
@@ -275,10 +293,65 @@ def layer_tables(spark, folder):
     raw_table.ensure_namespace(spark, f"raw_{tag}")
     loaded = landing.with_load_provenance(raw_entities(spark, folder).withColumn("source_file", F.lit("sample")))
     raw_table.append_by_name(loaded, where.raw)
+    return where
+
+
+def layer_tables(spark, folder):
+    """All layers built as tables from the raw one; the scorecard as written, without its audit columns."""
+    where = _layers_from_raw(spark, folder)
     build_models(spark, where)
     return spark.table(where.mart).drop(CREATED, UPDATED)
 
 
+def layer_rebuild(spark, folder):
+    """The scorecard of a first build, read after a second one over a raw table with other rows."""
+    where = _layers_from_raw(spark, folder)
+    first = build_models(spark, where)["mart"]
+    again = spark.table(where.raw).withColumns({"diabetes_crudeprev": F.lit("1.0"), "loaded_at": F.current_timestamp()})
+    raw_table.append_by_name(materialise(again, "second-load"), where.raw)
+    build_models(spark, where)
+    return first.drop(CREATED, UPDATED)
+
+
+def layer_audit(spark, folder):
+    """Of each written layer its rows, those with the run's timestamp, and how many different ones there are."""
+    where = _layers_from_raw(spark, folder)
+    models = build_models(spark, where)
+    stamped = [
+        models[name].agg(
+            F.count(F.lit(1)).alias("records"), F.count(CREATED).alias("stamped"), F.count_distinct(CREATED).alias("stamps")
+        ).select(F.lit(name).alias("model"), "records", "stamped", "stamps")
+        for name in ("staging", "ranking", "profile", "mart")
+    ]
+    return stamped[0].unionByName(stamped[1]).unionByName(stamped[2]).unionByName(stamped[3])
+
+
+def list_tables(spark, folder):
+    """Tables of two namespaces of the catalog, with their records by name, one of them missing."""
+    tag = uuid.uuid4().hex
+    for name in ("nation", "region"):
+        raw_table.ensure_namespace(spark, f"{name}_{tag}")
+        raw_table.append_by_name(table(spark, folder, name), f"{name}_{tag}.{name}")
+    found = raw_table.list_tables(spark, [f"nation_{tag}", f"region_{tag}"])
+    counted = raw_table.table_counts(spark, [*found, f"region_{tag}.absent"])
+    return counted.withColumn("table_name", F.replace("table_name", F.lit(f"_{tag}"), F.lit("")))
+
+
+def merge_batch(spark, folder):
+    """Three loads merged into a current table: customers, those with a negative balance restated, and some from a late old file."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    stamped = lambda df, day, name: df.withColumns(
+        {"loaded_at": F.lit(day).cast("timestamp"), "source_file": F.lit(name)}
+    )
+    raw_table.ensure_namespace(spark, space := f"current_{uuid.uuid4().hex}")
+    merge_into_current(stamped(customers, "2024-02-01", "first"), f"{space}.customer", "c_custkey", buckets=16)
+    zero = customers.where("c_acctbal < 0").withColumn("c_acctbal", F.lit(0.0))
+    merge_into_current(stamped(zero, "2024-02-02", "second"), f"{space}.customer", "c_custkey")
+    late = customers.where("c_custkey % 100 = 0").withColumn("c_acctbal", F.lit(-1.0))
+    merged = merge_into_current(stamped(late, "2024-01-31", "late"), f"{space}.customer", "c_custkey")
+    return merged.drop("loaded_at")
+
+
 def latest_per_entity(spark, folder):
     """A second load restates the customers with a negative balance."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -316,6 +389,32 @@ def page_of_table_deep(spark, folder):
     return _with_position(filters.page_of_table(orders, ["o_orderkey"], offset=10_000, limit=500, shallow_end=1_000))
 
 
+def page_by_index(spark, folder):
+    """Two pages of an order index: one from the middle, one over the end."""
+    index = build_order_index(table(spark, folder, "orders"), ["o_orderkey"], scratch_path(spark, "index"), rows_per_file=2_000)
+    return index.page(10_000, 500).unionByName(index.page(index.count() - 100, 500))
+
+
+def latest_by_index(spark, folder):
+    index = build_order_index(table(spark, folder, "events"), ["ts", "event_id"], scratch_path(spark, "index"), rows_per_file=2_000)
+    return index.last(1_000)
+
+
+def pages_by_cursor(spark, folder):
+    """Five pages of suppliers, each from the last key of the one before."""
+    suppliers = table(spark, folder, "supplier")
+    index = build_order_index(suppliers, ["s_nationkey", "s_suppkey"], scratch_path(spark, "index"), rows_per_file=10)
+    pages, key = None, None
+    for number in range(5):
+        page = index.after(key, 7).withColumn("page", F.lit(number))
+        pages = page if pages is None else pages.unionByName(page)
+        last = page.orderBy(F.desc(POSITION)).first()
+        if last is None:
+            break
+        key = last.asDict()
+    return pages
+
+
 def year_filter(spark, folder):
     orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
     return filters.year_filter(orders, 1995)
@@ -434,6 +533,12 @@ def series_by_date(spark, folder):
     return reporting.series_by_date(table(spark, folder, "events"), "ts", "value", ["event_id"])
 
 
+def series_positions(spark, folder):
+    """The series of one user with the place of each point, as it is returned."""
+    events = table(spark, folder, "events").where("user_id = 7")
+    return _with_position(reporting.series_by_date(events, "ts", "value", ["event_id"]))
+
+
 # --- driver interface ------------------------------------------------------------------------
 
 
@@ -449,7 +554,9 @@ def queries() -> dict[str, Query]:
         group_median, group_median_wide_type, rank_in_group, rank_in_group_sorted, count_at_or_above_median,
         left_join_context, threshold_flags, burden_score, quality_status, mart_ordered, mart_ordered_top,
         staging, unpivot_measures, state_filter, measure_filter,
-        json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once, append_loads, layer_tables, year_filter,
+        json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once,
+        ingest_after_lost_checkpoint, append_loads, layer_tables, layer_rebuild, layer_audit, list_tables, merge_batch, year_filter,
+        page_by_index, latest_by_index, pages_by_cursor, series_positions,
         report_top_groups, latest_per_entity, provenance, page_of_table, page_of_table_deep,
         record_counts, table_counts, freshness, date_range, null_counts, dq_report, dq_summary, dq_report_flat,
         contract_not_null, contract_accepted_values,

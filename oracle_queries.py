@@ -227,7 +227,15 @@ def oracle_sql() -> dict[str, str]:
         "landing_quarantine": """select 'records' as table_name, count(*) as records from supplier where s_suppkey // 10 % 2 = 0
             union all select 'quarantine', count(distinct s_suppkey // 10) from supplier where s_suppkey // 10 % 2 = 1""",
         "ingest_once": PARTIES,
+        "ingest_after_lost_checkpoint": PARTIES,
         "layer_tables": f"{mart} select * from mart",
+        "layer_rebuild": f"{mart} select * from mart",
+        "layer_audit": f"""with {EM}, counted as (
+            select unnest(['staging', 'ranking', 'mart']) as model, (select count(*) from em) as records
+            union all select 'profile', (select count(*) from (select distinct state_code, state_name from em)))
+            select model, records, records as stamped, cast(1 as bigint) as stamps from counted""",
+        "list_tables": """select 'nation.nation' as table_name, count(*) as records, 'ok' as status from nation
+            union all select 'region.region', count(*), 'ok' from region union all select 'region.absent', null, 'missing'""",
         "year_filter": "select *, cast(year(o_orderdate) as int) as year from orders where year(o_orderdate) = 1995",
         "report_top_groups": f"""with {EM}, newest as (select * from em order by county_fips desc limit 1000)
             select state_code, cast(sum(total_population) as bigint) as total_population
@@ -235,14 +243,20 @@ def oracle_sql() -> dict[str, str]:
         "append_loads": """with loads as (select 1 as load_no, * from customer union all select 2, * from customer)
             select load_no, count(*) as records, cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(28,2)) as balance,
                    case when load_no = 2 then count(*) else 0 end as added from loads group by load_no""",
-        "latest_per_entity": """select c_custkey, c_name, case when c_acctbal < 0 then 0 else c_acctbal end as c_acctbal,
-            case when c_acctbal < 0 then 'second' else 'first' end as source_file from customer""",
+        **dict.fromkeys(["latest_per_entity", "merge_batch"], """select c_custkey, c_name, case when c_acctbal < 0 then 0 else c_acctbal end as c_acctbal,
+            case when c_acctbal < 0 then 'second' else 'first' end as source_file from customer"""),
         "provenance": """select c_custkey, 'customer.parquet' as source_file, timestamp '2024-02-01 06:00:00' as loaded_at,
             timestamp '2024-02-01 05:00:00' as extracted_at, 'CDC_PLACES' as source, 'd3i6-k6z5' as dataset_id
             from customer""",
         "page_of_table": "select * from orders order by o_orderkey limit 50 offset 100",
         "page_of_table_deep": """select *, row_number() over (order by o_orderkey) as position
             from (select * from orders order by o_orderkey limit 500 offset 10000)""",
+        "page_by_index": """select * from (select *, row_number() over (order by o_orderkey) as position from orders)
+            where position between 10001 and 10500 or position > (select count(*) - 100 from orders)""",
+        "latest_by_index": """select * from (select *, row_number() over (order by ts nulls last, event_id) as position from events)
+            where position > (select count(*) - 1000 from events)""",
+        "pages_by_cursor": """select *, cast((position - 1) // 7 as integer) as page
+            from (select *, row_number() over (order by s_nationkey, s_suppkey) as position from supplier) where position <= 35""",
         "record_counts": " union all ".join(f"select '{t}' as table_name, count(*) as records from {t}" for t in TABLES),
         "table_counts": " union all ".join(
             [f"select '{t}' as table_name, count(*) as records, 'ok' as status from {t}" for t in TABLES]
@@ -293,4 +307,5 @@ def oracle_sql() -> dict[str, str]:
             from ({recent.format(10000)})""",
         "recent_rows_sample": recent.format(10),
         "series_by_date": "select ts, value from events",
+        "series_positions": "select ts, value, row_number() over (order by ts, event_id) as position from events where user_id = 7",
     }

@@ -52,8 +52,11 @@ def _rows_at(df: DataFrame, names: list[str], order: Sequence[Column], first: in
     if last - first < BROADCAST_GROUPS:
         wanted = F.broadcast(wanted)
     same = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_{i}")) for i, n in enumerate(names)])
-    twin = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
-    found = df.join(wanted, same).withColumn("_twin", twin).where(F.col("_twin") <= F.col("_rows"))
+    found = df.withColumn("_task", F.spark_partition_id()).join(wanted, same)
+    # rows that share all keys, however many: first no more of each task than are wanted, then of all tasks
+    for group in ([*names, "_task"], names):
+        twin = F.row_number().over(Window.partitionBy(*group).orderBy(F.lit(0)))
+        found = found.withColumn("_twin", twin).where(F.col("_twin") <= F.col("_rows"))
     return found.select(*df.columns).orderBy(*order)
 
 

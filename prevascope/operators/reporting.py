@@ -65,11 +65,11 @@ def metric_totals(df: DataFrame, column: str, on_bad: str = RESET) -> DataFrame:
 def top_groups_by_metric(df: DataFrame, group: str, metric: str, limit: int = TOP_GROUPS) -> DataFrame:
     """Groups with the largest sum of ``metric``; rows without a group are left out.
 
-    A group whose values are all null sums to 0. Ties are broken by group.
+    A group whose values are all null sums to 0, and NaN counts as no value. Ties are broken by group.
     """
-    total = F.sum(metric) if df.schema[metric].dataType.typeName() != "string" else F.sum(
-        F.col(metric).try_cast("double")
-    )
+    kind = df.schema[metric].dataType.typeName()
+    value = F.col(metric).try_cast("double") if kind == "string" else F.col(metric)
+    total = F.sum(F.when(~F.isnan(value), value) if kind in ("string", "float", "double") else value)
     return (
         df.where(F.col(group).isNotNull())
         .groupBy(group)

@@ -19,6 +19,9 @@ from prevascope.operators.profile import group_profile
 from prevascope.operators.quality import assert_quality, quality_report_of_table
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
+from prevascope.plans.publish import KEEP, new_run, version_of, versions, write_version
+from prevascope.plans.publish import MARK as VERSION_MARK
+from prevascope.plans.publish import publish as switch_views
 from prevascope.plans.staging import stage
 from prevascope.session import scratch_scope
 from prevascope.sources.landing import AUTO as ANY_LAYOUT
@@ -56,12 +59,6 @@ def with_audit(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.current_timestamp() for c in columns})
 
 
-def _save(df: DataFrame, table: str) -> DataFrame:
-    """Replace ``table`` by ``df`` and return the written table, whose size Spark then knows."""
-    df.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
 def load_directory(
     spark: SparkSession,
     directory: str,
@@ -97,9 +94,13 @@ def build_models(
     dedupe: bool = True,
     method: str = AUTO,
     on_fanout: str = ERROR,
+    publish: bool = True,
 ) -> dict[str, DataFrame]:
     """Build all models from the raw table and return them by name.
 
+    Every model is a new version of its table. With ``publish`` the views that bear the tables' names are switched to them at the end
+    (:func:`publish_models` does so later), and readers of earlier versions are not disturbed; a failure switches nothing.
+
     Staging is read by every later model, so it is written once; the long table stays a view over
     it. The ranking is sorted inside its files, which needs no further shuffle; the scorecard and
     the profile are sorted as a whole. With ``dedupe=False`` and ``on_fanout="allow"`` repeated loads and
@@ -107,8 +108,9 @@ def build_models(
     """
     for name in layers.namespaces():
         ensure_namespace(spark, name)
+    run = new_run()
     by_entity = [F.col(cfg.group_key).asc_nulls_last(), F.col(cfg.entity_name).asc_nulls_last()]
-    staged = _save(with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging)
+    staged = write_version(with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging, run)
     long = unpivot_measures(staged, cfg.keys, LONG_LABELS)
     long.createOrReplaceTempView(layers.long)
 
@@ -116,17 +118,28 @@ def build_models(
     shape = GroupShape.of(staged, cfg.group_cols)
     with ThreadPoolExecutor(max_workers=2) as pool:
         ranked = entity_ranking(staged, cfg, method, shape).sortWithinPartitions(*by_entity)
-        ranking = pool.submit(_save, with_audit(ranked, CREATED), layers.ranking)
+        ranking = pool.submit(write_version, with_audit(ranked, CREATED), layers.ranking, run)
         profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
-        profile = pool.submit(_save, with_audit(profiled, CREATED), layers.profile)
+        profile = pool.submit(write_version, with_audit(profiled, CREATED), layers.profile, run)
     ranking, profile = ranking.result(), profile.result()
     if on_fanout == ERROR:
         if shape.profiles != shape.groups:
             assert_one_profile_per_group(profile, cfg)
         on_fanout = ALLOW
     scored = scorecard(ranking, profile, cfg, shape.profiles, on_fanout).orderBy(*mart_order(cfg))
-    mart = _save(with_audit(scored, CREATED, UPDATED), layers.mart)
-    return {"staging": staged, "long": long, "ranking": ranking, "profile": profile, "mart": mart}
+    mart = write_version(with_audit(scored, CREATED, UPDATED), layers.mart, run)
+    models = {"staging": staged, "long": long, "ranking": ranking, "profile": profile, "mart": mart}
+    if publish:
+        publish_models(spark, layers, run)
+    return models
+
+
+def publish_models(spark: SparkSession, layers: Layers = Layers(), run: str | None = None, keep: int = KEEP) -> None:
+    """Let the views show the models of a run (default: the newest complete one), the scorecard last."""
+    tables = [layers.staging, layers.ranking, layers.profile, layers.mart]
+    if run is None:
+        run = versions(spark, layers.mart)[-1].rsplit(VERSION_MARK, 1)[1]
+    switch_views(spark, {t: version_of(t, run) for t in tables}, keep)
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
@@ -149,15 +162,18 @@ def run_all(
 ) -> dict[str, DataFrame]:
     """Load new files, build and check; raises when a contract is broken or a quality check fails.
 
+    Models whose contracts are broken are not published: readers go on with those of the run before.
+
     A second run over the same files adds nothing to the raw table. Unreadable input is in the quarantine
     table (:func:`~prevascope.sources.raw_table.quarantine_of`) and in the log.
     """
     with scratch_scope(spark):
         load_directory(spark, directory, layers, layout)
-        models = build_models(spark, layers, cfg)
+        models = build_models(spark, layers, cfg, publish=False)
     broken = check_models(models).where("failures > 0").collect()
     if broken:
         raise ContractError("; ".join(f"{r.model}.{r.column_name} {r.rule}: {r.failures} rows" for r in broken))
+    publish_models(spark, layers)
     as_of = datetime.now(timezone.utc)
     checks = check_raw(spark, layers, as_of=F.lit(as_of))
     if report_path:

@@ -62,18 +62,18 @@ def parsed_values(values: DataFrame, schema: T.StructType) -> DataFrame:
         F.when(~listed, F.from_json(text, T.ArrayType(wide))).alias("objects"),
     )
     stored = values.where(F.trim("value") != "").select("source_file", "value", F.explode(F.array(parsed)).alias("parsed"))
-    one = F.col("parsed.objects")[0]
-    own = F.array(F.struct(*[one[f.name].alias(f.name) for f in schema.fields]))
-    none = F.array().cast(T.ArrayType(schema))
+    first, none = F.expr("parsed.objects[0]"), F.array().cast(T.ArrayType(schema))
+    own = F.array(first.dropFields("data") if enveloped else first)
     if enveloped:
-        keyed = value.contains('"data"') & F.array_contains(F.json_object_keys(value), "data")
-        own = F.when(one["data"].isNotNull(), one["data"]).when(keyed, none).otherwise(own)
-    objects = F.when((F.size("parsed.objects") == 1) & one.isNotNull() & F.ltrim(value).startswith("{"), own)
-    lists = F.when(F.size("parsed.lists") == 1, F.col("parsed.lists")[0])
-    records = F.when(F.col("parsed.lists").isNotNull(), lists).when(F.col("parsed.objects").isNotNull(), objects)
+        keyed = F.expr("""contains(value, '"data"') and array_contains(json_object_keys(value), 'data')""")
+        data = F.expr("parsed.objects[0].data")
+        own = F.when(data.isNotNull(), data).when(keyed, none).otherwise(own)
+    records = F.when(F.expr("size(parsed.lists) = 1"), F.expr("parsed.lists[0]")).when(
+        F.expr("size(parsed.objects) = 1 and parsed.objects[0] is not null and startswith(ltrim(value), '{')"), own
+    )
     read = stored.select("source_file", F.col("value").alias("content"), records.alias("records"))
-    whole = ~F.exists(F.coalesce("records", none), lambda r: r.isNull())
-    return read.withColumn("records", F.when(whole, F.col("records")))
+    # a list with something else than records in it cannot be read
+    return read.withColumn("records", F.expr("if(exists(records, r -> r is null), null, records)"))
 
 
 def _landed(values: DataFrame, schema: T.StructType) -> Landed:

@@ -97,6 +97,6 @@ def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None] | S
 
 
 def list_tables(spark: SparkSession, namespaces: Sequence[str] | None = None) -> list[str]:
-    """Qualified names of the tables in the given namespaces (default: the current one)."""
+    """Qualified names of the tables and views in the given namespaces (default: the current one), temporary ones left out."""
     names = namespaces or [spark.catalog.currentDatabase()]
-    return [f"{ns}.{t.name}" for ns in names for t in spark.catalog.listTables(ns)]
+    return [f"{ns}.{t.name}" for ns in names for t in spark.catalog.listTables(ns) if not t.isTemporary]

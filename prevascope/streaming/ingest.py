@@ -69,8 +69,8 @@ def ensure_tables(spark: SparkSession, table: str, schema: T.StructType) -> None
     batches = T.StructType.fromDDL("batch string, files long, unreadable long, loaded_at timestamp")
     for name, kind in ((table, raw), (quarantine_of(table), lost), (files_of(table), files), (batches_of(table), batches)):
         if not spark.catalog.tableExists(name):
-            writer = spark.createDataFrame([], kind).write
-            (writer.partitionBy(BATCH) if BATCH in kind.names else writer).saveAsTable(name)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields)
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet" + (f" PARTITIONED BY ({BATCH})" if BATCH in kind.names else ""))
 
 
 def _replace_batch(df: DataFrame, table: str, batch: str) -> None:
@@ -154,17 +154,13 @@ def load_files(
         present = materialise(files, "listing")
         _plan(present, table, max_files_per_batch)
         waiting = spark.table(files_of(table)).join(spark.table(batches_of(table)).select("batch"), "batch", "left_anti")
-        waiting = materialise(waiting.join(present, FILE, "left_semi"), "waiting")
-        batches = [r.batch for r in waiting.select("batch").distinct().orderBy("batch").toLocalIterator()]
+        waiting = waiting.join(present, FILE, "left_semi")
+        batches = sorted(r.batch for r in waiting.select("batch").distinct().collect())
         for batch in batches:
             paths = [r.path for r in waiting.where(F.col("batch") == batch).select("path").collect()]  # of one batch
             landed = read_landing(spark, [escaped(p) for p in paths], schema, layout)
             lost = _load_batch(landed, schema, table, batch)
-            done = spark.range(1).select(
-                F.lit(batch).alias("batch"), F.lit(len(paths)).cast("long").alias("files"),
-                F.lit(lost).cast("long").alias("unreadable"), F.current_timestamp().alias("loaded_at"),
-            )
-            done.coalesce(1).write.insertInto(batches_of(table))
+            spark.sql(f"INSERT INTO {batches_of(table)} VALUES ('{batch}', {len(paths)}, {lost}, current_timestamp())")
     return len(batches)
 
 

@@ -116,3 +116,11 @@ def test_report_chain(spark):
     assert [tuple(r) for r in reporting.report_top_groups(source, "ts", ["k"]).collect()] == [("a", 10), ("b", 5)]
     assert [tuple(r) for r in reporting.report_top_groups(source, "ts", ["k"], limit=2).collect()] == [("a", 9), ("b", 5)]
     assert reporting.report_top_groups(source[:2], "ts", ["k"]) is None
+
+
+def test_nan_is_no_value_in_group_sums(spark):
+    rows = [("A", "5"), ("B", "NaN"), ("C", "7"), ("C", "NaN"), ("D", None)]
+    for kind in ("string", "double"):
+        df = spark.createDataFrame(rows, "state string, cases string").withColumn("cases", F.col("cases").cast(kind))
+        got = [tuple(r) for r in reporting.top_groups_by_metric(df, "state", "cases").collect()]
+        assert got == [("C", 7.0), ("A", 5.0), ("B", 0.0), ("D", 0.0)]

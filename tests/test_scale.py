@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prevascope.config import DEFAULT_CONFIG as CFG
-from prevascope.operators import mart, profile, ranking, reshape
+from prevascope.operators import filters, mart, profile, ranking, reshape
 from prevascope.operators.groups import GroupShape
 from prevascope.operators.numbering import numbered_by_sort
 from prevascope.operators.dedupe import latest_per_entity
@@ -133,3 +133,11 @@ def test_median_of_skewed_groups(spark, kind):
         F.percentile("v", F.lit(0.5)).alias("m")).collect()}
     got = {r.state_code: r.m for r in profile.group_medians(df, "state_code", {"v": "m"}, truncate=False).collect()}
     assert got == pytest.approx(expected)
+
+
+def test_rows_that_share_all_keys_are_cut_in_each_task(spark, plan_of):
+    """A page within 200,000 rows of one key brings no more than the page to the task that numbers them."""
+    same = spark.range(200_000).select(F.lit(1).alias("k"), "id").repartition(8)
+    page = filters.page_of_table(same, ["k"], 50_000, 30, shallow_end=10)
+    assert page.count() == 30 and page.distinct().count() == 30
+    assert "_task" in plan_of(page)
