@@ -1,10 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
 Every text block of a page belongs to its root-to-leaf tag path. A path's text and punctuation per block are
-smoothed over the page order, fused and held against a threshold; the blocks of the paths above it are the text, with the
-headings right before them. A path below an article or main element has its ratio raised, and if these elements
-hold nearly all of what is chosen, what is outside of them is left out. So are elements that are boilerplate by nature. A name of
-boilerplate lowers the ratio of the paths below it, unless the element holds most of the page.
+smoothed over the page order, fused and held against a threshold. The paths above it find the content nodes: the articles that hold
+nearly all of their text, else the containers whose text is mostly theirs. All blocks below a content node are the text, tables, lists
+and quotes of any length included, but for lists and blocks of links and for what has a name of boilerplate; and so are blocks of
+chosen paths elsewhere, with the headings right before them, unless articles or a main element hold nearly all that is chosen. What is
+boilerplate by nature is left out. A name of boilerplate lowers the ratio of the paths below it, unless the element holds most of the
+page. Names that also stand for subjects (search, related) count only if nothing else is in the name, and not for
+blocks with sentences.
 """
 
 from __future__ import annotations
@@ -30,15 +33,26 @@ BLOCK = frozenset(
 )
 LEFT_OUT = frozenset("head nav header footer aside button select option menu dialog".split()) | RAW
 LEFT_OUT_WORDS = frozenset(
-    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
-    "footer header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related "
-    "replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget contentinfo complementary alert".split()
+    "advert advertisement adverts advertising breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer "
+    "login menu modal nav navbar navigation newsletter pager pagination popup sidebar signup sponsor sponsored subscribe contentinfo".split()
+)
+#: Words that name subjects as well, and words that may stand beside them in a name of boilerplate.
+SUBJECT_WORDS = frozenset(
+    "ad ads alert banner complementary header masthead notice notices promo promotion related replies respond search share sharing skip social "
+    "toolbar widget".split()
+)
+BESIDE = frozenset(
+    "area articles bar block bottom box buttons container content cookie header icons inner item items left link links list main media "
+    "outer page panel post posts right section site stories text title top wrap wrapper".split()
 )
 #: Parts of a name that turn it around: with-sidebar, no-header, ad-free.
 TURNING = frozenset("with without no non not has have free".split())
 COMMENT_WORDS = frozenset("comment comments replies respond disqus reply".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("ul ol dl table".split())
+#: Parts of what a container holds.
+PARTS = LISTS | HEADINGS | frozenset("p li dt dd tr td th tbody thead tfoot caption blockquote pre figure figcaption address details summary".split())
 #: Share of the chosen text that articles must hold for the rest to go; share of the mean that a path must reach.
 HOLDS, THRESHOLD = 0.9, 0.5
 #: What an article around it makes of a path's ratio.
@@ -46,9 +60,15 @@ IN_ARTICLE = 2.0
 #: What a name of boilerplate makes of it, and the share of the page's text from which an element's name says nothing.
 NAMED, MOST = 0.2, 0.5
 
+#: Share of a container's text that must be chosen to make it a content node, and of links that make a list or block one of links.
+NODE, LINKED = 0.5, 0.8
+#: A block of so many characters with a stop has sentences.
+SENTENCES = 60
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[a-z]+")
+_STOP = re.compile(r"[.!?…。！？]")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、¡¿]")
 
 
@@ -56,10 +76,12 @@ class Page:
     """Elements and text blocks of a page; ``parents`` and ``tags`` are by element, 0 is the root."""
 
     def __init__(self, source: str):
-        self.parents, self.tags, self.dropped, self.named = [0], [""], [False], [False]
+        self.parents, self.tags, self.dropped, self.named = [0], [""], [False], [0]
         self.paths: dict[tuple[int, str], int] = {}
         self.path_of = [0]
         self.blocks: list[tuple[str, int]] = []  # text, element
+        self.linked: list[int] = []  # characters of each block that are links
+        self._links = 0
         self._pending: list[str] = []
         self._owner = 0
         self._stack, self._open = [0], Counter()
@@ -99,13 +121,16 @@ class Page:
         elif element != self._owner and not raw.isspace() and not "".join(self._pending).strip():
             self._owner = element
         self._pending.append(raw)
+        if self._open["a"]:
+            self._links += len(raw.strip())
 
     def _flush(self) -> None:
         if self._pending:
             text = " ".join(html.unescape("".join(self._pending)).split())
             if text:
                 self.blocks.append((text, self._owner))
-            self._pending = []
+                self.linked.append(self._links)
+            self._pending, self._links = [], 0
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in VOID:
@@ -131,12 +156,12 @@ class Page:
         self._stack.append(len(self.parents) - 1)
         self._open[tag] += 1
 
-    def _is_boilerplate(self, tag: str, attributes: str) -> tuple[bool, bool]:
-        """Whether an element is left out by nature, and whether it has a name of boilerplate."""
+    def _is_boilerplate(self, tag: str, attributes: str) -> tuple[bool, int]:
+        """Whether an element is left out by nature, and whether its name is one of boilerplate: 2, or 1 if it may be a subject."""
         if tag in ("html", "body"):
-            return False, False
+            return False, 0
         if tag in LEFT_OUT and not (tag == "header" and (self._open["article"] or self._open["main"])):
-            return True, False
+            return True, 0
         names, hidden = [], False
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
@@ -145,20 +170,31 @@ class Page:
             hidden |= name == "hidden" or (name == "aria-hidden" and value == "true")
             hidden |= name == "style" and "display:none" in value.replace(" ", "")
         words = COMMENT_WORDS if tag in ("article", "main") else LEFT_OUT_WORDS
-        return hidden, tag == "form" or any(parts & words and not parts & TURNING for parts in names)
+        names = [parts for parts in names if not parts & TURNING]
+        if tag == "form" or any(parts & words for parts in names):
+            return hidden, 2
+        subject = tag not in ("article", "main") and any(parts & SUBJECT_WORDS and parts <= SUBJECT_WORDS | BESIDE for parts in names)
+        return hidden, int(subject)
 
-    def named_below(self) -> list[bool]:
-        """Whether each element is in one that has a name of boilerplate and less than ``MOST`` of the page's text."""
+    def named_below(self) -> list[int]:
+        """The strongest name of boilerplate that each element is under, of elements with less than ``MOST`` of the page's text."""
         whole = [0] * len(self.parents)
         for block, element in self.blocks:
             whole[element] += len(block)
         for i in range(len(whole) - 1, 0, -1):
             whole[self.parents[i]] += whole[i]
-        named = [False] * len(whole)
+        named = [0] * len(whole)
         for i in range(1, len(whole)):
-            named[i] = named[self.parents[i]] or (self.named[i] and whole[i] < MOST * whole[0])
+            named[i] = max(named[self.parents[i]], self.named[i] if whole[i] < MOST * whole[0] else 0)
         return named
 
+    def inherited(self, tags: frozenset[str]) -> list[int]:
+        """For each element the innermost one around it, itself included, that has one of ``tags``; 0 without any."""
+        found = [0] * len(self.parents)
+        for i in range(1, len(found)):
+            found[i] = i if self.tags[i] in tags else found[self.parents[i]]
+        return found
+
     def _pop(self) -> None:
         self._open[self.tags[self._stack.pop()]] -= 1
 
@@ -179,10 +215,10 @@ def below(page: Page, *tags: str) -> list[bool]:
     return inside
 
 
-def chosen_blocks(page: Page, named: list[bool]) -> list[bool]:
+def chosen_blocks(page: Page, named: list[int]) -> list[bool]:
     """Whether each block's tag path (one apart below names of boilerplate) has a fused ratio that reaches the threshold."""
     text, marks, nodes = Counter(), Counter(), Counter()
-    series = [(page.path_of[element], named[element]) for _, element in page.blocks]
+    series = [(page.path_of[element], named[element] > 0) for _, element in page.blocks]
     for (block, _), path in zip(page.blocks, series):
         text[path] += len(block)
         marks[path] += len(_PUNCTUATION.findall(block))
@@ -205,6 +241,43 @@ def chosen_blocks(page: Page, named: list[bool]) -> list[bool]:
     return [fused[p] * weight[p] >= THRESHOLD * mean for p in series]
 
 
+def _links_only(page: Page) -> list[bool]:
+    """Whether each block is of links, or in a list or table that is."""
+    lists, text, linked = page.inherited(LISTS), Counter(), Counter()
+    for (block, element), link in zip(page.blocks, page.linked):
+        text[lists[element]] += len(block)
+        linked[lists[element]] += link
+    return [
+        linked[at] >= LINKED * text[at] if (at := lists[element]) else link >= LINKED * len(block)
+        for (block, element), link in zip(page.blocks, page.linked)
+    ]
+
+
+def _below_containers(page: Page, by_path: list[bool]) -> list[bool]:
+    """Whether each block is below a container whose text is mostly of chosen paths.
+
+    The body itself is one only from its first chosen block to its last, as what is around them is often not in any container.
+    """
+    container = page.inherited(BLOCK - PARTS)
+    own = [container[element] for _, element in page.blocks]
+    top = [page.tags[at] in ("", "html", "body") for at in own]
+    whole, chosen = [0] * len(page.parents), [0] * len(page.parents)
+    for (block, _), at, c in zip(page.blocks, own, by_path):
+        whole[at] += len(block)
+        chosen[at] += len(block) * c
+    direct = {k for k, at in enumerate(own) if by_path[k]}
+    holders = {own[k] for k in direct if not top[k]}
+    for i in range(len(whole) - 1, 0, -1):
+        whole[page.parents[i]] += whole[i]
+        chosen[page.parents[i]] += chosen[i]
+    inside = [False] * len(page.parents)
+    for i in range(1, len(inside)):
+        inside[i] = inside[page.parents[i]] or (i in holders and chosen[i] >= NODE * whole[i])
+    loose = [k for k in direct if top[k]]
+    first, last = min(loose, default=0), max(loose, default=-1)
+    return [inside[element] or first <= k <= last for k, (_, element) in enumerate(page.blocks)]
+
+
 def main_text(source: str | None) -> str:
     """The main text of a page, its blocks joined by an empty line."""
     page = Page(source or "")
@@ -214,6 +287,11 @@ def main_text(source: str | None) -> str:
     by_path = chosen_blocks(page, named)
     chosen = list(by_path)
     whole = sum(len(block) for (block, _), c in zip(page.blocks, chosen) if c)
+    links = _links_only(page)
+    stays = [
+        not link and (not named[element] or (named[element] == 1 and len(block) >= SENTENCES and bool(_STOP.search(block))))
+        for (block, element), link in zip(page.blocks, links)
+    ]
     heading = below(page, *HEADINGS)
     following = False
     for k in range(len(chosen) - 1, -1, -1):
@@ -221,12 +299,19 @@ def main_text(source: str | None) -> str:
             chosen[k] = chosen[k] or (following and not named[page.blocks[k][1]])
         elif chosen[k] or not named[page.blocks[k][1]]:
             following = chosen[k]
-    for tag in ("article", "main"):
-        inside = below(page, tag)
-        held = sum(len(block) for (block, element), c in zip(page.blocks, by_path) if c and inside[element])
-        if held and held >= HOLDS * whole:
-            chosen = [c and inside[element] for c, (_, element) in zip(chosen, page.blocks)]
-            break
+    held_by = {tag: below(page, tag) for tag in ("article", "main")}
+    holds = {
+        tag: whole > 0 and sum(len(b) for (b, e), c in zip(page.blocks, by_path) if c and inside[e]) >= HOLDS * whole
+        for tag, inside in held_by.items()
+    }
+    if holds["article"]:
+        inside = held_by["article"]
+        chosen = [inside[e] and (c or s) for c, s, (_, e) in zip(chosen, stays, page.blocks)]
+    else:
+        nodes = _below_containers(page, by_path)
+        chosen = [c or (n and s) for c, n, s in zip(chosen, nodes, stays)]
+        if holds["main"]:
+            chosen = [c and held_by["main"][e] for c, (_, e) in zip(chosen, page.blocks)]
     return "\n\n".join(block for (block, _), c in zip(page.blocks, chosen) if c)
 
 

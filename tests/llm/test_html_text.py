@@ -76,14 +76,14 @@ STORY = "".join(f"<p>Sentence number {i}, which is long enough, stands here. It
 
 
 def test_blocks_are_selected_by_their_path():
-    """A teaser in an article does not replace the story, several articles all stay, and short blocks of other paths go."""
+    """A teaser in an article does not replace the story, several articles all stay, and a list of an article stays with it."""
     text = op.main_text(SHELL % f"<main><div>{STORY}</div><article><p>A teaser, with one more sentence of its own.</p></article></main>")
     assert all(f"Sentence number {i}," in text for i in range(9))
     text = op.main_text(SHELL % f"<article><h2>One</h2>{STORY}</article><article><h2>Two</h2>{STORY}</article><div>Imprint</div>")
     assert text.count("Sentence number") == 18 and "One\n\n" in text and "Two\n\n" in text and "Imprint" not in text
     links = "".join(f"<li>{i}</li>" for i in range(30))
     text = op.main_text(SHELL % f"<article>{STORY}<ul>{links}</ul></article>")
-    assert text.count("Sentence number") == 9 and "\n\n17" not in text
+    assert text.count("Sentence number") == 9 and "\n\n17\n\n" in text
 
 
 @pytest.mark.parametrize("wrapper", [
@@ -104,3 +104,66 @@ def test_named_blocks_can_win_back():
     assert note in text and text.count("Sentence number") == 54 and "See also" not in text
     page = SHELL % f"<article>{STORY}<p>The area is <math><mi>x</mi><mo>+</mo><mn>1</mn></math> units, as <svg><text>shown</text></svg> here.</p></article>"
     assert op.main_text(page).endswith("The area is x+1 units, as shown here.")
+
+
+TABLE = "<table><tr><th>Year</th><th>Sum</th></tr>" + "".join(f"<tr><td>{y}</td><td>{y % 7}</td></tr>" for y in range(1990, 1996)) + "</table>"
+INSIDE = {
+    "table": (TABLE, ["Year", "1990", "1995"]),
+    "list": ("<ul><li>Bring water</li><li>Bring bread</li></ul>", ["Bring water", "Bring bread"]),
+    "definitions": ("<dl><dt>Mole</dt><dd>A unit</dd></dl>", ["Mole", "A unit"]),
+    "code": ("<pre>x = 1</pre>", ["x = 1"]),
+    "quote": ("<blockquote><p>So be it</p></blockquote>", ["So be it"]),
+    "figure": ("<figure><img src='a'><figcaption>A hill</figcaption></figure>", ["A hill"]),
+    "subject": ('<div class="related-work"><p>Earlier work is short</p></div>', ["Earlier work is short"]),
+    "section": ('<section id="search"><p>The search went on for weeks, and nothing was found in the end.</p></section>', ["The search went on for weeks"]),
+    "mixed links": ('<ul><li><a href="/a">Bread</a> takes two hours in all, with the rest</li></ul>', ["Bread takes two hours"]),
+}
+
+
+@pytest.mark.parametrize("wrapper", ["<article>%s</article>", "<div>%s</div>", "<main><div><div>%s</div></div></main>", "%s"])
+@pytest.mark.parametrize("name", INSIDE)
+def test_parts_of_the_text_stay(wrapper, name):
+    part, wanted = INSIDE[name]
+    links = "".join(f'<li><a href="/{i}">Place {i}</a></li>' for i in range(8))
+    body = wrapper % f"<h1>Title</h1>{STORY}{part}{STORY}"
+    text = op.main_text(SHELL % f'<div class="top"><ul>{links}</ul></div>{body}<div class="foot">Imprint</div>')
+    assert text.startswith("Title\n\nSentence number 0") and text.count("Sentence number") == 18
+    assert all(w in text for w in wanted) and "Place" not in text and "Imprint" not in text
+
+
+@pytest.mark.parametrize("wrapper", ["<article>%s</article>", "<div>%s</div>"])
+def test_lists_of_links_go(wrapper):
+    links = "".join(f'<li><a href="/{i}">Place {i}</a></li>' for i in range(8))
+    text = op.main_text(SHELL % (wrapper % f"{STORY}<ul>{links}</ul>{STORY}"))
+    assert text.count("Sentence number") == 18 and "Place" not in text
+
+
+def ratios_by_hand(page, named):
+    """Tag-path ratios with every sum written out over the blocks of a path."""
+    path = []
+    for _, element in page.blocks:
+        tags, at = [], element
+        while at:
+            tags.append(page.tags[at])
+            at = page.parents[at]
+        path.append((tuple(tags), named[element] > 0))
+    same = [[j for j in range(len(path)) if path[j] == path[k]] for k in range(len(path))]
+    marks = [sum(c in ".,;:!?…。，；：！？、¡¿" for c in block) for block, _ in page.blocks]
+    length = [sum(len(page.blocks[j][0]) for j in own) / len(own) for own in same]
+    stops = [sum(marks[j] for j in own) / len(own) for own in same]
+    around = lambda x, k: (x[max(0, k - 1)] + 2 * x[k] + x[min(len(x) - 1, k + 1)]) / 4
+    point = [(around(length, k) * (1 + around(stops, k))) ** 0.5 for k in range(len(path))]
+    fused = [sum(point[j] for j in own) / len(own) for own in same]
+    use = [k for k in range(len(path)) if not path[k][1]] or list(range(len(path)))
+    mean = sum(fused[k] * len(page.blocks[k][0]) for k in use) / sum(len(page.blocks[k][0]) for k in use)
+    raised = [any({"article", "main"} & set(path[j][0]) for j in own) for own in same]
+    return [fused[k] * (0.2 if path[k][1] else 2 if raised[k] else 1) >= 0.5 * mean for k in range(len(path))]
+
+
+def test_ratios_equal_those_by_hand(spark):
+    sources = [r.html for r in table(spark, SAMPLE, "pages").limit(60).collect()]
+    sources += [SHELL % (w % f"<h1>T</h1>{STORY}{part}{STORY}") for w in ("<article>%s</article>", "<div class='menu'>%s</div>x") for part, _ in INSIDE.values()]
+    for source in sources:
+        page = op.Page(source)
+        named = page.named_below()
+        assert op.chosen_blocks(page, named) == ratios_by_hand(page, named)
