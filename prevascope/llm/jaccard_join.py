@@ -300,11 +300,16 @@ class _Corpus:
         own = F.element_at("sketches", F.col("layout") - F.col("first") + 1)
         return rows.join(sized, node).withColumn("sketch", own).drop("first", "sketches")
 
-    def texts(self, needed: DataFrame) -> DataFrame:
-        """(node, text) of the nodes asked for."""
-        place = self.nodes.select("node", "doc_id", "text_key").join(needed, "node", "left_semi")
+    def hold(self, needed: DataFrame) -> None:
+        """From now on only the nodes of ``needed`` matter: keep their sketches and texts, so that those of all documents move once."""
+        self.nodes = materialise(self.nodes.join(needed, "node", "left_semi"), "held-nodes")
+        place = self.nodes.select("node", "doc_id", "text_key")
         same = self.docs["doc_id"].eqNullSafe(place["doc_id"]) & (self.docs["text_key"] == place["text_key"])
-        return materialise(self.docs.join(place, same).select("node", "text").dropDuplicates(["node"]), "texts")
+        self.held = materialise(self.docs.join(place, same).select("node", "text").dropDuplicates(["node"]), "texts")
+
+    def texts(self, needed: DataFrame) -> DataFrame:
+        """(node, text) of the nodes asked for, among those held."""
+        return self.held.join(needed, "node", "left_semi")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that are linked by their full sets."""
@@ -315,11 +320,18 @@ class _Corpus:
 
 
 def _open_rows(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, layout, node, root) of the buckets whose members are in different components."""
+    """(key, layout, node, root) of the buckets whose members are in different components, one for each set of members.
+
+    Documents that differ little share many buckets, often with the same others, and comparing them once is enough.
+    """
     placed = shared.join(found, "node", "left").select("key", "layout", "node", F.coalesce("root", "node").alias("root"))
     placed = materialise(placed, "placed")
     open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    return materialise(placed.join(materialise(open_keys.select("key"), "open"), "key", "left_semi"), "open-rows")
+    rows = materialise(placed.join(materialise(open_keys.select("key"), "open"), "key", "left_semi"), "open-rows")
+    prints = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"print{seed}") for seed in (1, 2)]
+    members = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *prints)
+    first = members.groupBy("size", "print1", "print2").agg(F.min("key").alias("key")).select("key")
+    return materialise(rows.join(materialise(first, "open-sets"), "key", "left_semi"), "open-rows")
 
 
 def _first_links(corpus: _Corpus, shared: DataFrame) -> DataFrame:
@@ -369,6 +381,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     keyed = corpus.nodes.mapInArrow(_keyed, "key long, layout int, node long")
     shared_keys = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
     shared = materialise(keyed.join(shared_keys, "key", "left_semi").select("key", "layout", "node"), "shared")
+    corpus.hold(shared.select("node").distinct())
     found = materialise(roots(_first_links(corpus, shared)), "roots")
     more = _crossing_links(corpus, _open_rows(shared, found))
     if not more.isEmpty():
