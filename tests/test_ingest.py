@@ -74,7 +74,7 @@ def test_crash_within_a_batch(spark, place, monkeypatch, step):
     land(folder, "1", "AB")
     load(spark, folder, table)
     land(folder, "2", "CD")
-    (folder / "places_bad.json").write_text('{"state": \n{"state": "E", "cases": 1}')
+    (folder / "places_bad.json").write_text('{"state": \n{"state": "E", "cases": 1}\n{"state": "G", "cases": 1}')
     real, calls = ingest._replace_batch, []
 
     def failing(df, name, batch):
@@ -90,7 +90,7 @@ def test_crash_within_a_batch(spark, place, monkeypatch, step):
     monkeypatch.setattr(ingest, "_replace_batch", real)
     land(folder, "3", "F")
     assert load(spark, folder, table) == 2  # the one that failed and the new file
-    assert states(spark, table) == list("ABCDEF")
+    assert states(spark, table) == list("ABCDEFG")
     assert spark.table(raw_table.quarantine_of(table)).count() == 1
     assert load(spark, folder, table) == 0
     assert spark.table(ingest.batches_of(table)).count() == 3
