@@ -349,8 +349,8 @@ def _scored(head, common):
 def score(docs: DataFrame) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text), learned from the rows outside the held-out fold.
 
-    Returns doc_id, held_out, n_tokens (words and one end), n_known, train_tokens, base_score, score and
-    bits_per_byte of the lower-cased text with its end. Null text is empty: its end alone is scored. Repeated
+    Returns doc_id, held_out, n_tokens (words and one end), n_known, train_tokens, base_score and score (the log10
+    probability of the lower-cased text with its end). Null text is empty: its end alone is scored. Repeated
     rows count each time and score alike. Without training rows every byte is equally likely. An
     empty table gives no rows.
     """
