@@ -33,7 +33,9 @@ def op5_contamination(spark, folder):
 def op6_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     scores = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
-    return scores.withColumn("n_offending", F.size("sentences").cast("long")).drop("sentences", "text_key")
+    spans = F.transform("sentences", lambda s: F.concat_ws(":", s["at"], s["to"], F.round(s["score"], 4)))
+    counted = scores.withColumn("n_offending", F.size("sentences").cast("long"))
+    return counted.withColumn("offending", F.array_join(spans, ",")).drop("sentences", "text_key")
 
 
 def op7_private_spans(spark, folder):
@@ -51,7 +53,7 @@ def op9_secret_scan(spark, folder):
 
 def op10_warc(spark, folder):
     pages = table(spark, folder, "pages")
-    read = warc.read_archives(spark, warc.write_archives(pages))
+    read = warc.read_archives(spark, warc.write_archives(pages), payloads=False)
     kind = pages.schema["page_id"].dataType
     return read.select(
         F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)
