@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -120,85 +119,6 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield summed()
 
 
-@dataclass(frozen=True)
-class Model:
-    """Trie nodes by key (bytes, and the depth in the top byte) and their logarithms to base 10."""
-
-    lookup: Lookup
-    node: np.ndarray  # of the last byte after the others
-    escape: np.ndarray  # of leaving the node as a context, exclusion included; then a zero
-    first_escape: float  # of leaving the empty context
-    uniform: float  # of a byte after that
-
-
-def _key(values: np.ndarray, depth: int) -> np.ndarray:
-    return (values & np.uint64((1 << 8 * depth) - 1)) | np.uint64(depth << 56)
-
-
-def built(depths: np.ndarray, values: np.ndarray, counts: np.ndarray, positions: int, texts: int) -> Model:
-    """The model of the nodes kept (depth, bytes as a number and count of each) of so many positions and texts."""
-    byte, before = values & np.uint64(0xFF), values >> np.uint64(8)
-    ends_before = np.zeros(len(values), bool)
-    for k in range(1, DEPTH):
-        ends_before |= (depths > k) & (((values >> np.uint64(8 * k)) & np.uint64(0xFF)) == END)
-    good = ~ends_before
-    depths, values, counts, byte, before = (x[good] for x in (depths, values, counts, byte, before))
-    lookup = Lookup(values | (depths.astype(np.uint64) << np.uint64(56)))
-    n = len(values)
-    is_pad = byte == PAD
-    parent = np.full(n, -1, np.int64)
-    deep = depths > 1
-    parent[deep] = lookup.find(before[deep] | ((depths[deep] - 1).astype(np.uint64) << np.uint64(56)))
-    total = np.where(is_pad, float(texts), counts)  # of a node as context: what follows but pads; pads stand before texts alone
-    top = float(positions - ORDER * texts)
-    child = ~is_pad
-    base = np.where(deep, total[parent], top)
-    prob = np.where(child, (counts - 0.5) / np.maximum(base, 1), 0.0)
-    offered = np.bincount(parent[child & deep], prob[child & deep], n)
-    left = 1 - offered
-    # the same byte after the context without its first byte
-    shorter = values & ((np.uint64(1) << (np.uint64(8) * (depths - 1).astype(np.uint64))) - np.uint64(1))
-    suffix = np.full(n, -1, np.int64)
-    inner = child & deep
-    suffix[inner] = lookup.find(shorter[inner] | ((depths[inner] - 1).astype(np.uint64) << np.uint64(56)))
-    excluded = np.bincount(parent[inner], prob[suffix[inner]], n)
-    with np.errstate(divide="ignore"):
-        has = np.bincount(parent[inner], minlength=n) > 0
-        escape = np.where(has, np.log10(np.maximum(left, 1e-300) / np.maximum(1 - excluded, 1e-300)), 0.0)
-        node = np.where(child, np.log10(np.maximum(prob, 1e-300)), 0.0)
-    symbols = int(((depths == 1) & child).sum())
-    first = 1 - prob[(depths == 1) & child].sum() if symbols else 1.0
-    rest = max(SYMBOLS - symbols, 1)
-    return Model(lookup, node, np.append(escape, 0.0), math.log10(max(first, 1e-300)), -math.log10(rest))
-
-
-def log_probabilities(model: Model, last: np.ndarray) -> np.ndarray:
-    """Log probability of the last byte of each gram after the others."""
-    out = np.zeros(len(last))
-    todo = np.arange(len(last))
-    for k in range(ORDER, -1, -1):
-        own = last[todo] if len(todo) < len(last) else last
-        row = model.lookup.find(_key(own, k + 1))
-        hit = row >= 0
-        if k:
-            context = model.lookup.find(_key(own[~hit] >> np.uint64(8), k))
-            add = model.escape[context]  # -1, an unknown context, is the zero at the end
-        else:
-            add = model.first_escape + model.uniform
-        out[todo[hit]] += model.node[row[hit]]
-        todo = todo[~hit]
-        out[todo] += add
-    return out
-
-
-def text_scores(model: Model, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Log probability of each text with its end, a part of the bytes at a time."""
-    sums = np.zeros(len(starts) - 1)
-    for row, gram in text_grams(raw, starts, _PART):
-        sums += np.bincount(row, log_probabilities(model, gram), len(sums))
-    return sums
-
-
 def deeper(values: np.ndarray, n: np.ndarray, least: float, shorter: np.ndarray, fallback: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probability as nodes (0 for what is none) and log probability of the last byte of each value after the others.
 

@@ -2,8 +2,10 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from prevascope.llm import lm_score as op
@@ -92,21 +94,20 @@ def test_probabilities_add_up_to_one():
     texts = ["the cat sat on the mat. the end", "thé ünd", "", "cats and mats"]
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
-    stream, begin = op.padded(raw, starts)
-    grams, n = np.unique(op.grams(stream, 0, int(begin[-1])), return_counts=True)
-    for least in (1, 2, 4):
-        depth, value, count = [], [], []
-        for d in range(1, op.DEPTH + 1):
-            v, inverse = np.unique(grams >> np.uint64(8 * (op.DEPTH - d)), return_inverse=True)
-            c = np.bincount(inverse, n)
-            depth += [d] * int((c >= least).sum())
-            value += list(v[c >= least])
-            count += list(c[c >= least])
-        model = op.built(np.array(depth), np.array(value, np.uint64), np.array(count), int(begin[-1]), 4)
-        for context in (b"\xff" * 5, b"e cat", b"zzzzz", b"on th", b"\xff\xffthe", b"qqqat"):
-            head = np.uint64(int.from_bytes(context, "big") << 8)
-            symbols = np.array([s for s in range(256) if s != op.PAD], np.uint64)
-            assert (10 ** op.log_probabilities(model, head + symbols)).sum() == pytest.approx(1, abs=1e-9)
+    learned = np.concatenate([gram for _, gram in op.text_grams(raw, starts, 1 << 20)])
+    contexts = (b"\xff" * 5, b"e cat", b"zzzzz", b"on th", b"\xff\xffthe", b"qqqat")
+    symbols = np.array([s for s in range(256) if s != op.PAD], np.uint64)
+    asked = [np.uint64(int.from_bytes(c, "big") << 8) + symbols for c in contexts]
+    values = np.unique(np.concatenate([learned, *asked]))
+    own, seen = np.unique(learned, return_counts=True)
+    n = np.zeros(len(values), np.int64)
+    n[np.searchsorted(values, own)] = seen
+    last, place = np.unique(values & np.uint64((1 << 8 * op.LOW) - 1), return_inverse=True)
+    for least in (0, 2, 4):
+        low = op.low_nodes(last, np.bincount(place, n, len(last)), least)
+        log = op.group_logs(low, values, n, least)
+        for each in asked:
+            assert (10 ** log[np.searchsorted(values, each)]).sum() == pytest.approx(1, abs=1e-9)
 
 
 def test_held_out_texts_beat_the_baseline(spark):
@@ -114,15 +115,20 @@ def test_held_out_texts_beat_the_baseline(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
-def test_long_texts_in_parts(spark, monkeypatch):
-    docs = [(i, t, None, None, None) for i, t, *_ in awkward() if i in (1, 4, 8, 10)]
-    whole = {r.doc_id: r.score for r in op.score(spark.createDataFrame(docs, SCHEMA)).collect()}
-    model = op.Model(op.Lookup(np.zeros(0, np.uint64)), np.zeros(0), np.zeros(1), 0.0, -math.log10(op.SYMBOLS))
-    raw, starts = np.frombuffer(b"abc" * 1000, np.uint8), np.array([0, 1000, 1000, 3000])
-    sizes = -op.text_scores(model, raw, starts) / math.log10(op.SYMBOLS)
+def test_long_texts_in_parts(monkeypatch):
+    """A text that is read in parts gives what it gives as a whole: its sum, words and each unusual gram once with its number."""
+    text = b"abc" * 700 + b" abd" * 300
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": pa.array([text, b"", b"abc"], pa.binary())})
+    known = np.sort(np.array([int.from_bytes(b"bcabca", "big"), int.from_bytes(b"abcabc", "big")], np.uint64))
+    head, common = SimpleNamespace(value=(op.Lookup(known), np.array([-0.5, -0.25, 0.0]))), SimpleNamespace(value={b"abd": -1.0})
+    whole = pa.Table.from_batches(op._scored(head, common)(iter([batch]))).to_pylist()
     monkeypatch.setattr(op, "_PART", 7)
-    assert np.allclose(sizes, [1001, 1, 2001]) and np.allclose(sizes, -op.text_scores(model, raw, starts) / math.log10(op.SYMBOLS))
-    assert all(v < 0 for v in whole.values())
+    assert pa.Table.from_batches(op._scored(head, common)(iter([batch]))).to_pylist() == whole
+    grams = Counter(int.from_bytes((b"\xff" * 5 + text + b"\xfe")[i : i + 6], "big") for i in range(len(text) + 1))
+    assert whole[0]["score"] == pytest.approx(sum(grams[int(g)] * w for g, w in zip(known, (-0.5, -0.25))))
+    unusual = {g["gram"]: g["n"] for g in whole[0]["tail_grams"]}
+    assert unusual == {g: n for g, n in grams.items() if g not in set(map(int, known))}
+    assert len(whole[0]["tail_grams"]) == len(unusual)
 
 
 def test_awkward_rows(spark):
