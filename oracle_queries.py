@@ -268,7 +268,7 @@ def oracle_sql() -> dict[str, str]:
         "null_counts": f"""with {EM} select
             {", ".join(f"cast(sum(case when {c} is null then 1 else 0 end) as bigint) as null_{c}"
                        for c in "state_code county_name pct_diabetes pct_obesity pct_current_smoker".split())} from em""",
-        "dq_report": f"with {CHECKS} select *, cast(null as varchar) as error from checks",
+        **dict.fromkeys(["dq_report", "dq_report_by_load"], f"with {CHECKS} select *, cast(null as varchar) as error from checks"),
         "dq_report_flat": f"with {CHECKS} select * exclude (check_no), cast(null as varchar) as error from checks",
         "dq_summary": f"""with {CHECKS} select count(*) as total_checks,
             cast(sum(case when status = 'PASS' then 1 else 0 end) as bigint) as passed,

@@ -51,6 +51,12 @@ def count_if_true(predicate: Column) -> Column:
     return F.coalesce(F.sum(F.when(predicate, 1).otherwise(0)), F.lit(0)).cast("bigint")
 
 
+def missing_in(roles: Mapping[str, str], columns: list[str]) -> dict[str, Column]:
+    """Whether a row lacks its state, county or diabetes measure, for those roles whose columns exist."""
+    predicates = {"state": Column.isNull, "county": Column.isNull, "diabetes": is_missing}
+    return {role: missing(F.col(roles[role])) for role, missing in predicates.items() if roles[role] in columns}
+
+
 def _facts(roles: Mapping[str, str], columns: list[str]) -> dict[str, Column]:
     """Everything the checks need, from the columns that exist, for a single aggregate."""
     facts = {"records": F.count(F.lit(1))}
@@ -62,15 +68,7 @@ def _facts(roles: Mapping[str, str], columns: list[str]) -> dict[str, Column]:
             "max_load": F.max(at),
             "load_dates": F.count_distinct(F.to_date(at)),
         }
-    predicates = {
-        "state": lambda c: c.isNull(),
-        "county": lambda c: c.isNull(),
-        "diabetes": is_missing,
-    }
-    for role, missing in predicates.items():
-        if roles[role] in columns:
-            facts[f"missing_{role}"] = count_if_true(missing(F.col(roles[role])))
-    return facts
+    return facts | {f"missing_{role}": count_if_true(missing) for role, missing in missing_in(roles, columns).items()}
 
 
 def _row(number: int, name: str, status: Column, **details: Column) -> Column:
@@ -137,6 +135,19 @@ def quality_report(
     ``as_of`` is the time of the check (default: now). A check whose columns the table lacks, or whose load
     times cannot be read, has status ``ERROR``; the others still run.
     """
+    facts = df.agg(*[value.alias(name) for name, value in _facts(roles, df.columns).items()])
+    return report_of_facts(facts, df.columns, as_of, roles, max_hours, max_days)
+
+
+def report_of_facts(
+    facts: DataFrame,
+    columns: list[str],
+    as_of: Column | None = None,
+    roles: Mapping[str, str] = RAW_ROLES,
+    max_hours: int = MAX_HOURS_OLD,
+    max_days: int = MAX_DAYS_OLD,
+) -> DataFrame:
+    """The four checks from the one row of ``facts`` about a table with these columns."""
     as_of = F.current_timestamp() if as_of is None else as_of
     checks = {
         FRESHNESS: lambda: _freshness(as_of, max_hours),
@@ -146,7 +157,7 @@ def quality_report(
     }
     rows = []
     for number, (name, details) in enumerate(checks.items(), start=1):
-        absent = [roles[r] for r in _NEEDS[name] if roles[r] not in df.columns]
+        absent = [roles[r] for r in _NEEDS[name] if roles[r] not in columns]
         if absent:
             rows.append(_row(number, name, F.lit(ERROR), error=F.lit(f"no column {', '.join(absent)}")))
         else:
@@ -157,7 +168,6 @@ def quality_report(
                 found = {f: F.when(~bad, c) for f, c in found.items()}
                 found |= {"status": F.when(bad, ERROR).otherwise(found["status"]), "error": F.when(bad, text)}
             rows.append(_row(number, name, **found))
-    facts = df.agg(*[value.alias(name) for name, value in _facts(roles, df.columns).items()])
     return facts.select(F.inline(F.array(*rows)))
 
 

@@ -16,7 +16,7 @@ from prevascope.operators.contracts import contract_report
 from prevascope.operators.groups import GroupShape
 from prevascope.operators.mart import ALLOW, ERROR, assert_one_profile_per_group, mart_order, scorecard
 from prevascope.operators.profile import group_profile
-from prevascope.operators.quality import assert_quality, quality_report_of_table
+from prevascope.operators.quality import assert_quality
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
 from prevascope.plans.publish import KEEP, new_run, version_of, versions, write_version
@@ -28,7 +28,7 @@ from prevascope.sources.landing import AUTO as ANY_LAYOUT
 from prevascope.sources.landing import LANDING_SCHEMA, landing_files, read_landing_directory, with_load_provenance
 from prevascope.sources.raw_table import append_by_name, ensure_namespace, quarantine_of
 from prevascope.sources.reports import nest_report, save_report
-from prevascope.streaming.ingest import ensure_tables, load_files
+from prevascope.streaming.ingest import ensure_tables, load_files, quality_report_of_loads
 
 CREATED, UPDATED = "dbt_created_at", "dbt_updated_at"
 
@@ -148,8 +148,8 @@ def check_models(models: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_raw(spark: SparkSession, layers: Layers = Layers(), **options) -> DataFrame:
-    """Quality report of the raw table."""
-    return quality_report_of_table(spark, layers.raw, **options)
+    """Quality report of the raw table, from what its loads have noted."""
+    return quality_report_of_loads(spark, layers.raw, **options)
 
 
 def run_all(

@@ -4,6 +4,9 @@
 batch is written, a batch is entered once all its rows are, and its rows are a partition of the raw table that a repeated
 batch replaces: whatever a failed run leaves behind, the next one brings to the same end. Batch names are unique to
 the run that planned them. The ledger alone decides what is loaded; a stream's checkpoint only saves listing files again.
+
+A batch's quality facts are taken while its rows are written and entered with it, so that the checks of the raw table
+(:func:`quality_report_of_loads`) read the ledger and scan only rows that have come another way.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from prevascope.config import LANDING_MARK
+from prevascope.operators.observed import combined, load_facts
+from prevascope.operators.quality import quality_report_of_table, report_of_facts
 from prevascope.session import materialise
 from prevascope.sources.landing import (
     AUTO,
@@ -66,30 +71,38 @@ def ensure_tables(spark: SparkSession, table: str, schema: T.StructType) -> None
     raw = T.StructType([*schema.fields, *T.StructType.fromDDL(end).fields])
     lost = T.StructType.fromDDL(f"source_file string, content string, loaded_at timestamp, {BATCH} string")
     files = T.StructType.fromDDL("path string, length long, modified timestamp, batch string")
-    batches = T.StructType.fromDDL("batch string, files long, unreadable long, loaded_at timestamp")
+    batches = T.StructType.fromDDL("batch string, files long, unreadable long, loaded_at timestamp, facts string")
     for name, kind in ((table, raw), (quarantine_of(table), lost), (files_of(table), files), (batches_of(table), batches)):
         if not spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields)
             spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet" + (f" PARTITIONED BY ({BATCH})" if BATCH in kind.names else ""))
 
 
-def _replace_batch(df: DataFrame, table: str, batch: str) -> None:
+def _by_batch(spark: SparkSession, table: str) -> bool:
+    """Whether a partition of ``table`` is a batch."""
+    return any(c.isPartition and c.name == BATCH for c in spark.catalog.listColumns(table))
+
+
+def _replace_batch(df: DataFrame, table: str, batch: str) -> bool:
     """Make ``df`` the rows of the batch in ``table``, whatever an earlier attempt has left.
 
-    In a table without partitions, which another kind of load has created, rows that are there stay.
+    In a table without partitions, which another kind of load has created, rows that are there stay; then nothing is written, which
+    the result says.
     """
     spark = df.sparkSession
     df = df.withColumn(BATCH, F.lit(batch))
     if not spark.catalog.tableExists(table):
         df.write.partitionBy(BATCH).saveAsTable(table)
-        return
-    if any(c.isPartition and c.name == BATCH for c in spark.catalog.listColumns(table)):
+        return True
+    if _by_batch(spark, table):
         rows = aligned(df, table)
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{batch}') SELECT * FROM {{rows}}", rows=rows.drop(BATCH))
     elif BATCH in spark.table(table).columns and not spark.table(table).where(F.col(BATCH) == batch).isEmpty():
         log.warning("batch %s is in %s already", batch, table)
+        return False
     else:
         append_by_name(df, table)
+    return True
 
 
 @contextmanager
@@ -113,29 +126,49 @@ def _turn(spark: SparkSession, table: str, lease: float = LEASE_SECONDS) -> Iter
         fs.delete(path, False)
 
 
+def _new_batches() -> str:
+    """What the names of a run's batches begin with."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+
+
 def _plan(files: DataFrame, table: str, most: int) -> None:
     """Enter the files that are new into the ledger, dealt to batches of about ``most`` files."""
     spark = files.sparkSession
     fresh = files.join(spark.table(files_of(table)).select(*FILE), FILE, "left_anti")
     count = fresh.count()
     if count:
-        run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+        run = _new_batches()
         number = F.pmod(F.xxhash64("path"), F.lit(math.ceil(count / most)))
         fresh.withColumn("batch", F.format_string(f"{run}-%06d", number)).write.insertInto(files_of(table))
 
 
-def _load_batch(landed: Landed, schema: T.StructType, table: str, batch: str) -> int:
-    """Write a batch's records and, if any value is unreadable, its quarantine; returns the number of such values."""
+def _write_batch(rows: DataFrame, table: str, batch: str) -> str | None:
+    """Write a batch's rows; returns their facts, None if they were there."""
+    taken = Observation()
+    observed = rows.observe(taken, load_facts(rows.columns).alias("facts"))
+    return taken.get["facts"] if _replace_batch(observed, table, batch) else None
+
+
+def _enter(spark: SparkSession, table: str, batch: str, files: int, unreadable: int, facts: str | None) -> None:
+    """Enter a batch into the ledger: from here on it is loaded."""
+    values = {"batch": batch, "files": files, "unreadable": unreadable, "facts": facts}
+    row = spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()], F.current_timestamp().alias("loaded_at"))
+    append_by_name(row, batches_of(table))
+
+
+def _load_batch(landed: Landed, schema: T.StructType, table: str, batch: str) -> tuple[int, str | None]:
+    """Write a batch's records and, if any value is unreadable, its quarantine; returns the number of such values, and the facts."""
     seen = Observation()
-    values = landed.values.observe(seen, F.count_if(F.col("records").isNull()).alias("unreadable"))
-    _replace_batch(with_load_provenance(records_of(values, schema)), table, batch)
-    lost = seen.get["unreadable"]
+    unread = F.count_if(F.col("records").isNull()).alias("unreadable")
+    values = landed.values.observe(seen, unread)
+    facts = _write_batch(with_load_provenance(records_of(values, schema)), table, batch)
+    lost = seen.get["unreadable"] if facts else landed.values.agg(unread).first().unreadable
     if lost:
         quarantine = materialise(unreadable(landed.values), "quarantine")
         for row in quarantine.groupBy("source_file").count().toLocalIterator():
             log.warning("unreadable: %s (%d values)", row.source_file, row["count"])
         _replace_batch(with_load_provenance(quarantine), quarantine_of(table), batch)
-    return lost
+    return lost, facts
 
 
 def load_files(
@@ -159,11 +192,45 @@ def load_files(
         for batch in batches:
             paths = [r.path for r in waiting.where(F.col("batch") == batch).select("path").collect()]  # of one batch
             landed = read_landing(spark, [escaped(p) for p in paths], schema, layout)
-            lost = _load_batch(landed, schema, table, batch)
-            spark.sql(f"INSERT INTO {batches_of(table)} VALUES ('{batch}', {len(paths)}, {lost}, current_timestamp())")
+            lost, facts = _load_batch(landed, schema, table, batch)
+            _enter(spark, table, batch, len(paths), lost, facts)
     return len(batches)
 
 
+def load_frame(df: DataFrame, table: str) -> str:
+    """Append ``df`` (with its own loaded_at and source_file, if any) to the raw table as a batch; returns the batch's name.
+
+    Nothing tells a frame apart, so a second call appends it again; a call that fails may leave rows of a batch that is not entered.
+    """
+    spark = df.sparkSession
+    ensure_tables(spark, table, T.StructType([f for f in df.schema.fields if f.name not in ("source_file", "loaded_at")]))
+    batch = _new_batches() + "-000000"
+    with _turn(spark, table):
+        _enter(spark, table, batch, 0, 0, _write_batch(df, table, batch))
+    return batch
+
+
+def quality_report_of_loads(spark: SparkSession, table: str, **options) -> DataFrame:
+    """:func:`~prevascope.operators.quality.quality_report` of a raw table from the facts of its batches.
+
+    Rows without facts, of loads that did not go through the ledger, are scanned, and nothing else is: those of other partitions,
+    or the whole of a table without partitions. Batches whose partition has been dropped do not count. Other ``roles`` than
+    those of the raw table take a scan. Rows added to a batch's partition by hand are not seen.
+    """
+    known = spark.catalog.tableExists(table) and spark.catalog.tableExists(batches_of(table)) and _by_batch(spark, table)
+    if not known or "roles" in options or "facts" not in spark.table(batches_of(table)).columns:
+        return quality_report_of_table(spark, table, **options)
+    raw = spark.table(table)
+    there = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring("partition", len(BATCH) + 2, 1 << 20).alias("batch"))
+    taken = spark.table(batches_of(table)).where("facts is not null").join(there, "batch", "left_semi").select("batch", "facts")
+    others = [r.batch for r in there.join(taken, "batch", "left_anti").collect()]  # names of partitions
+    facts = taken.select("facts")
+    if others:
+        scanned = raw.where(F.col(BATCH).isNull() | F.col(BATCH).isin(others)).agg(load_facts(raw.columns).alias("facts"))
+        facts = facts.unionByName(scanned)
+    return report_of_facts(combined(facts), raw.columns, **options)
+
+
 def ingest_new_files(
     spark: SparkSession,
     directory: str,
