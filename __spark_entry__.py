@@ -23,7 +23,7 @@ from prevascope.operators.dedupe import latest_per_entity as keep_latest  # noqa
 from prevascope.operators.groups import GroupShape  # noqa: E402
 from prevascope.operators.numbering import numbered_by_sort  # noqa: E402
 from prevascope.operators.order_index import POSITION, build_order_index  # noqa: E402
-from prevascope.plans.layers import CREATED, UPDATED, Layers, build_models, load_directory  # noqa: E402
+from prevascope.plans.layers import CREATED, UPDATED, Layers, build_models, check_versions, load_directory  # noqa: E402
 from prevascope.plans.staging import stage  # noqa: E402
 from prevascope.session import materialise, scratch_path  # noqa: E402
 from prevascope.sources import landing, raw_table, reports  # noqa: E402
@@ -326,6 +326,13 @@ def layer_audit(spark, folder):
     return stamped[0].unionByName(stamped[1]).unionByName(stamped[2]).unionByName(stamped[3])
 
 
+def layer_contracts(spark, folder):
+    """Rows that break the contracts of the layers, counted while these are written."""
+    where = _layers_from_raw(spark, folder)
+    build_models(spark, where)
+    return check_versions(spark, where)
+
+
 def list_tables(spark, folder):
     """Tables of two namespaces of the catalog, with their records by name, one of them missing."""
     tag = uuid.uuid4().hex
@@ -567,7 +574,7 @@ def queries() -> dict[str, Query]:
         left_join_context, threshold_flags, burden_score, quality_status, mart_ordered, mart_ordered_top,
         staging, unpivot_measures, state_filter, measure_filter,
         json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once,
-        ingest_after_lost_checkpoint, append_loads, layer_tables, layer_rebuild, layer_audit, list_tables, merge_batch, year_filter,
+        ingest_after_lost_checkpoint, append_loads, layer_tables, layer_rebuild, layer_audit, layer_contracts, list_tables, merge_batch, year_filter,
         page_by_index, latest_by_index, pages_by_cursor, series_positions,
         report_top_groups, latest_per_entity, provenance, page_of_table, page_of_table_deep,
         record_counts, table_counts, freshness, date_range, null_counts, dq_report, dq_report_by_load, dq_summary, dq_report_flat,

@@ -176,6 +176,18 @@ checks as (
 PARTIES = """select s_suppkey as id, s_name as name, s_nationkey as nation, s_acctbal as balance from supplier
             union all select c_custkey, c_name, c_nationkey, c_acctbal from customer"""
 
+LAYER_RULES = [
+    *[(model, name, column, "not_null", f"{column} is null") for model, name, column in [
+        ("staging", "em", "state_code"), ("staging", "em", "county_name"), ("ranking", "ranked", "state_code"),
+        ("ranking", "ranked", "county_name"), ("profile", "profile", "state_code"), ("mart", "mart", "state_code"),
+        ("mart", "mart", "county_fips"),
+    ]],
+    # nations of the sample stand for states, so that none of them is a state's code
+    ("profile", "profile", "state_code", "accepted_values", "length(state_code) <> 2"),
+    ("mart", "mart", "data_quality_status", "accepted_values",
+     "data_quality_status not in ('Valid', 'Incomplete Data', 'Small Population')"),
+]
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -230,6 +242,12 @@ def oracle_sql() -> dict[str, str]:
         "ingest_after_lost_checkpoint": PARTIES,
         "layer_tables": f"{mart} select * from mart",
         "layer_rebuild": f"{mart} select * from mart",
+        "layer_contracts": f"with {EM}, {RANKED}, {PROFILE}, {MART} " + " union all ".join(
+            f"""select '{model}' as model, '{column}' as column_name, '{rule}' as rule, f as failures,
+                case when f = 0 then 'PASS' else 'FAIL' end as status
+                from (select cast(count(*) filter (where {broken}) as bigint) as f from {name})"""
+            for model, name, column, rule, broken in LAYER_RULES
+        ),
         "layer_audit": f"""with {EM}, counted as (
             select unnest(['staging', 'ranking', 'mart']) as model, (select count(*) from em) as records
             union all select 'profile', (select count(*) from (select distinct state_code, state_name from em)))

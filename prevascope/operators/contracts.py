@@ -1,12 +1,12 @@
-"""Column contracts: failing rows per rule."""
+"""Column contracts: failing rows per rule, from a scan or counted while a model is written."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prevascope.config import INCOMPLETE, SMALL, STATE_CODES, VALID
@@ -49,9 +49,24 @@ MODEL_RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
+def failure_counts(rules: Sequence[Rule]) -> list[Column]:
+    """An aggregate for each rule, in order: the rows that break it."""
+    return [count_if_true(r.broken()).alias(f"_{i}") for i, r in enumerate(rules)]
+
+
 def contract_failures(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
     """``model, column_name, rule, failures, status`` for each rule, from one scan."""
-    counts = df.agg(*[count_if_true(r.broken()).alias(f"_{i}") for i, r in enumerate(rules)])
+    return failures_of_counts(df.agg(*failure_counts(rules)), model, rules)
+
+
+def noted_failures(spark: SparkSession, model: str, rules: Sequence[Rule], counts: Mapping[str, int]) -> DataFrame:
+    """:func:`contract_failures` from :func:`failure_counts` taken before."""
+    known = spark.range(1).select(*[F.lit(counts[f"_{i}"]).cast("bigint").alias(f"_{i}") for i in range(len(rules))])
+    return failures_of_counts(known, model, rules)
+
+
+def failures_of_counts(counts: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
+    """``model, column_name, rule, failures, status`` for each rule from the one row of ``counts``."""
     rows = [
         F.struct(
             F.lit(model).alias("model"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,14 @@ from pyspark.sql.types import StructType
 
 from prevascope.config import DEFAULT_CONFIG, LONG_LABELS, PrevalenceConfig
 from prevascope.functions.casts import BLANK_NULL
-from prevascope.operators.contracts import contract_report
+from prevascope.operators.contracts import MODEL_RULES, contract_failures, contract_report, noted_failures
 from prevascope.operators.groups import GroupShape
 from prevascope.operators.mart import ALLOW, ERROR, assert_one_profile_per_group, mart_order, scorecard
 from prevascope.operators.profile import group_profile
 from prevascope.operators.quality import assert_quality
 from prevascope.operators.ranking import AUTO, entity_ranking
 from prevascope.operators.reshape import unpivot_measures
-from prevascope.plans.publish import KEEP, new_run, version_of, versions, write_version
+from prevascope.plans.publish import KEEP, counting, new_run, note_counts, noted_counts, version_of, versions, write_version
 from prevascope.plans.publish import MARK as VERSION_MARK
 from prevascope.plans.publish import publish as switch_views
 from prevascope.plans.staging import stage
@@ -86,6 +87,16 @@ def load_directory(
     return spark.table(quarantine_of(layers.raw))
 
 
+def _write_model(df: DataFrame, table: str, run: str, model: str) -> DataFrame:
+    """:func:`write_version` that counts the rows that break the model's contracts on the way and notes them with the version."""
+    rules = MODEL_RULES[model]
+    counted, seen = counting(df, rules)
+    written = write_version(counted, table, run)
+    if seen:
+        note_counts(df.sparkSession, version_of(table, run), rules, seen)
+    return written
+
+
 def build_models(
     spark: SparkSession,
     layers: Layers = Layers(),
@@ -110,7 +121,7 @@ def build_models(
         ensure_namespace(spark, name)
     run = new_run()
     by_entity = [F.col(cfg.group_key).asc_nulls_last(), F.col(cfg.entity_name).asc_nulls_last()]
-    staged = write_version(with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging, run)
+    staged = _write_model(with_audit(stage(spark.table(layers.raw), cast_mode, dedupe), CREATED), layers.staging, run, "staging")
     long = unpivot_measures(staged, cfg.keys, LONG_LABELS)
     long.createOrReplaceTempView(layers.long)
 
@@ -118,16 +129,16 @@ def build_models(
     shape = GroupShape.of(staged, cfg.group_cols)
     with ThreadPoolExecutor(max_workers=2) as pool:
         ranked = entity_ranking(staged, cfg, method, shape).sortWithinPartitions(*by_entity)
-        ranking = pool.submit(write_version, with_audit(ranked, CREATED), layers.ranking, run)
+        ranking = pool.submit(_write_model, with_audit(ranked, CREATED), layers.ranking, run, "ranking")
         profiled = group_profile(staged, cfg, shape, entity_unique=dedupe).orderBy(by_entity[0])
-        profile = pool.submit(write_version, with_audit(profiled, CREATED), layers.profile, run)
+        profile = pool.submit(_write_model, with_audit(profiled, CREATED), layers.profile, run, "profile")
     ranking, profile = ranking.result(), profile.result()
     if on_fanout == ERROR:
         if shape.profiles != shape.groups:
             assert_one_profile_per_group(profile, cfg)
         on_fanout = ALLOW
     scored = scorecard(ranking, profile, cfg, shape.profiles, on_fanout).orderBy(*mart_order(cfg))
-    mart = write_version(with_audit(scored, CREATED, UPDATED), layers.mart, run)
+    mart = _write_model(with_audit(scored, CREATED, UPDATED), layers.mart, run, "mart")
     models = {"staging": staged, "long": long, "ranking": ranking, "profile": profile, "mart": mart}
     if publish:
         publish_models(spark, layers, run)
@@ -137,9 +148,12 @@ def build_models(
 def publish_models(spark: SparkSession, layers: Layers = Layers(), run: str | None = None, keep: int = KEEP) -> None:
     """Let the views show the models of a run (default: the newest complete one), the scorecard last."""
     tables = [layers.staging, layers.ranking, layers.profile, layers.mart]
-    if run is None:
-        run = versions(spark, layers.mart)[-1].rsplit(VERSION_MARK, 1)[1]
-    switch_views(spark, {t: version_of(t, run) for t in tables}, keep)
+    switch_views(spark, {t: version_of(t, run or newest_run(spark, layers)) for t in tables}, keep)
+
+
+def newest_run(spark: SparkSession, layers: Layers = Layers()) -> str:
+    """The newest run whose models are all written, published or not."""
+    return versions(spark, layers.mart)[-1].rsplit(VERSION_MARK, 1)[1]
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
@@ -147,6 +161,22 @@ def check_models(models: dict[str, DataFrame]) -> DataFrame:
     return contract_report({name: df for name, df in models.items() if name != "long"})
 
 
+def check_versions(spark: SparkSession, layers: Layers = Layers(), run: str | None = None) -> DataFrame:
+    """Contract failures of the models of a run (default: the newest complete one), as counted while they were written.
+
+    A version without such counts is scanned.
+    """
+    run = run or newest_run(spark, layers)
+    tables = {"staging": layers.staging, "ranking": layers.ranking, "profile": layers.profile, "mart": layers.mart}
+    parts = []
+    for model, table in tables.items():
+        version, rules = version_of(table, run), MODEL_RULES[model]
+        counts = noted_counts(spark, version, rules)
+        noted = counts and noted_failures(spark, model, rules, counts)
+        parts.append(noted or contract_failures(spark.table(version), model, rules))
+    return reduce(DataFrame.union, parts)
+
+
 def check_raw(spark: SparkSession, layers: Layers = Layers(), **options) -> DataFrame:
     """Quality report of the raw table, from what its loads have noted."""
     return quality_report_of_loads(spark, layers.raw, **options)
@@ -170,7 +200,7 @@ def run_all(
     with scratch_scope(spark):
         load_directory(spark, directory, layers, layout)
         models = build_models(spark, layers, cfg, publish=False)
-    broken = check_models(models).where("failures > 0").collect()
+    broken = check_versions(spark, layers).where("failures > 0").collect()
     if broken:
         raise ContractError("; ".join(f"{r.model}.{r.column_name} {r.rule}: {r.failures} rows" for r in broken))
     publish_models(spark, layers)

@@ -7,15 +7,20 @@ nothing that readers see. Versions beyond the newest few are dropped by the run
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+from prevascope.operators.contracts import Rule, failure_counts
 
 #: Published versions of a table that stay.
 KEEP = 2
 MARK = "__v"
+#: Property of a version that holds its contract failures.
+NOTE = "contract_failures"
 
 
 def new_run() -> str:
@@ -34,6 +39,32 @@ def write_version(df: DataFrame, table: str, run: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def counting(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation | None]:
+    """``df`` that counts the rows that break each rule as it is written, None if the column of one is not there."""
+    if not rules or not all(r.column in df.columns for r in rules):
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *failure_counts(rules)), seen
+
+
+def note_counts(spark: SparkSession, version: str, rules: Sequence[Rule], seen: Observation) -> None:
+    """Keep what was counted while ``version`` was written as a property of it."""
+    note = json.dumps({_text(r): seen.get[f"_{i}"] for i, r in enumerate(rules)}).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{NOTE}' = '{note}')")
+
+
+def _text(rule: Rule) -> str:
+    return f"{rule.rule} {rule.column} {getattr(rule, 'values', '')}"
+
+
+def noted_counts(spark: SparkSession, version: str, rules: Sequence[Rule]) -> dict[str, int] | None:
+    """Rows of a version that break each rule, as counted when it was written; None if one was not counted."""
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {version}").collect()}
+    counts = json.loads(properties.get(NOTE, "{}"))
+    found = {f"_{i}": counts.get(_text(r)) for i, r in enumerate(rules)}
+    return None if None in found.values() else found
+
+
 def versions(spark: SparkSession, table: str) -> list[str]:
     """Versions of ``table``, oldest first, published or not."""
     space, name = table.rsplit(".", 1)

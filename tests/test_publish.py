@@ -6,11 +6,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from prevascope.operators.contracts import AcceptedValues, NotNull
 from prevascope.operators.current import current_parts, merge_batch, parts_of
 from prevascope.operators.dedupe import latest_per_entity
 from prevascope.operators.order_index import OrderIndex, build_order_index
 from prevascope.plans import layers as plans
-from prevascope.plans.publish import published, versions
+from prevascope.plans.publish import counting, note_counts, noted_counts, published, versions, write_version
 from prevascope.sources import raw_table
 from tests.test_layers import RECORDS, landing, layers, record  # noqa: F401
 
@@ -201,3 +202,31 @@ def test_index_is_read_again_from_its_folder(spark, index):
 def test_empty_index(spark, tmp_path):
     index = build_order_index(spark.createDataFrame([], "a int, b string"), ["a"], str(tmp_path / "none"))
     assert index.count() == 0 and not index.page(0, 5).collect() and not index.last(3).collect() and not index.after({"a": 1}, 3).collect()
+
+
+def test_contracts_are_counted_while_writing(spark, landing, monkeypatch):  # noqa: F811
+    where = layers("noted")
+    (landing / "places_county_2.json").write_text(json.dumps([record("XX", "Nowhere", "99001", "9.0")]))
+    plans.load_directory(spark, str(landing), where)
+    models = plans.build_models(spark, where)
+    expected = sorted(map(tuple, plans.check_models(models).collect()))
+    noted = plans.check_versions(spark, where)
+    assert not noted.inputFiles() and sorted(map(tuple, noted.collect())) == expected
+    assert ("profile", "state_code", "accepted_values", 1, "FAIL") in expected
+    version = plans.version_of(where.profile, plans.newest_run(spark, where))
+    spark.sql(f"ALTER TABLE {version} UNSET TBLPROPERTIES ('contract_failures')")
+    scanned = plans.check_versions(spark, where)
+    assert scanned.inputFiles() and sorted(map(tuple, scanned.collect())) == expected
+
+
+def test_rules_of_other_columns_are_not_noted(spark):
+    raw_table.ensure_namespace(spark, "odd_rules")
+    df = spark.createDataFrame([("it's", None), (None, "b\\c")], "a string, b string")
+    rules = [NotNull("a"), AcceptedValues("b", ("b\\c", "it's"))]
+    counted, seen = counting(df, rules)
+    write_version(counted, "odd_rules.t", "r1")
+    note_counts(spark, "odd_rules.t__vr1", rules, seen)
+    assert noted_counts(spark, "odd_rules.t__vr1", rules) == {"_0": 1, "_1": 0}
+    assert noted_counts(spark, "odd_rules.t__vr1", [*rules, NotNull("b")]) is None
+    assert counting(df, [NotNull("c")]) == (df, None)
+    spark.sql("DROP SCHEMA odd_rules CASCADE")
