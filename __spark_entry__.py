@@ -6,7 +6,7 @@ import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -333,6 +333,41 @@ def layer_contracts(spark, folder):
     return check_versions(spark, where)
 
 
+def _stored(df, *columns):
+    """Columns of a written model with the place each row has in the files."""
+    return df.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+
+
+def ranking_stored_order(spark, folder):
+    """Rows of the stored ranking, and those that stand before a row of their file that they should follow."""
+    ranking = build_models(spark, _layers_from_raw(spark, folder))["ranking"]
+    before = Window.partitionBy("file").orderBy("at")  # a file is what one task has written
+    keys = F.struct("state_code", "county_name")
+    placed = _stored(ranking, "state_code", "county_name").withColumn("misplaced", (F.lag(keys).over(before) > keys).cast("bigint"))
+    return placed.agg(F.count(F.lit(1)).alias("records"), F.coalesce(F.sum("misplaced"), F.lit(0)).alias("misplaced"))
+
+
+def profile_stored_order(spark, folder):
+    """Groups in the order in which the stored profile's files hold them."""
+    profiles = build_models(spark, _layers_from_raw(spark, folder))["profile"]
+    return numbered_by_sort(_stored(profiles, "state_code"), [], [F.col("file"), F.col("at")], "position", keep=["state_code"])
+
+
+def quality_gate(spark, folder):
+    """What the gate says of the events at two times, one shortly after the last and one long after; empty where it opens."""
+    events = loads_of_events(spark, folder).where("stateabbr is not null")
+    last = events.agg(F.max("loaded_at").alias("last")).first()["last"]
+    said = []
+    for hours in (1, 24 * 365):
+        report = quality.quality_report(events, F.lit(last + timedelta(hours=hours)))
+        try:
+            quality.assert_quality(report)
+            said.append((hours, ""))
+        except quality.QualityGateError as error:
+            said.append((hours, str(error)))
+    return spark.createDataFrame(said, "hours int, refusal string")
+
+
 def list_tables(spark, folder):
     """Tables of two namespaces of the catalog, with their records by name, one of them missing."""
     tag = uuid.uuid4().hex
@@ -574,7 +609,8 @@ def queries() -> dict[str, Query]:
         left_join_context, threshold_flags, burden_score, quality_status, mart_ordered, mart_ordered_top,
         staging, unpivot_measures, state_filter, measure_filter,
         json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once,
-        ingest_after_lost_checkpoint, append_loads, layer_tables, layer_rebuild, layer_audit, layer_contracts, list_tables, merge_batch, year_filter,
+        ingest_after_lost_checkpoint, append_loads, layer_tables, layer_rebuild, layer_audit, layer_contracts,
+        ranking_stored_order, profile_stored_order, quality_gate, list_tables, merge_batch, year_filter,
         page_by_index, latest_by_index, pages_by_cursor, series_positions,
         report_top_groups, latest_per_entity, provenance, page_of_table, page_of_table_deep,
         record_counts, table_counts, freshness, date_range, null_counts, dq_report, dq_report_by_load, dq_summary, dq_report_flat,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from prevascope.config import STATE_CODES
+
 EM = """
 em as (
   select n_name as state_code, r_name as state_name, c_name as county_name,
@@ -182,8 +184,8 @@ LAYER_RULES = [
         ("ranking", "ranked", "county_name"), ("profile", "profile", "state_code"), ("mart", "mart", "state_code"),
         ("mart", "mart", "county_fips"),
     ]],
-    # nations of the sample stand for states, so that none of them is a state's code
-    ("profile", "profile", "state_code", "accepted_values", "length(state_code) <> 2"),
+    # nations of the sample stand for states
+    ("profile", "profile", "state_code", "accepted_values", f"state_code not in {tuple(STATE_CODES)}"),
     ("mart", "mart", "data_quality_status", "accepted_values",
      "data_quality_status not in ('Valid', 'Incomplete Data', 'Small Population')"),
 ]
@@ -242,6 +244,15 @@ def oracle_sql() -> dict[str, str]:
         "ingest_after_lost_checkpoint": PARTIES,
         "layer_tables": f"{mart} select * from mart",
         "layer_rebuild": f"{mart} select * from mart",
+        "ranking_stored_order": f"with {EM} select count(*) as records, cast(0 as bigint) as misplaced from em",
+        "profile_stored_order": f"with {EM} select state_code, row_number() over (order by state_code) as position from (select distinct state_code from em)",
+        "quality_gate": """with g as (select cast(unnest([1, 8760]) as int) as hours),
+              c as (select count(*) filter (where user_id is null) as bad from events where event_type is not null)
+            select hours, concat_ws('; ',
+                case when hours > 24 then 'Data Freshness: FAIL Data is ' || hours || '.0 hours old (max: 24)' end,
+                case when bad > 0 then 'Null Values Check: FAIL' end,
+                case when hours >= 24 * 7 then 'Date Range Check: FAIL' end) as refusal
+            from g, c""",
         "layer_contracts": f"with {EM}, {RANKED}, {PROFILE}, {MART} " + " union all ".join(
             f"""select '{model}' as model, '{column}' as column_name, '{rule}' as rule, f as failures,
                 case when f = 0 then 'PASS' else 'FAIL' end as status
