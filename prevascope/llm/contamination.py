@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from prevascope.llm.common import (
     ALNUM, LOWER, bounded_batches, lowered, mixed, row_of, slices, text_bytes, text_key, text_or_empty, word_bounds, word_hashes,
 )
-from prevascope.session import materialise
+from prevascope.session import materialise, scratch_path
 
 WINDOW = 13
 #: Windows of benchmark items that one pass searches for; more items take more passes.
@@ -90,30 +90,48 @@ class Patterns:
         return np.concatenate(hits), np.concatenate(patterns)
 
 
-def patterns_of(items: list[tuple[str, list[bytes]]]) -> list[Patterns]:
-    """Windows of the items, those of each length together."""
-    owners: dict[bytes, set[str]] = defaultdict(set)
-    for item, words in items:
-        for i in range(max(1, len(words) - WINDOW + 1)) if words else ():
-            owners[b" ".join(words[i : i + WINDOW])].add(item)
+def patterns_of(windows: list[bytes], owners: list[list[str]]) -> list[Patterns]:
+    """Search tables of distinct windows, those of each length together."""
     by_length = defaultdict(list)
-    for text in sorted(owners):
-        by_length[text.count(b" ") + 1].append(text)
-    return [Patterns(texts, [sorted(owners[t]) for t in texts]) for _, texts in sorted(by_length.items())]
+    for text, items in sorted(zip(windows, owners)):
+        by_length[text.count(b" ") + 1].append((text, items))
+    return [Patterns([t for t, _ in group], [o for _, o in group]) for _, group in sorted(by_length.items())]
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, item) for the windows of each item."""
+    for batch in batches:
+        for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+            words = words_of(text)
+            first = range(max(1, len(words) - WINDOW + 1)) if words else ()
+            own = pa.array([b" ".join(words[i : i + WINDOW]) for i in first], pa.binary())
+            yield pa.RecordBatch.from_arrays([own, pa.array([item] * len(own), pa.string())], names=["window", "item"])
+
+
+def distinct_windows(benchmark: DataFrame, windows: int) -> tuple[str, int]:
+    """Path of a table (window, owners) of the benchmark, partitioned into passes, and their number.
+
+    Passes are dealt by the windows' hashes, so that each holds about ``windows`` pairs of a window and an item.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").cast("string").alias("text"))
+    pairs = items.mapInArrow(_windows, "window binary, item string")
+    owned = materialise(pairs.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("owners")), "windows")
+    total = owned.agg(F.sum(F.size("owners"))).head()[0] or 0
+    n_passes = max(1, -(-total // windows))
+    path = scratch_path(spark, "passes")
+    dealt = owned.withColumn("pass", F.pmod(F.xxhash64("window"), F.lit(n_passes)))
+    dealt.repartition("pass").write.partitionBy("pass").parquet(path)
+    return path, n_passes
 
 
 def passes(benchmark: DataFrame, windows: int = PASS_WINDOWS) -> Iterator[list[Patterns]]:
-    """Patterns of the items, at most about ``windows`` of them at a time."""
-    held, count = [], 0
-    for item, text in benchmark.select("item_id", "text").toLocalIterator():
-        words = words_of(text)
-        held.append((str(item) if item is not None else "null", words))
-        count += max(1, len(words) - WINDOW + 1)
-        if count >= windows:
-            yield patterns_of(held)
-            held, count = [], 0
-    if held or not count:
-        yield patterns_of(held)
+    """Patterns of the benchmark, about ``windows`` of them at a time; none for an empty one."""
+    path, n_passes = distinct_windows(benchmark, windows)
+    table = benchmark.sparkSession.read.schema("window binary, owners array<string>, pass long").parquet(path)
+    for k in range(n_passes):
+        held = table.where(F.col("pass") == k).select("window", "owners").toArrow()
+        yield patterns_of(held.column("window").to_pylist(), held.column("owners").to_pylist())
 
 
 def occurrences(patterns: list[Patterns], raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
@@ -181,7 +199,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, windows: int = PASS_WIN
     Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key. An item of fewer than ``WINDOW`` words
     is one window; null and empty texts have no words and give no window; items that share an id count
     once, and a null id counts as the id ``null``. Repeated documents each get their row; empty tables give
-    no rows or no hits. The benchmark is read in passes of bounded size, each over all documents.
+    no rows or no hits. Spark finds the distinct windows and deals them into passes of bounded size, each over all
+    documents; the driver builds the search tables of one pass at a time.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
