@@ -1,12 +1,15 @@
 """Personal data: identifiers by pattern, and the terms that give them away by co-occurrence.
 
-An identifier (address, number) is a protected entity with information ``-log2 P(e)``. A term ``t`` of its
-documents discloses ``log2 P(e|t) / P(e)`` of it, from counts of documents over the whole corpus, ``P(e|t)``
-smoothed. Terms that disclose at least the share ``disclosure`` of the entity's information are spans too, and are
-generalised or removed when a text is sanitised.
-
-A term held by many more documents than an entity cannot disclose it, so each entity has a most that a term may
-be held by, and only terms below it are paired. Entities of the same documents count as one.
+An identifier (address, number) is a protected entity ``e``. A term ``t`` discloses it if who knows the term is
+left with at most ``residual`` bits about the entity: ``-log2 P(e|t)``, where ``P(e|t)`` is the share of the
+passages with the term that lie in documents of the entity. Passages end at line breaks and at the end of
+sentences. Few passages prove little: ``P(e|t)`` is the lower end of its Wilson interval, whose number of
+observations is that of different passages, so that neither a word that stands once nor copies of one passage
+disclose anything, however large the corpus. The term must also stand in a passage with an identifier. Such
+terms are spans too, and are generalised or removed when a text is sanitised.
+
+A term of many more passages than an entity has cannot disclose it, so each entity has a most that a term may
+have, and only terms below it are paired. Entities of the same documents count as one.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prevascope.llm.common import ALNUM, Lookup, bounded_batches, lowered, row_of, slices, text_bytes, word_hashes
+from prevascope.llm.common import ALNUM, Lookup, bounded_batches, lowered, mixed, row_of, slices, text_bytes, word_hashes
 from prevascope.session import materialise
 
 #: Fixed formats of the base matches. Runs are taken whole, which gives the leftmost matches in linear time.
@@ -31,9 +34,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-SUPPORT, DISCLOSURE = 3, 0.95
-#: Share of documents from which all tasks know a term's count.
+#: Bits about an entity that may be left for a term to disclose it, and deviations of the lower bound.
+RESIDUAL, DEVIATIONS = 1.0, 1.645
+#: Passages for each document from which all tasks know a term's count.
 FREQUENT = 1e-3
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 Span = tuple[str, int, int]
 
@@ -99,7 +104,7 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("at", pa.int64()), ("to", p
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, digests, spans, entities, texts = [], [], [], [], []
+        counts, digests, spans, entities, passages, texts = [], [], [], [], [], []
         for text in batch.column("text"):
             text = text.as_py() or ""
             base = base_spans(text)
@@ -107,15 +112,22 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
             spans.append([{"kind": k, "at": s, "to": e} for k, s, e in base])
             entities.append(sorted({_entity(k, text[s:e]) for k, s, e in base}))
+            passages.append(int(passage_ends(np.frombuffer(text.encode(), np.uint8)).sum()) + 1 if base else 0)
             texts.append(text if base else None)
         columns = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(spans, _SPANS),
-             pa.array(entities, pa.list_(pa.string())), pa.array(texts, pa.string())],
-            names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "entities", "text"],
+             pa.array(entities, pa.list_(pa.string())), pa.array(passages, pa.int64()), pa.array(texts, pa.string())],
+            names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "entities", "passages", "text"],
         )
 
 
+def passage_ends(raw: np.ndarray) -> np.ndarray:
+    """Whether a passage ends at each byte: at line feeds, and at ``.!?`` before a space or tab."""
+    after = np.append(raw[1:], 0)
+    return (raw == 10) | (((raw == 46) | (raw == 33) | (raw == 63)) & ((after == 32) | (after == 9)))
+
+
 def outside(text: str, spans: list[dict]) -> bytes:
     """The text in UTF-8 with a space for each byte of the spans, so that positions stay."""
     parts, done = [], 0
@@ -132,33 +144,54 @@ def terms(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(lowered(np.frombuffer(raw, np.uint8)), np.array([0, len(raw)]), ALNUM)
 
 
+def passage_terms(text: str, base: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, content, near) for each distinct term of each passage, identifiers left out.
+
+    ``content`` is a hash of the words of the passage, ``near`` whether an identifier begins in it.
+    """
+    raw = np.frombuffer(text.encode(), np.uint8)
+    before = np.cumsum(passage_ends(raw))
+    hashes, places = terms(outside(text, base))
+    if not len(hashes):
+        return hashes, hashes, np.zeros(0, bool)
+    passage = before[places]
+    _, first, number = np.unique(passage, return_index=True, return_inverse=True)
+    nth = (np.arange(len(hashes)) - first[number]).astype(np.uint64)
+    content = np.add.reduceat(mixed(hashes + (nth + np.uint64(1)) * _STEP), first)
+    points = np.flatnonzero((raw & 0xC0) != 0x80)
+    near = np.isin(passage, before[points[[s["at"] for s in base]]])
+    _, kept = np.unique(hashes + passage.astype(np.uint64) * _STEP, return_index=True)
+    return hashes[kept], content[number[kept]], near[kept]
+
+
 def _row_terms(frequent):
-    """(row, term, holding) for each distinct term of a text outside its identifiers that at most ``most`` texts hold; 0 if not known."""
+    """(row, term, content, near, holding) of the terms of each passage that at most ``most`` passages hold; 0 if not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, counts = frequent.value
         for batch in batches:
-            rows, found, holding = ([np.zeros(0, np.int64)] for _ in range(3))
             for row, text, base, most in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "base", "most"))):
-                distinct = np.unique(terms(outside(text, base))[0])
-                n = counts[lookup.find(distinct)]  # -1, an unknown term, is the zero at the end
-                distinct, n = distinct[n <= most], n[n <= most]
-                rows.append(np.full(len(distinct), row, np.int64))
-                found.append(distinct.view(np.int64))
-                holding.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (rows, found, holding)], names=["row", "term", "holding"])
+                found, content, near = passage_terms(text, base)
+                n = counts[lookup.find(found)]  # -1, an unknown term, is the zero at the end
+                kept = n <= most
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(int(kept.sum()), row, np.int64)), pa.array(found[kept].view(np.int64)),
+                     pa.array(content[kept].view(np.int64)), pa.array(near[kept]), pa.array(n[kept])],
+                    names=["row", "term", "content", "near", "holding"],
+                )
 
     return run
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts of a batch hold each term."""
+def _passage_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many passages of a batch hold each term."""
     for batch in batches:
         for part in slices(batch, "text"):
             raw, starts = text_bytes(part.column("text"))
             hashes, places = word_hashes(lowered(raw), starts, ALNUM)
-            rows = row_of(places, starts).astype(np.uint64)
-            _, first = np.unique(hashes + rows * np.uint64(0x9E3779B97F4A7C15), return_index=True)
+            # both grow from place to place, so their sum tells passages apart
+            passage = (np.cumsum(passage_ends(raw))[places] + row_of(places, starts)).astype(np.uint64)
+            _, first = np.unique(hashes + passage * _STEP, return_index=True)
             distinct, n = np.unique(hashes[first], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n)], names=["term", "n"])
 
@@ -186,44 +219,55 @@ _SPAN_TYPE = "array<struct<kind:string,at:bigint,to:bigint>>"
 
 
 def holding_counts(docs: DataFrame) -> DataFrame:
-    """(term, holding): how many rows of ``docs`` hold each term."""
+    """(term, holding): how many passages of ``docs`` hold each term."""
     source = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts = source.mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("holding"))
+    counts = source.mapInArrow(_passage_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("holding"))
     return materialise(counts, "holding")
 
 
-def protected_entities(each: DataFrame, n_docs: int, support: int, disclosure: float, smoothing: float) -> DataFrame:
-    """(entity, entity_docs, most) of the entities of ``each`` (row, entity), one of those with the same rows.
+def protected_entities(each: DataFrame, n_docs: int, residual: float) -> DataFrame:
+    """(entity, most) of the entities of ``each`` (row, entity, passages), one of those with the same rows.
 
-    ``most`` is the number of documents beyond which a term cannot disclose the entity.
+    ``most`` is the number of passages beyond which a term cannot disclose the entity. An entity whose documents
+    are so many that it bears no more than ``residual`` bits is not protected.
     """
     marks = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"mark_{k}") for k in range(2)]
-    counted = each.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"), *marks)
-    counted = counted.where((F.col("entity_docs") >= support) & (F.col("entity_docs") < n_docs))
-    single = counted.groupBy("entity_docs", "mark_0", "mark_1").agg(F.min("entity").alias("entity"))
-    least = F.pow(F.col("entity_docs") / n_docs, F.lit(1 - disclosure))
-    return single.select("entity", "entity_docs", ((F.col("entity_docs") + smoothing) / least - 2 * smoothing + 1e-6).alias("most"))
+    counted = each.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"), F.sum("passages").alias("passages"), *marks)
+    counted = counted.where(-F.log2(F.col("entity_docs") / n_docs) > residual)
+    single = counted.groupBy("entity_docs", "passages", "mark_0", "mark_1").agg(F.min("entity").alias("entity"))
+    return single.select("entity", (F.col("passages") * 2.0**residual).alias("most"))
+
+
+def lower_share(together, holding, seen, z: float):
+    """Lower end of the Wilson interval of ``together / holding`` from ``seen`` observations."""
+    share = together / holding
+    spread = z * F.sqrt(share * (1 - share) / seen + z * z / (4 * seen * seen))
+    return (share + z * z / (2 * seen) - spread) / (1 + z * z / seen)
 
 
-def revealing_terms(pairs: DataFrame, n_docs: int, support: int, disclosure: float, smoothing: float) -> DataFrame:
-    """(entity, term) whose co-occurrence discloses at least the share ``disclosure`` of the entity."""
-    both = pairs.groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("together"), F.first("entity_docs").alias("entity_docs"), F.first("holding").alias("holding")
+def revealing_terms(pairs: DataFrame, residual: float, deviations: float) -> DataFrame:
+    """(entity, term) where the term leaves at most ``residual`` bits about the entity."""
+    each = pairs.groupBy("entity", "term", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.first("holding").alias("holding"), F.max("near").alias("near")
     )
-    information = -F.log2(F.col("entity_docs") / n_docs)
-    given_term = (F.col("together") + smoothing) / (F.col("holding") + 2 * smoothing)
-    disclosed = F.log2(given_term / (F.col("entity_docs") / n_docs))
-    return both.where((F.col("together") >= support) & (disclosed >= disclosure * information)).select("entity", "term")
+    both = each.groupBy("entity", "term").agg(
+        F.sum("n").alias("together"), F.count(F.lit(1)).alias("seen"), F.first("holding").alias("holding"), F.max("near").alias("near")
+    )
+    # as many observations as different passages with both stand for among all that hold the term
+    share = lower_share(F.col("together"), F.col("holding"), F.col("seen") * F.col("holding") / F.col("together"), deviations)
+    return both.where(F.col("near") & (share >= 2.0**-residual)).select("entity", "term")
 
 
-def private_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, smoothing: float = 0.0) -> DataFrame:
+def private_spans(docs: DataFrame, residual: float = RESIDUAL, deviations: float = DEVIATIONS) -> DataFrame:
     """Personal data in every row of ``docs`` (doc_id, text).
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term and found (the spans as an array
-    of kind, at, to in code points: base matches by kind and start, then terms). A term counts if at least
-    ``support`` documents hold it with the entity; 1 judges every entity. ``P(e|t)`` is
-    ``(together + smoothing) / (holding + 2 * smoothing)``, so that few documents show less. Null text is empty and has no spans; repeated rows count as
-    documents of their own; an empty table gives no rows. Terms within identifiers never count.
+    of kind, at, to in code points: base matches by kind and start, then terms). Every identifier is judged,
+    also one of a single document. A term is a span wherever it stands in a document of an entity of which it
+    leaves at most ``residual`` bits, by the lower bound of ``deviations`` standard deviations: with the defaults,
+    a term found nowhere else takes three different passages. Null text is empty and has no spans; repeated
+    rows count as documents of their own, but a repeated passage as one observation; an empty table gives no
+    rows. Terms within identifiers never count.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -231,27 +275,32 @@ def private_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = D
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = ", ".join(f"n_{k} long" for k in KINDS)
     scanned = docs.mapInArrow(
-        _scanned, f"doc_id {kind}, {numbers}, base_sha256 string, base {_SPAN_TYPE}, entities array<string>, text string"
+        _scanned, f"doc_id {kind}, {numbers}, base_sha256 string, base {_SPAN_TYPE}, entities array<string>, passages long, text string"
     )
     scanned = materialise(scanned.withColumn("row", F.monotonically_increasing_id()), "identifiers")
     n_docs = max(1, scanned.count())
     holders = scanned.where(F.size("entities") > 0)
-    each = holders.select("row", F.explode("entities").alias("entity"))
-    protected = materialise(protected_entities(each, n_docs, support, disclosure, smoothing), "protected")
-    own = materialise(each.join(protected, "entity"), "own")
+    each = holders.select("row", "passages", F.explode("entities").alias("entity"))
+    protected = materialise(protected_entities(each, n_docs, residual), "protected")
+    own = materialise(each.drop("passages").join(protected, "entity"), "own")
     most = own.groupBy("row").agg(F.max("most").alias("most"))
     shown = holders.select("row", "text", "base").join(most, "row")
     counts = holding_counts(docs)
     # at most 1 / FREQUENT times the terms of a mean document
     known = counts.where(F.col("holding") >= FREQUENT * n_docs).toArrow()
     frequent = Lookup(known.column("term").to_numpy().view(np.uint64)), np.append(known.column("holding").to_numpy(), 0)
-    found = shown.mapInArrow(_row_terms(spark.sparkContext.broadcast(frequent)), "row long, term long, holding long")
+    found = shown.mapInArrow(
+        _row_terms(spark.sparkContext.broadcast(frequent)), "row long, term long, content long, near boolean, holding long"
+    )
     found = materialise(found, "terms")
     rare = counts.where(F.col("holding") < FREQUENT * n_docs)
-    looked_up = found.where("holding = 0").drop("holding").join(rare, "term").select("row", "term", "holding")
-    pairs = found.where("holding > 0").unionByName(looked_up).join(own, "row").where(F.col("holding") <= F.col("most"))
-    pairs = materialise(pairs.select("row", "entity", "term", "holding", "entity_docs"), "pairs")
-    revealing = materialise(revealing_terms(pairs, n_docs, support, disclosure, smoothing), "revealing")
+    looked_up = found.where("holding = 0").drop("holding").join(rare, "term").select(found.columns)
+    # the bound of a term that stands only with the entity, its best case
+    least = deviations**2 / (2.0**residual - 1)
+    judged = found.where("holding > 0").unionByName(looked_up).where(F.col("holding") >= least - 1e-9)
+    pairs = judged.join(own, "row").where(F.col("holding") <= F.col("most"))
+    pairs = materialise(pairs.select("row", "entity", "term", "content", "near", "holding"), "pairs")
+    revealing = materialise(revealing_terms(pairs, residual, deviations), "revealing")
     wanted = pairs.join(revealing, ["entity", "term"], "left_semi").groupBy("row").agg(F.collect_set("term").alias("wanted"))
     extra = holders.select("row", "text", "base").join(wanted, "row")
     extra = extra.mapInArrow(_all_spans, f"row long, extra {_SPAN_TYPE}").withColumnRenamed("row", "r")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -78,35 +79,6 @@ def test_terms_that_reveal(spark):
     assert clean[205] == cooccurring()[9][1]
 
 
-def test_terms_equal_counting_by_hand(spark):
-    """Every term span follows from plain counts over documents."""
-    import math
-
-    docs = table(spark, SAMPLE, "documents").unionByName(spark.createDataFrame([(10**6 + r[0], *r[1:]) for r in cooccurring()], SCHEMA))
-    data = [(r.doc_id, r.text or "") for r in docs.collect()]
-    words = lambda t: {w for w in re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))}
-
-    def blank(t):
-        for _, s, e in brute(t):
-            t = t[:s] + " " * (e - s) + t[e:]
-        return t
-
-    own = {i: {(k, t[s:e].lower() if k in ("email", "ip") else digits(t[s:e])) for k, s, e in brute(t)} for i, t in data}
-    entities = Counter(e for v in own.values() for e in v)
-    holding = Counter(w for _, t in data for w in words(t))
-    together = Counter((e, w) for i, t in data for e in own[i] if entities[e] >= 3 for w in words(blank(t)))
-    n = len(data)
-    reveals = {
-        (e, w) for (e, w), c in together.items()
-        if c >= 3 and math.log2(c / holding[w] / (entities[e] / n)) >= 0.95 * -math.log2(entities[e] / n) - 1e-12
-    }
-    got = {r.doc_id: r for r in op.private_spans(docs).collect()}
-    for i, t in data:
-        expected = {w for w in words(blank(t)) for e in own[i] if (e, w) in reveals}
-        assert {re.sub("[A-Z]", lambda m: m[0].lower(), t[s.at : s.to]) for s in got[i].found if s.kind == "term"} == expected
-    assert reveals
-
-
 def test_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), SCHEMA)
     got = op.private_spans(with_clashes(docs)).collect()
@@ -115,43 +87,102 @@ def test_awkward_rows(spark):
     assert rows(op.private_spans(docs.limit(0))) == []
 
 
-def words(text):
-    return set(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
-
-
 def blank(text):
     for _, s, e in brute(text):
         text = text[:s] + " " * (e - s) + text[e:]
     return text
 
 
-def test_query_judges_identifiers_of_one_document(spark):
-    """Term spans of the registered query follow from plain counts, whatever an identifier's number of documents."""
-    import math
+def by_passage(text, hide=False):
+    """The words of each passage; its number counts the ends before it."""
+    ends = [m.start() for m in re.finditer(r"\n|[.!?](?=[ \t])", text)]
+    out = {}
+    for m in re.finditer(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), blank(text) if hide else text)):
+        out.setdefault(sum(e <= m.start() for e in ends), []).append(m[0])
+    near = {sum(e <= s for e in ends) for _, s, _ in brute(text)}
+    return out, near
 
-    data = [(r.doc_id, r.text or "") for r in table(spark, SAMPLE, "documents").collect()]
+
+def by_hand(data):
+    """The terms that disclose something in each document, from plain counts of passages."""
     own = {i: {(k, t[s:e].lower() if k in ("email", "ip") else digits(t[s:e])) for k, s, e in brute(t)} for i, t in data}
     entities = Counter(e for v in own.values() for e in v)
-    holding = Counter(w for _, t in data for w in words(t))
-    together = Counter((e, w) for i, t in data for e in own[i] for w in words(blank(t)))
-    n = len(data)
-    assert min(entities.values()) == 1
-    reveals = {
-        (e, w) for (e, w), c in together.items()
-        if math.log2((c + 0.5) / (holding[w] + 1) / (entities[e] / n)) >= 0.95 * -math.log2(entities[e] / n) - 1e-12
-    }
-    assert {e for e, _ in reveals if entities[e] == 1}
-    got = {r.doc_id: r for r in queries.op7_private_spans(spark, SAMPLE).collect()}
+    holding = Counter(w for _, t in data for p in by_passage(t)[0].values() for w in set(p))
+    shown = {}
     for i, t in data:
-        expected = {w for w in words(blank(t)) if any((e, w) in reveals for e in own[i])}
-        spans = [s.split(":") for s in got[i].spans.split(",") if s.startswith("term:")]
-        assert {re.sub("[A-Z]", lambda m: m[0].lower(), t[int(a) : int(b)]) for _, a, b in spans} == expected
-        assert got[i].n_term == len(spans)
-    assert sum(r.n_term for r in got.values()) > 0
+        parts, near = by_passage(t, True) if own[i] else ({}, set())
+        for n, p in parts.items():
+            for w in set(p):
+                for e in own[i]:
+                    shown.setdefault((e, w), []).append((tuple(p), n in near))
+    reveals = set()
+    for (e, w), found in shown.items():
+        share, seen, z = len(found) / holding[w], len({p for p, _ in found}), 1.645
+        n = seen / share
+        low = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if low >= 0.5 and any(near for _, near in found) and entities[e] / len(data) < 0.5:
+            reveals.add((e, w))
+    words = {i: {w for p in by_passage(t, True)[0].values() for w in p} for i, t in data}
+    return {i: {w for w in words[i] if any((e, w) in reveals for e in own[i])} for i, _ in data}
+
+
+def term_words(row, text):
+    return {re.sub("[A-Z]", lambda m: m[0].lower(), text[s.at : s.to]) for s in row.found if s.kind == "term"}
+
+
+def planted(spark):
+    """The sample's documents; every 20th names a person beside an address in one sentence and again in two others."""
+    data, names = [], {}
+    for n, r in enumerate(sorted(table(spark, SAMPLE, "documents").collect(), key=lambda r: r.doc_id)):
+        text = r.text or ""
+        if n % 20 == 0:
+            name = f"Zorb{n}a"
+            names[r.doc_id] = name.lower()
+            text += f" Write to {name} at box{n}@mail.example.org in oneoff{n}. {name} will answer. Others ask for {name} too."
+        data.append((r.doc_id, text))
+    return data, names
+
+
+def test_terms_equal_counting_by_hand(spark):
+    data = planted(spark)[0] + [(10**6 + r[0], r[1]) for r in cooccurring()]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    expected, texts = by_hand(data), dict(data)
+    got = {r.doc_id: r for r in op.private_spans(docs).collect()}
+    assert {i: term_words(r, texts[i]) for i, r in got.items()} == expected
+    assert any(expected.values())
+
+
+def test_precision_and_recall_on_planted_terms(spark):
+    data, names = planted(spark)
+    texts = dict(data)
+    got = op.private_spans(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    found = {(r.doc_id, w) for r in got for w in term_words(r, texts[r.doc_id])}
+    right = found & set(names.items())
+    assert len(right) == len(names)
+    assert len(right) >= 0.9 * len(found), sorted(found - right)
+    assert not any(w.startswith("oneoff") for _, w in found)
+
+
+def test_copies_prove_nothing(spark):
+    """A word that stands once stays, however many copies its document has."""
+    copies = [(i, "Ask anna@mail.example.org about the xylograph.", "en", "s", 1) for i in range(40)]
+    docs = spark.createDataFrame(copies + [(100 + r[0], *r[1:]) for r in cooccurring()], SCHEMA)
+    by_id = {r.doc_id: r for r in op.private_spans(docs).collect()}
+    assert all(by_id[i].n_term == 0 for i in range(40)) and by_id[200].n_term > 0
+
+
+def test_query_equals_counting_by_hand(spark):
+    data = [(r.doc_id, r.text or "") for r in table(spark, SAMPLE, "documents").collect()]
+    expected = by_hand(data)
+    texts = dict(data)
+    for r in queries.op7_private_spans(spark, SAMPLE).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term:")]
+        assert {re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id][int(a) : int(b)]) for _, a, b in spans} == expected[r.doc_id]
+        assert r.n_term == len(spans)
 
 
 def test_term_counts_by_join_and_by_broadcast(spark, monkeypatch):
     docs = spark.createDataFrame(cooccurring(), SCHEMA)
-    expected = rows(op.private_spans(docs, 1, 0.8, 0.5).select("doc_id", "spans"))
+    expected = rows(op.private_spans(docs).select("doc_id", "spans"))
     monkeypatch.setattr(op, "FREQUENT", 2.0)
-    assert rows(op.private_spans(docs, 1, 0.8, 0.5).select("doc_id", "spans")) == expected and any("term" in r[1] for r in expected)
+    assert rows(op.private_spans(docs).select("doc_id", "spans")) == expected and any("term" in r[1] for r in expected)
