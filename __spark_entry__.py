@@ -20,6 +20,7 @@ from prevascope.config import INCOMPLETE, RATE_CANDIDATES, SMALL, VALID  # noqa:
 from prevascope.operators import contracts, filters, mart, profile, quality, ranking, reporting, reshape  # noqa: E402
 from prevascope.operators.current import merge_batch as merge_into_current  # noqa: E402
 from prevascope.operators.dedupe import latest_per_entity as keep_latest  # noqa: E402
+from prevascope.operators.distinct_index import DistinctIndex  # noqa: E402
 from prevascope.operators.groups import GroupShape  # noqa: E402
 from prevascope.operators.numbering import numbered_by_sort  # noqa: E402
 from prevascope.operators.order_index import POSITION, build_order_index  # noqa: E402
@@ -95,6 +96,33 @@ def group_median_wide_type(spark, folder):
     return medians.select("state_code", *[F.col(c).cast("decimal(5,2)").alias(c) for c in names.values()])
 
 
+def group_median_bracketed(spark, folder):
+    """Medians of doubles in few large groups, without sorting them."""
+    names = {"l_quantity": "median_quantity", "l_extendedprice": "median_price"}
+    return profile.group_medians(table(spark, folder, "lineitem"), "l_returnflag", names, method=profile.BRACKETED)
+
+
+def distinct_by_load(spark, folder):
+    """Customers per priority, counted as the orders of each year come in; and in the last two years."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_custkey", F.year("o_orderdate").alias("year"))
+    index = DistinctIndex(spark, scratch_path(spark, "distinct"), "o_custkey", ("o_orderpriority",))
+    years = sorted(r.year for r in orders.select("year").distinct().collect())
+    for year in years:
+        index.add(orders.where(F.col("year") == year), str(year))
+    recent = index.counts("recent_customers", [str(y) for y in years[-2:]])
+    return index.counts("customers").join(recent, "o_orderpriority", "left")
+
+
+def group_profile_by_load(spark, folder):
+    """The profile with entities counted load by load; the second load repeats some of the first."""
+    staged = materialise(entity_measures(spark, folder), "staged")
+    index = DistinctIndex(spark, scratch_path(spark, "distinct"), CFG.entity_key, tuple(CFG.group_cols))
+    even = F.col(CFG.entity_key).cast("long") % 2 == 0
+    index.add(staged.where(even), "first")
+    index.add(staged.where(~even | (F.col(CFG.entity_key).cast("long") % 3 == 0)), "second")
+    return profile.group_profile(staged, entity_totals=index.counts(f"num_{CFG.entity_plural}"))
+
+
 def _ranks(df):
     return df.select(*CFG.keys, *[f"{m.short}_rank" for m in CFG.ranked])
 
@@ -605,7 +633,7 @@ def queries() -> dict[str, Query]:
     """Registered queries by name."""
     registered = [
         entity_mart, entity_mart_sorted, group_profile, entity_ranking, entity_ranking_sorted, group_deviation,
-        group_median, group_median_wide_type, rank_in_group, rank_in_group_sorted, count_at_or_above_median,
+        group_median, group_median_wide_type, group_median_bracketed, distinct_by_load, group_profile_by_load, rank_in_group, rank_in_group_sorted, count_at_or_above_median,
         left_join_context, threshold_flags, burden_score, quality_status, mart_ordered, mart_ordered_top,
         staging, unpivot_measures, state_filter, measure_filter,
         json_roundtrip, json_dir_scan, json_document_scan, landing_quarantine, ingest_once,

@@ -190,6 +190,21 @@ LAYER_RULES = [
      "data_quality_status not in ('Valid', 'Incomplete Data', 'Small Population')"),
 ]
 
+MEDIANS_OF_LINES = """
+with numbered as (
+  select l_returnflag, l_quantity, l_extendedprice,
+         row_number() over (partition by l_returnflag order by l_quantity) as quantity_no,
+         row_number() over (partition by l_returnflag order by l_extendedprice) as price_no,
+         count(*) over (partition by l_returnflag) as n
+  from lineitem
+)
+select l_returnflag,
+       sum(l_quantity) filter (where quantity_no in ((n + 1) // 2, n // 2 + 1))
+         / count(*) filter (where quantity_no in ((n + 1) // 2, n // 2 + 1)) as median_quantity,
+       sum(l_extendedprice) filter (where price_no in ((n + 1) // 2, n // 2 + 1))
+         / count(*) filter (where price_no in ((n + 1) // 2, n // 2 + 1)) as median_price
+from numbered group by l_returnflag"""
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -215,6 +230,12 @@ def oracle_sql() -> dict[str, str]:
             smoking_deviation_from_state_avg from ranked""",
         "group_median": median_sql,
         "group_median_wide_type": median_sql,
+        "group_median_bracketed": MEDIANS_OF_LINES,
+        "distinct_by_load": """with o as (select *, year(o_orderdate) as y from orders)
+            select o_orderpriority, count(distinct o_custkey) as customers,
+                   nullif(count(distinct case when y > (select max(y) from o) - 2 then o_custkey end), 0) as recent_customers
+            from o group by o_orderpriority""",
+        "group_profile_by_load": f"with {EM}, {PROFILE} select * from profile",
         "rank_in_group": rank_sql,
         "rank_in_group_sorted": rank_sql,
         "count_at_or_above_median": f"""with {EM}, {PROFILE}

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from prevascope.config import DEFAULT_CONFIG, PrevalenceConfig
 from prevascope.functions.numeric import mean_of, round2
+from prevascope.operators.bracketed import middle_values
 from prevascope.operators.groups import GroupShape, attach_group_values
 from prevascope.session import materialise
 
-EXACT, APPROX = "exact", "approx"
+EXACT, BRACKETED, APPROX = "exact", "bracketed", "approx"
 
 
 def group_medians(
@@ -33,31 +34,24 @@ def group_medians(
     Rows are first counted per (group, value), which combines before the shuffle, so that not even
     a value shared by most rows weighs on one task. The median is read from the running counts:
     measures of at most six digits take so few values that a group's counts fit one task, those
-    of other types are sorted over many. ``approx`` uses ``percentile_approx`` and returns one of
-    the values.
+    of other types are sorted over many. ``bracketed`` gives the same without sorting or moving
+    values, by a few more scans (see :mod:`~prevascope.operators.bracketed`). ``approx`` uses
+    ``percentile_approx`` and returns one of the values.
     """
     if method == APPROX:
         return df.groupBy(key).agg(
             *[F.percentile_approx(F.col(c), 0.5, 10_000).alias(out) for c, out in names.items()]
         )
-    if method != EXACT:
+    if method not in (EXACT, BRACKETED):
         raise ValueError(f"unknown method {method!r}")
 
     columns = list(names)
     stacked = df.select(key, *columns).unpivot([key], columns, "_measure", "_value").where(
         F.col("_value").isNotNull()
     )
-    value_type = stacked.schema["_value"].dataType
-    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows"))
-    running = _running_counts if _few_values(value_type) else _running_counts_by_sort
-    # The lower middle value is the first with half of the rows at or below it, the upper one the
-    # first with more than half.
-    middle = running(counts, key).select(
-        key,
-        "_measure",
-        F.when(F.col("_upto") * 2 >= F.col("_all"), F.col("_value")).alias("_low"),
-        F.when(F.col("_upto") * 2 > F.col("_all"), F.col("_value")).alias("_high"),
-    )
+    middle = middle_values(stacked, key) if method == BRACKETED else None
+    if middle is None:
+        middle = _middle_by_counts(stacked, key)
     return middle.groupBy(key).agg(
         *[
             _midpoint(
@@ -71,6 +65,21 @@ def group_medians(
     )
 
 
+def _middle_by_counts(stacked: DataFrame, key: str) -> DataFrame:
+    """The values from the lower and the upper middle one on, from running counts."""
+    value_type = stacked.schema["_value"].dataType
+    counts = stacked.groupBy(key, "_measure", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    running = _running_counts if _few_values(value_type) else _running_counts_by_sort
+    # The lower middle value is the first with half of the rows at or below it, the upper one the
+    # first with more than half.
+    return running(counts, key).select(
+        key,
+        "_measure",
+        F.when(F.col("_upto") * 2 >= F.col("_all"), F.col("_value")).alias("_low"),
+        F.when(F.col("_upto") * 2 > F.col("_all"), F.col("_value")).alias("_high"),
+    )
+
+
 def _few_values(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.DecimalType):
         return data_type.precision <= 6
@@ -199,12 +208,15 @@ def group_profile(
     cfg: PrevalenceConfig = DEFAULT_CONFIG,
     shape: GroupShape | None = None,
     entity_unique: bool = False,
+    entity_totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: entities, population, means, ranges, counts at or above the median.
 
     The distinct count runs apart from the other aggregates. Together they would shuffle one
     wide partial row per entity; apart, only (group, entity) pairs move. ``entity_unique`` states
     that no entity key repeats (as after dedupe), which makes it a plain count that moves nothing.
+    ``entity_totals`` are counts kept elsewhere, as by :class:`~prevascope.operators.distinct_index.DistinctIndex`
+    over the group columns: no entity of ``staged`` is counted then.
     """
     number = f"num_{cfg.entity_plural}"
     aggregates = [
@@ -217,7 +229,8 @@ def group_profile(
     stats = with_group_medians(staged, cfg, shape).groupBy(*cfg.group_cols).agg(*aggregates)
     if entity_unique:
         return stats
-    counted = entity_counts(staged, cfg).select(*[F.col(c).alias(f"_{c}") for c in cfg.group_cols], number)
+    totals = entity_counts(staged, cfg) if entity_totals is None else entity_totals
+    counted = totals.select(*[F.col(c).alias(f"_{c}") for c in cfg.group_cols], number)
     same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cfg.group_cols])
     others = [c for c in stats.columns if c not in cfg.group_cols]
     return stats.join(counted, same_group).select(*cfg.group_cols, number, *others)
