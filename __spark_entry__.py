@@ -27,7 +27,7 @@ from prevascope.operators.order_index import POSITION, build_order_index  # noqa
 from prevascope.plans.layers import CREATED, UPDATED, Layers, build_models, check_versions, load_directory  # noqa: E402
 from prevascope.plans.staging import stage  # noqa: E402
 from prevascope.session import materialise, scratch_path  # noqa: E402
-from prevascope.sources import landing, raw_table, reports  # noqa: E402
+from prevascope.sources import footers, landing, raw_table, reports  # noqa: E402
 from prevascope.streaming.ingest import ingest_new_files, load_frame, quality_report_of_loads  # noqa: E402
 from sample_tables import entity_measures, loads_of_events, raw_entities, table  # noqa: E402
 
@@ -501,6 +501,15 @@ def record_counts(spark, folder):
     return raw_table.record_counts(_tables(spark, folder))
 
 
+def record_counts_of_files(spark, folder):
+    return footers.record_counts_of_files(spark, {name: f"{folder}/{name}.parquet" for name in _tables(spark, folder)})
+
+
+def freshness_of_files(spark, folder):
+    bounds = footers.file_bounds(spark, f"{folder}/events.parquet", ["ts"], uniform=True)
+    return quality.freshness(bounds.select(F.col("max_ts").alias("ts")), "ts", _as_of())
+
+
 def table_counts(spark, folder):
     return raw_table.table_counts(spark, {**_tables(spark, folder), "absent": None})
 
@@ -641,7 +650,7 @@ def queries() -> dict[str, Query]:
         ranking_stored_order, profile_stored_order, quality_gate, list_tables, merge_batch, year_filter,
         page_by_index, latest_by_index, pages_by_cursor, series_positions,
         report_top_groups, latest_per_entity, provenance, page_of_table, page_of_table_deep,
-        record_counts, table_counts, freshness, date_range, null_counts, dq_report, dq_report_by_load, dq_summary, dq_report_flat,
+        record_counts, record_counts_of_files, table_counts, freshness, freshness_of_files, date_range, null_counts, dq_report, dq_report_by_load, dq_summary, dq_report_flat,
         contract_not_null, contract_accepted_values,
         top_groups_by_metric, top_groups_by_count, metric_totals, metric_fallback, source_fallback, latest_value,
         recent_rows, recent_rows_sample, series_by_date,

@@ -307,12 +307,18 @@ def oracle_sql() -> dict[str, str]:
             where position > (select count(*) - 1000 from events)""",
         "pages_by_cursor": """select *, cast((position - 1) // 7 as integer) as page
             from (select *, row_number() over (order by s_nationkey, s_suppkey) as position from supplier) where position <= 35""",
-        "record_counts": " union all ".join(f"select '{t}' as table_name, count(*) as records from {t}" for t in TABLES),
+        **dict.fromkeys(
+            ["record_counts", "record_counts_of_files"],
+            " union all ".join(f"select '{t}' as table_name, count(*) as records from {t}" for t in TABLES),
+        ),
         "table_counts": " union all ".join(
             [f"select '{t}' as table_name, count(*) as records, 'ok' as status from {t}" for t in TABLES]
             + ["select 'absent', null, 'missing'"]
         ),
-        "freshness": f"with {CHECKS} select status, reason, last_load, hours_old from checks where check_no = 1",
+        **dict.fromkeys(
+            ["freshness", "freshness_of_files"],
+            f"with {CHECKS} select status, reason, last_load, hours_old from checks where check_no = 1",
+        ),
         "date_range": f"""with {CHECKS} select status, reason, min_date, max_date, distinct_dates
             from checks where check_no = 4""",
         "null_counts": f"""with {EM} select
