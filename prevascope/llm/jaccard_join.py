@@ -6,9 +6,10 @@ bands such that linked sets lie in the same or in adjacent ones; every set has a
 next, so that any two such sets share a layout. A layout has D + 1 segments for the largest D of its band: by the pigeonhole principle
 linked sets agree in one of them, and its number and bits are the key under which they meet. Bands of small D, whose
 segments hold few shingles in all, combine the segments of two independent sketches, as linked sets agree in a pair of these.
+Past the keys a sketch is folded: slots are joined by the parity of both, which keeps the bound at a quarter of the bits.
 
 Texts with the same set form a class at once, and only sets of at least ten shingles can differ and be linked. The members of a bucket are
-checked against its least one, by sketch and then on the full sets; the links give components. Buckets that hold several components are
+checked against its least one, by folded sketch and then on the full sets; the links give components. Buckets that hold several components are
 dealt to tiles of two blocks, where members of different components are compared, and one link for each two components
 comes out: no pairs within a group are ever rows, and no link between components is missed.
 """
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prevascope.llm.common import LOWER, NON_SPACE, bounded_batches, lowered, mixed, slices, text_bytes, word_hashes
@@ -31,6 +32,8 @@ WORDS, PER_CENT = 3, 90
 COMBINED = 3
 #: Shingles of a block of a bucket's members, each member counted as ``LEAST`` at least.
 BLOCK_SHINGLES, LEAST = 1 << 22, 256
+#: Bits of the table that thins out documents before texts move, for each text asked for and in all.
+MARKS_EACH, MARKS = 64, 1 << 26
 #: No document has more shingles.
 MOST_SHINGLES = 1 << 40
 
@@ -38,6 +41,8 @@ _random = np.random.default_rng(20110829)
 _odd = lambda n: _random.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
 _PLACE, _SEED = _odd(WORDS + 1), _odd(4)
 _HALF, _LAYOUT_BITS = np.uint64(32), np.uint64(9)
+#: The bits of a bitmap of Spark.
+_BITMAP_BITS = 15
 
 
 def _band_starts() -> np.ndarray:
@@ -102,6 +107,16 @@ def keys(words: np.ndarray, layout: int) -> np.ndarray:
     return hashed >> _LAYOUT_BITS << _LAYOUT_BITS | np.uint64(layout)
 
 
+def fold(words: np.ndarray) -> np.ndarray:
+    """The sketch with 16 bits for each word: what linked sets differ in at most still bounds the bits that differ."""
+    return np.bitwise_xor.reduce(words.view(np.uint16).reshape(-1, 4), axis=1)
+
+
+def layout_of(key: str = "key") -> Column:
+    """The layout that is part of a key."""
+    return F.col(key).bitwiseAND(F.lit((1 << int(_LAYOUT_BITS)) - 1)).cast("int")
+
+
 def _layouts(size: int) -> list[int]:
     """The two layouts of a set of this size; none where linked sets must be equal."""
     return [x for x in (band_of(size), band_of(size) + 1) if size and segments(x) > 1]
@@ -112,36 +127,29 @@ def _prints(values: np.ndarray) -> list[int]:
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size, two fingerprints and sketches of the set of each text."""
+    """Size, two fingerprints, folded sketches and keys of the set of each text."""
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
-            sizes, prints, first, sketches = [], [], [], []
+            sizes, prints, first, folds, found, ends = [], [], [], [], [np.zeros(0, np.uint64)], [0]
             for values in shingle_sets(*text_bytes(part.column("text"))):
                 sizes.append(len(values))
                 prints.append(_prints(values))
                 layouts = _layouts(len(values))
                 first.append(layouts[0] if layouts else None)
-                sketches.append([sketch(values, x).tobytes() for x in layouts])
+                sketches = [sketch(values, x) for x in layouts]
+                folds.append([fold(words).tobytes() for words in sketches])
+                own = [np.unique(keys(words, x)) for words, x in zip(sketches, layouts)]
+                found += own
+                ends.append(ends[-1] + sum(map(len, own)))
             one, two = np.array(prints, np.int64).reshape(-1, 2).T
+            keyed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_key"), pa.array(sizes, pa.int64()), pa.array(one), pa.array(two),
-                 pa.array(first, pa.int32()), pa.array(sketches, pa.list_(pa.binary()))],
-                names=["doc_id", "text_key", "n_shingles", "fp1", "fp2", "first", "sketches"],
+                 pa.array(first, pa.int32()), pa.array(folds, pa.list_(pa.binary())), keyed],
+                names=["doc_id", "text_key", "n_shingles", "fp1", "fp2", "first", "folds", "keys"],
             )
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, layout, node) for every key of the sketches."""
-    for batch in batches:
-        out = []
-        for node, size, sketches in zip(batch.column("node").to_pylist(), batch.column("n_shingles").to_pylist(), batch.column("sketches").to_pylist()):
-            for layout, raw in zip(_layouts(size), sketches):
-                found = np.unique(keys(np.frombuffer(raw, np.uint64), layout)).view(np.int64)
-                out.append((found, np.full(len(found), layout, np.int32), np.full(len(found), node)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["key", "layout", "node"])
-
-
 def shingles(text: str | None) -> set:
     """The set of shingles itself."""
     words = (text or "").encode().translate(LOWER).split()
@@ -156,12 +164,12 @@ def linked(left: set, right: set) -> bool:
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches of one layout allow for a link."""
+    """Pairs whose folded sketches of one layout allow for a link."""
     for batch in batches:
         near = []
         columns = [batch.column(c).to_pylist() for c in ("left", "right", "n_left", "n_right", "layout")]
         for left, right, a, b, layout in zip(*columns):
-            left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+            left, right = np.frombuffer(left, np.uint16), np.frombuffer(right, np.uint16)
             apart = int(np.bitwise_count(left ^ right).sum())
             near.append(100 * min(a, b) >= PER_CENT * max(a, b) and apart <= most_different(a, b) * (len(left) // segments(layout)))
         yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
@@ -216,7 +224,7 @@ def _each_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _tile(table: pa.Table) -> dict:
     tile = {c: table.column(c).to_numpy() for c in ("key", "node", "root", "n_shingles", "own", "i", "j", "layout")}
-    words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64)
+    words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16)
     tile["sketch"] = words.reshape(table.num_rows, -1)
     tile["left"], tile["right"] = np.flatnonzero(tile["own"] == tile["i"][0]), np.flatnonzero(tile["own"] == tile["j"][0])
     if "shingles" in table.column_names:
@@ -277,6 +285,21 @@ def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
 
+def marked(docs: DataFrame, place: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text key is in ``place``, and a few others.
+
+    Text keys are marked in a broadcast table of bits, so that other texts do not move. It has a bounded size: where very
+    many are marked it lets more pass, never fewer.
+    """
+    n = min(MARKS, 1 << max(_BITMAP_BITS, (MARKS_EACH * place.count()).bit_length()))
+    slot = F.pmod("text_key", F.lit(n))
+    part, at = F.shiftright(slot, _BITMAP_BITS).alias("part"), F.pmod(slot, F.lit(1 << _BITMAP_BITS))
+    bits = place.groupBy(part).agg(F.bitmap_construct_agg(at).alias("bits"))
+    byte = F.hex(F.substring("bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1)))
+    told = docs.withColumn("part", part).join(F.broadcast(bits), "part")
+    return told.where(F.getbit(F.conv(byte, 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1).select(*docs.columns)
+
+
 class _Corpus:
     """Classes of a document table, their sketches and, once asked for, the texts of some."""
 
@@ -285,35 +308,42 @@ class _Corpus:
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         self.docs = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
         kind = docs.schema["doc_id"].dataType.simpleString()
-        sized = self.docs.mapInArrow(_sized, f"doc_id {kind}, text_key long, n_shingles long, fp1 long, fp2 long, first int, sketches array<binary>")
+        sized = self.docs.mapInArrow(
+            _sized, f"doc_id {kind}, text_key long, n_shingles long, fp1 long, fp2 long, first int, folds array<binary>, keys array<long>"
+        )
         self.rows = materialise(sized.withColumn("row", F.monotonically_increasing_id()), "sketches")
         self.set = ["n_shingles", "fp1", "fp2"]
         groups = self.rows.where("n_shingles > 0").groupBy(*self.set).agg(F.min("row").alias("node"), F.min("doc_id").alias("low"))
         self.classes = materialise(groups, "classes")
-        found = self.rows.where(F.size("sketches") > 0).join(self.classes.select(F.col("node").alias("row")), "row", "left_semi")
-        found = found.select(F.col("row").alias("node"), "doc_id", "text_key", "n_shingles", "first", "sketches")
-        self.nodes = materialise(found, "nodes")
+
+    def shared(self) -> DataFrame:
+        """(key, node, b) for every key of several classes, b the least node of them.
+
+        Keys are dealt out once, for both the buckets and their members.
+        """
+        keyed = self.rows.where(F.size("keys") > 0).select(F.col("row").alias("node"), "keys")
+        keyed = keyed.join(self.classes.select("node"), "node", "left_semi").select(F.explode("keys").alias("key"), "node").repartition("key")
+        buckets = keyed.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b != high")
+        return materialise(keyed.join(buckets.select("key", "b"), "key"), "shared")
 
     def sketch(self, rows: DataFrame, node: str = "node") -> DataFrame:
-        """``rows`` (layout, node, ...) with n_shingles and the sketch of the layout."""
-        sized = self.nodes.select(F.col("node").alias(node), "n_shingles", "first", "sketches")
-        own = F.element_at("sketches", F.col("layout") - F.col("first") + 1)
-        return rows.join(sized, node).withColumn("sketch", own).drop("first", "sketches")
-
-    def hold(self, needed: DataFrame) -> None:
-        """From now on only the nodes of ``needed`` matter: keep their sketches and texts, so that those of all documents move once."""
-        self.nodes = materialise(self.nodes.join(needed, "node", "left_semi"), "held-nodes")
-        place = self.nodes.select("node", "doc_id", "text_key")
-        same = self.docs["doc_id"].eqNullSafe(place["doc_id"]) & (self.docs["text_key"] == place["text_key"])
-        self.held = materialise(self.docs.join(place, same).select("node", "text").dropDuplicates(["node"]), "texts")
+        """``rows`` (layout, node, ...) with n_shingles and the folded sketch of the layout."""
+        sized = self.rows.where("first IS NOT NULL").select(F.col("row").alias(node), "n_shingles", "first", "folds")
+        own = F.element_at("folds", F.col("layout") - F.col("first") + 1)
+        return rows.join(sized, node).withColumn("sketch", own).drop("first", "folds")
 
     def texts(self, needed: DataFrame) -> DataFrame:
-        """(node, text) of the nodes asked for, among those held."""
-        return self.held.join(needed, "node", "left_semi")
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes that are linked by their full sets."""
-        texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        """(node, text) of the nodes asked for."""
+        place = self.rows.select(F.col("row").alias("node"), "doc_id", "text_key").join(needed, "node", "left_semi")
+        place = materialise(place, "places")
+        docs = marked(self.docs, place)
+        same = docs["doc_id"].eqNullSafe(place["doc_id"]) & (docs["text_key"] == place["text_key"])
+        return materialise(docs.join(place, same).select("node", "text").dropDuplicates(["node"]), "texts")
+
+    def confirmed(self, pairs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+        """The pairs (a, b) of nodes that are linked by their full sets; ``texts`` has those of the nodes, if at hand."""
+        if texts is None:
+            texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         full = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
         full = full.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
         return materialise(full.select("a", "b", "left", "right").mapInArrow(_confirmed, "a long, b long"), "links")
@@ -324,20 +354,19 @@ def _open_rows(shared: DataFrame, found: DataFrame) -> DataFrame:
 
     Documents that differ little share many buckets, often with the same others, and comparing them once is enough.
     """
-    placed = shared.join(found, "node", "left").select("key", "layout", "node", F.coalesce("root", "node").alias("root"))
+    placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     placed = materialise(placed, "placed")
     open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     rows = materialise(placed.join(materialise(open_keys.select("key"), "open"), "key", "left_semi"), "open-rows")
     prints = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"print{seed}") for seed in (1, 2)]
     members = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *prints)
     first = members.groupBy("size", "print1", "print2").agg(F.min("key").alias("key")).select("key")
-    return materialise(rows.join(materialise(first, "open-sets"), "key", "left_semi"), "open-rows")
+    return materialise(rows.join(materialise(first, "open-sets"), "key", "left_semi").withColumn("layout", layout_of()), "open-rows")
 
 
 def _first_links(corpus: _Corpus, shared: DataFrame) -> DataFrame:
     """Confirmed links of members of buckets with the least node of theirs."""
-    pivots = materialise(shared.groupBy("key").agg(F.min("node").alias("b")), "pivots")
-    pairs = shared.join(pivots, "key").where("node != b").groupBy(F.col("node").alias("a"), "b").agg(F.min("layout").alias("layout"))
+    pairs = shared.where("node != b").groupBy(F.col("node").alias("a"), "b").agg(F.min(layout_of()).alias("layout"))
     pairs = materialise(pairs, "pairs")
     for side, name in (("a", "left"), ("b", "right")):
         pairs = corpus.sketch(pairs, side).withColumnsRenamed({"sketch": name, "n_shingles": f"n_{name}"})
@@ -353,9 +382,10 @@ def _crossing_links(corpus: _Corpus, rows: DataFrame) -> DataFrame:
     """Confirmed links between components in open buckets, at least one for each two components that have any."""
     active = _in_tiles(corpus.sketch(rows)).mapInArrow(_active, "key long, node long").distinct()
     active = materialise(rows.join(materialise(active, "active"), ["key", "node"]), "active-rows")
-    sets = corpus.texts(active.select("node").distinct()).mapInArrow(_set_bytes, "node long, shingles binary")
+    texts = corpus.texts(active.select("node").distinct())
+    sets = texts.mapInArrow(_set_bytes, "node long, shingles binary")
     full = corpus.sketch(active).join(materialise(sets, "sets"), "node")
-    return corpus.confirmed(materialise(_in_tiles(full).mapInArrow(_linking, "a long, b long").distinct(), "crossing"))
+    return corpus.confirmed(materialise(_in_tiles(full).mapInArrow(_linking, "a long, b long").distinct(), "crossing"), texts)
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -378,10 +408,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     columns are not read.
     """
     corpus = _Corpus(docs.select("doc_id", "text"))
-    keyed = corpus.nodes.mapInArrow(_keyed, "key long, layout int, node long")
-    shared_keys = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    shared = materialise(keyed.join(shared_keys, "key", "left_semi").select("key", "layout", "node"), "shared")
-    corpus.hold(shared.select("node").distinct())
+    shared = corpus.shared()
     found = materialise(roots(_first_links(corpus, shared)), "roots")
     more = _crossing_links(corpus, _open_rows(shared, found))
     if not more.isEmpty():

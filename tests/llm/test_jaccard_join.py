@@ -82,6 +82,19 @@ def test_linked_sets_share_a_key_and_sketches_bound_the_difference(size):
         assert met or apart == 0
 
 
+@pytest.mark.parametrize("size", [10, 19, 38, 95, 400, 5000])
+def test_folded_sketches_bound_the_difference(size):
+    random = np.random.default_rng(size)
+    union = random.integers(1, 1 << 63, size, dtype=np.uint64)
+    for apart in (0, 1, size // 20, size // 3):
+        left, right = union, union[apart:]
+        for layout in jj._layouts(size):
+            a, b = jj.sketch(left, layout), jj.sketch(right, layout)
+            assert jj.fold(a).nbytes * 4 == a.nbytes
+            assert np.bitwise_count(jj.fold(a) ^ jj.fold(b)).sum() <= len(a) // jj.segments(layout) * apart
+            assert set((jj.keys(a, layout) & np.uint64(511)).tolist()) == {layout}
+
+
 def test_bands_of_linked_sizes_touch():
     for a in [*range(1, 3000), 10**6, 10**9]:
         assert jj.band_of(100 * a // 90) - jj.band_of(a) in (0, 1)
@@ -115,3 +128,39 @@ def test_links_between_components_of_a_bucket(spark, monkeypatch):
             words[at] = f"x{i}-{at}"
         docs.append((i, " ".join(words)))
     assert rows(jj.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))) == by_hand(docs)
+
+
+def test_only_texts_of_candidates_move(spark, monkeypatch):
+    """Texts that share buckets with others, but differ too much from them, are told apart by their sketches."""
+    stored, store = {}, jj.materialise
+
+    def noted(frame, name="stage"):
+        out = store(frame, name)
+        stored[name] = stored.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jj, "materialise", noted)
+    random = np.random.default_rng(6)
+    base, docs = [f"w{i}" for i in range(300)], []
+    for i in range(80):
+        words = list(base)
+        for at in random.choice(300, 25, replace=False):
+            words[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(words)))
+    docs += [(100 + i, docs[i][1] + " more") for i in (7, 40)]
+    assert rows(jj.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))) == by_hand(docs)
+    assert stored["pairs"] > 10
+    assert 4 <= stored["texts"] <= 8
+
+
+def test_marks_let_all_texts_asked_for_pass(spark, monkeypatch):
+    keys = [int(x) for x in np.random.default_rng(7).integers(-(1 << 63), 1 << 63, 20_000)] + [0, -1, (1 << 63) - 1, -(1 << 63)]
+    docs = spark.createDataFrame([(i, f"t{i}", k) for i, k in enumerate(keys)], "doc_id long, text string, text_key long").repartition(3)
+    wanted = docs.where("doc_id % 100 = 0 or doc_id >= 20000").select(F.col("doc_id").alias("node"), "doc_id", "text_key")
+    ids = lambda frame: {r["doc_id"] for r in frame.collect()}
+    got = ids(jj.marked(docs, wanted))
+    assert ids(wanted) <= got and len(got) < 1.1 * wanted.count() + 400
+    assert not ids(jj.marked(docs, wanted.where("false")))
+    monkeypatch.setattr(jj, "MARKS", 1 << 15)
+    assert ids(jj.marked(docs, wanted)) >= ids(wanted)
+    assert ids(jj.marked(docs, docs.withColumn("node", F.col("doc_id")))) == set(range(len(keys)))
